@@ -22,9 +22,9 @@ class MissingCutoffColumn(ValueError):
     """A cutoff was asked for on a table without the cutoff column."""
 
 
-def key_to_json(keys: Sequence[str]) -> Column:
-    """The key columns of a row as JSON text."""
-    return F.to_json(F.struct(*keys), JSON_OPTIONS)
+def key_to_json(key: Column | str) -> Column:
+    """A struct of key columns as JSON text."""
+    return F.to_json(key, JSON_OPTIONS)
 
 
 def key_schema(schema: T.StructType, keys: Sequence[str]) -> T.StructType:

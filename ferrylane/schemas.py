@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The vocabulary of stages, statuses and outcomes.
 STAGE_PIPELINE = "pipeline"
 STAGE_EXTRACTION = "extraction"
@@ -26,28 +24,25 @@ INCREMENTAL = "incremental"
 LOAD_MODES = (FULL, INCREMENTAL)
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-LOG = _struct(
+# Control tables, as DDL text.
+LOG = (
     "run_id string, table_name string, schema_name string, stage string, status string, "
     "batch_index bigint, rows_processed bigint, bytes_processed bigint, "
     "started_at timestamp, finished_at timestamp, error_message string, extra_json string"
 )
 
-CHECKPOINT = _struct(
+CHECKPOINT = (
     "table_name string not null, schema_name string, last_pk_json string, "
     "last_batch_index bigint, status string, run_id string, updated_at timestamp"
 )
 
-AUDIT = _struct(
+AUDIT = (
     "run_id string, table_name string, schema_name string, load_mode string, outcome string, "
     "batches_processed bigint, rows_processed bigint, resumed_from_batch bigint, "
     "started_at timestamp, finished_at timestamp, error_message string"
 )
 
-REPORT = _struct(
+REPORT = (
     "table_name string, schema_name string, target_dataset string, load_mode string, "
     "last_run_outcome string, last_run_rows_processed bigint, "
     "last_run_started_at timestamp, last_run_finished_at timestamp, "
@@ -55,20 +50,20 @@ REPORT = _struct(
 )
 
 # Catalog frames, one row per object of every region.
-TABLES = _struct("region string, table_schema string, table_name string, table_type string")
-COLUMNS = _struct(
+TABLES = "region string, table_schema string, table_name string, table_type string"
+COLUMNS = (
     "region string, table_schema string, table_name string, column_name string, "
     "data_type string, numeric_precision int, numeric_scale int, ordinal_position int"
 )
-CONSTRAINTS = _struct(
+CONSTRAINTS = (
     "region string, table_schema string, table_name string, constraint_name string, "
     "constraint_type string"
 )
-KEY_COLUMNS = _struct(
+KEY_COLUMNS = (
     "region string, table_schema string, constraint_name string, column_name string, "
     "ordinal_position int"
 )
-OVERRIDES = _struct(
+OVERRIDES = (
     "position int, schema string, name string, region string, load_mode string, exclude boolean"
 )
-REGIONS = _struct("region string, host string, location string")
+REGIONS = "region string, host string, location string"

@@ -75,7 +75,7 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.current_path() is not None
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, schema: T.StructType | str | None = None) -> DataFrame:
         """The current rows; with a schema, columns the files lack read as NULL."""
         path = self.current_path()
         if path is None:
@@ -90,7 +90,7 @@ class VersionedTable:
         except Exception:
             return None
 
-    def create(self, schema: T.StructType) -> "VersionedTable":
+    def create(self, schema: T.StructType | str) -> "VersionedTable":
         """Make an empty table unless one is there already."""
         if not self.exists():
             self.replace(self.spark.createDataFrame([], schema))
