@@ -124,12 +124,16 @@ class TableRun:
         this = "schema_name string, table_name string, load_mode string"
         plan = self.spark.createDataFrame([(self.schema_name, self.table_name, self.table["load_mode"])], this)
         own = (F.col("schema_name") == self.schema_name) & (F.col("table_name") == self.table_name)
-        latest = latest_checkpoint(self.ledger.checkpoints().where(own))
-        rows = self.target.row_count() if self.table["load_mode"] == S.FULL and not self.force else None
+        found = latest_checkpoint(self.ledger.checkpoints().where(own)).collect()
+        latest = self.spark.createDataFrame(found, S.CHECKPOINT)
+        # Only a completed table can be skipped, so only then does its row count matter.
+        completed = any(c["status"] == S.COMPLETED for c in found)
+        rows = self.target.row_count() if completed and not self.force else None
         counts = self.spark.createDataFrame([(self.schema_name, self.table_name, rows)], report.LIVE_COUNTS)
         return decide(plan, latest, counts, self.force).first()
 
     def _copy(self, resumed: bool) -> str:
+        self.target.create(self.types)
         ranked, total, scratch = self._extract(resumed)
         size, first = self.settings.batch_size, self.progress.first_batch
         batched = batching.assign_batches(ranked, size, first)
@@ -185,7 +189,7 @@ class TableRun:
         frozen = self._frozen()
         if not (resumed and frozen.is_complete()):
             if self.progress.last_pk_json is not None:
-                raise RuntimeError(f"row numbers of unfinished table {self.table_name} are gone; use force to start over")
+                raise RuntimeError(f"the frozen row numbers that {self.table_name} was being loaded by are gone")
             number_rows(self.source(self.table), frozen.path)
         return conform(frozen.frame.withColumnRenamed(RANK, self.keys[0]), self.types)
 
@@ -225,7 +229,6 @@ class TableRun:
             staged = self._landed().where(in_group).select(*self.types.names)
             keys = K.key_schema(self.types, self.keys)
             first, last = (K.key_from_json(commit[c], keys) for c in ("first_pk_json", "last_pk_json"))
-            self.target.create(self.types)
             inserted = merge.merge_into(
                 self.target, staged, self.keys, unique=True, key_range=merge.key_bounds(first, last, self.keys)
             )

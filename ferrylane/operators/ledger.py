@@ -94,6 +94,11 @@ def with_event_date(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date(F.coalesce("started_at", "finished_at")))
 
 
+def _names(schema: str) -> list[str]:
+    """The column names of a flat DDL text."""
+    return [column.split()[0] for column in schema.split(", ")]
+
+
 class EventBuffer:
     """Stage events of one run, kept until they are written together."""
 
@@ -115,7 +120,11 @@ class EventBuffer:
 
 
 class Ledger:
-    """The control tables of one region, append-only under ``root``."""
+    """The control tables of one region, append-only under ``root``.
+
+    Every (run, table) appends to a folder of its own: Spark appends to one folder
+    must not overlap, and tables are copied side by side.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -124,15 +133,19 @@ class Ledger:
     def path(self, name: str) -> str:
         return storage.join_path(self.root, name)
 
+    def _writer_path(self, name: str, row: Mapping[str, Any]) -> str:
+        writer = ".".join(str(row[c]) for c in ("run_id", "schema_name", "table_name"))
+        return storage.join_path(self.path(name), f"writer={storage.path_segment(writer)}")
+
     def _frame(self, rows: Sequence[Mapping[str, Any]], schema: str) -> DataFrame:
-        names = [part.split()[0] for part in schema.split(", ")]
-        return self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+        names = _names(schema)
+        return self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema).coalesce(1)
 
     def _read(self, name: str, schema: str) -> DataFrame:
         path = self.path(name)
         if not storage.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(*_names(schema))
 
     def checkpoints(self) -> DataFrame:
         return self._read("checkpoint", S.CHECKPOINT)
@@ -156,7 +169,7 @@ class Ledger:
             "run_id": run_id,
             "updated_at": utc_now(),
         }
-        self._frame([row], S.CHECKPOINT).write.mode("append").parquet(self.path("checkpoint"))
+        self._frame([row], S.CHECKPOINT).write.mode("append").parquet(self._writer_path("checkpoint", row))
 
     def append_audit(self, **row: Any) -> None:
         """Append an audit row, dated by its start. A failure only warns."""
@@ -164,7 +177,7 @@ class Ledger:
             frame = self._frame([row], S.AUDIT)
             outcome = audit_outcome(F.col("outcome"), F.col("resumed_from_batch"))
             dated = frame.withColumn("outcome", outcome).withColumn("run_date", F.to_date("started_at"))
-            dated.write.mode("append").partitionBy("run_date").parquet(self.path("audit"))
+            dated.write.mode("append").partitionBy("run_date").parquet(self._writer_path("audit", row))
         except Exception as error:
             log.warning("audit row of %s was not written: %s", row.get("table_name"), error)
 
@@ -173,9 +186,10 @@ class Ledger:
         if not events.rows:
             return
         try:
-            frame = self._frame(events.rows, S.LOG).coalesce(1)
-            with_event_date(frame).write.mode("append").partitionBy("event_date").parquet(self.path("log"))
-            write_raw_events(frame, self.path("raw_events"))
+            frame, first = self._frame(events.rows, S.LOG), events.rows[0]
+            dated = with_event_date(frame)
+            dated.write.mode("append").partitionBy("event_date").parquet(self._writer_path("log", first))
+            write_raw_events(frame, self._writer_path("raw_events", first))
         except Exception as error:
             log.warning("events were not written: %s", error)
 

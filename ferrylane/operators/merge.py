@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrylane.functions.keys import typed_literal
 from ferrylane.storage import VersionedTable
@@ -100,22 +101,24 @@ def merge_into(table: VersionedTable, staging: DataFrame, keys: Sequence[str], *
 
 
 def drop_target_column(table: VersionedTable, column: str) -> bool:
-    """Publish a version of the table without ``column``; False when it was not there."""
-    current = table.read()
+    """Publish a version of the table without ``column``; False when it was not there.
+
+    Files written before the column came back lack it, so all footers are looked at.
+    """
+    current = table.spark.read.option("mergeSchema", True).parquet(table.current_path())
     if column not in current.columns:
         return False
     table.replace(current.drop(column))
     return True
 
 
-def with_target_column(target: DataFrame, column: str, data_type: str = "bigint") -> DataFrame:
-    """The target with ``column`` present, NULL where it had been dropped.
+def with_target_column(table: VersionedTable, column: str, data_type: T.DataType = T.LongType()) -> DataFrame:
+    """The table with ``column``, NULL in rows written without it.
 
-    Files without the column read as NULL, so adding it rewrites nothing.
+    Files without the column read as NULL, so bringing it back rewrites nothing.
     """
-    if column in target.columns:
-        return target
-    return target.withColumn(column, F.lit(None).cast(data_type))
+    schema = table.read().schema
+    return table.read(schema if column in schema.names else schema.add(column, data_type))
 
 
 def key_bounds(first: Mapping[str, Any], last: Mapping[str, Any], keys: Sequence[str]) -> tuple[Any, Any]:

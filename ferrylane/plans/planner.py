@@ -131,8 +131,9 @@ def build_plan(
 
 def _left_on_table(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join on (region, schema, name); a missing region equals a missing region."""
-    same = [left[c].eqNullSafe(right[c]) for c in TABLE_KEY]
-    return left.join(right, same, "left").drop(*[right[c] for c in TABLE_KEY])
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in TABLE_KEY})
+    same = [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in TABLE_KEY]
+    return left.join(renamed, same, "left").drop(*[f"__right_{c}" for c in TABLE_KEY])
 
 
 def split_schema_table(raw: str, schema: str | None = None) -> tuple[str, str | None]:
