@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.common import Registry, table
+from ferrylane import schemas as S
 from ferrylane.job import LAND_ONLY, Settings, run_estate, run_table
 from ferrylane.operators import landing
 from ferrylane.operators.batching import assign_batches, batch_edges
 from ferrylane.operators.merge import drop_target_column, merge_into, new_rows, union_new_rows, with_target_column
 from ferrylane.operators.ranking import rank_by_key
 from ferrylane.plans.planner import build_plan, find_table
-from ferrylane.session import scratch_path
+from ferrylane.session import local_frame, scratch_path
 from ferrylane.sources.catalog import Catalog
-from ferrylane.sources.tables import parquet_source
+from ferrylane.sources.tables import ParquetSource
 from ferrylane.storage import VersionedTable
 from ferrylane.streaming.sync import sync_stream
-from ferrylane import schemas as S
 
 registry = Registry()
 
@@ -94,10 +94,10 @@ from (select * from lineitem where l_returnflag = 'A'
 group by l_returnflag
 """)
 def merge_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three keys hold all rows: each is looked up once, and its rows stay where they are."""
+    """Three keys hold all rows: they are collapsed before any shuffle, and their rows stay where they are."""
     lineitem = table(spark, sf_dir, "lineitem")
     loaded = lineitem.where(F.col("l_returnflag") == "A")
-    merged = union_new_rows(lineitem, loaded, ["l_returnflag"], hot_rows=100)
+    merged = union_new_rows(lineitem, loaded, ["l_returnflag"])
     return merged.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").cast("bigint").alias("quantity")
     )
@@ -116,6 +116,22 @@ def merge_rows_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fresh.groupBy("batch_index").agg(F.count(F.lit(1)).alias("rows_inserted"))
 
 
+@registry.add("""
+with s as (select * replace (case when l_linestatus = 'O' then l_orderkey end as l_orderkey) from lineitem),
+t as (select * from lineitem where l_returnflag = 'A')
+select l_returnflag, l_linestatus, count(*) as rows_inserted from s
+where not exists (select 1 from t where t.l_orderkey = s.l_orderkey and t.l_linenumber = s.l_linenumber)
+group by all
+""")
+def merge_beyond_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated and NULL keys against more target keys than may be broadcast."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    staged = lineitem.withColumn("l_orderkey", F.when(F.col("l_linestatus") == "O", F.col("l_orderkey")))
+    loaded = lineitem.where(F.col("l_returnflag") == "A")
+    fresh = new_rows(staged, loaded, ["l_orderkey", "l_linenumber"], broadcast_bytes=0)
+    return fresh.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("rows_inserted"))
+
+
 @registry.add(_MERGED_SQL)
 def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored target after the same rows were merged into it twice."""
@@ -248,19 +264,25 @@ _SOURCE_TYPES = {"bigint": "bigint", "int": "int", "string": "nvarchar", "double
 def catalog_of(spark: SparkSession, sf_dir: str, keys: dict[str, list[str]]) -> Catalog:
     """The given tables as one schema of a source database, with these primary keys."""
     schemas = {name: table(spark, sf_dir, name).schema for name in keys}
-    columns = [
-        (None, "dbo", name, f.name, _SOURCE_TYPES[f.dataType.simpleString()],
-         *((18, 2) if f.dataType.simpleString() == "double" else (None, None)), i)
-        for name, schema in schemas.items() for i, f in enumerate(schema.fields)
-    ]
-    keyed = [name for name, key in keys.items() if key]
+
+    def objects(names, **values):
+        return [{"table_schema": "dbo", "table_name": name, **values} for name in names]
+
+    def column(name: str, position: int, field: T.StructField) -> dict:
+        kind = _SOURCE_TYPES[field.dataType.simpleString()]
+        size = {"numeric_precision": 18, "numeric_scale": 2} if kind == "decimal" else {}
+        return {"table_schema": "dbo", "table_name": name, "column_name": field.name, "data_type": kind,
+                "ordinal_position": position, **size}
+
+    constraints = [{**row, "constraint_name": f"PK_{row['table_name']}"}
+                   for row in objects([n for n, key in keys.items() if key], constraint_type="PRIMARY KEY")]
+    key_columns = [{"table_schema": "dbo", "constraint_name": f"PK_{name}", "column_name": c, "ordinal_position": i}
+                   for name, key in keys.items() for i, c in enumerate(key)]
     return Catalog(
-        spark.createDataFrame([(None, "dbo", name, "BASE TABLE") for name in keys], S.TABLES),
-        spark.createDataFrame(columns, S.COLUMNS),
-        spark.createDataFrame([(None, "dbo", name, f"PK_{name}", "PRIMARY KEY") for name in keyed], S.CONSTRAINTS),
-        spark.createDataFrame(
-            [(None, "dbo", f"PK_{name}", c, i) for name in keyed for i, c in enumerate(keys[name])], S.KEY_COLUMNS
-        ),
+        local_frame(spark, objects(keys, table_type="BASE TABLE"), S.TABLES),
+        local_frame(spark, [column(n, i, f) for n, s in schemas.items() for i, f in enumerate(s.fields)], S.COLUMNS),
+        local_frame(spark, constraints, S.CONSTRAINTS),
+        local_frame(spark, key_columns, S.KEY_COLUMNS),
     )
 
 
@@ -278,7 +300,7 @@ def table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table copied from plan to target, in four commits."""
     settings = Settings(scratch_path(spark, "estate"), batch_size=2000, max_commits=4)
     plan = build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]}))
-    run_table(spark, settings, find_table(plan, "orders"), parquet_source(spark, sf_dir))
+    run_table(spark, settings, find_table(plan, "orders"), ParquetSource(spark, sf_dir))
     target = VersionedTable(spark, settings.target_path(find_table(plan, "orders")))
     return _as_double(target.read())
 
@@ -292,7 +314,7 @@ def keyless_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "estate"), batch_size=20_000, max_commits=3, cutoff="1998-12-31", cutoff_column="l_shipdate"
     )
     row = find_table(build_plan(catalog_of(spark, sf_dir, {"lineitem": []})), "lineitem")
-    run_table(spark, settings, row, parquet_source(spark, sf_dir))
+    run_table(spark, settings, row, ParquetSource(spark, sf_dir))
     return _as_double(VersionedTable(spark, settings.target_path(row)).read())
 
 
@@ -304,7 +326,7 @@ def landing_only_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land and verify only: no row number in the files, no checkpoint, nothing in the target."""
     settings = Settings(scratch_path(spark, "estate"), batch_size=25_000)
     row = find_table(build_plan(catalog_of(spark, sf_dir, {"lineitem": []})), "lineitem")
-    done = run_table(spark, settings, row, parquet_source(spark, sf_dir), run_id="once", stage=LAND_ONLY)
+    done = run_table(spark, settings, row, ParquetSource(spark, sf_dir), run_id="once", stage=LAND_ONLY)
     landed = spark.read.parquet(settings.landing_path(row, "once")).drop("batch_index")
     return landed.agg(F.count(F.lit(1)).alias("rows_landed")).select(
         F.lit(done["name"]).alias("name"), F.lit(done["status"]).alias("status"),
@@ -324,7 +346,7 @@ def estate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several tables copied side by side; the status report that follows."""
     settings = Settings(scratch_path(spark, "estate"), batch_size=10_000, max_commits=2)
     plan = build_plan(catalog_of(spark, sf_dir, _ESTATE))
-    _, reports = run_estate(spark, settings, plan, parquet_source(spark, sf_dir))
+    _, reports = run_estate(spark, settings, plan, ParquetSource(spark, sf_dir))
     return reports[0].read().select(
         "table_name", "last_run_outcome", "last_run_rows_processed", "total_rows_in_target"
     )

@@ -22,6 +22,7 @@ from ferrylane.operators import batching, landing, merge, report
 from ferrylane.operators.batching import BATCH
 from ferrylane.operators.ledger import EventBuffer, Ledger, decide, latest_checkpoint, utc_now
 from ferrylane.operators.ranking import RANK, Ranked, number_rows, rank_by_key
+from ferrylane.session import local_frame
 from ferrylane.sources.tables import TableSource
 from ferrylane.storage import VersionedTable, join_path, path_segment
 
@@ -121,32 +122,34 @@ class TableRun:
             self.ledger.append_events(self.events)
 
     def _decide(self) -> Row:
-        this = "schema_name string, table_name string, load_mode string"
-        plan = self.spark.createDataFrame([(self.schema_name, self.table_name, self.table["load_mode"])], this)
+        who = {"schema_name": self.schema_name, "table_name": self.table_name}
+        plan = local_frame(
+            self.spark, [{**who, "load_mode": self.table["load_mode"]}],
+            "schema_name string, table_name string, load_mode string",
+        )
         own = (F.col("schema_name") == self.schema_name) & (F.col("table_name") == self.table_name)
         found = latest_checkpoint(self.ledger.checkpoints().where(own)).collect()
-        latest = self.spark.createDataFrame(found, S.CHECKPOINT)
+        latest = local_frame(self.spark, [row.asDict() for row in found], S.CHECKPOINT)
         # Only a completed table can be skipped, so only then does its row count matter.
-        completed = any(c["status"] == S.COMPLETED for c in found)
+        completed = any(row["status"] == S.COMPLETED for row in found)
         rows = self.target.row_count() if completed and not self.force else None
-        counts = self.spark.createDataFrame([(self.schema_name, self.table_name, rows)], report.LIVE_COUNTS)
+        counts = local_frame(self.spark, [{**who, "target_rows": rows}], report.LIVE_COUNTS)
         return decide(plan, latest, counts, self.force).first()
 
     def _copy(self, resumed: bool) -> str:
         self.target.create(self.types)
         ranked, total, scratch = self._extract(resumed)
         size, first = self.settings.batch_size, self.progress.first_batch
-        batched = batching.assign_batches(ranked, size, first)
-        edges = batching.batch_edges(ranked, self.keys, total, size, first)
+        batches = math.ceil(total / size)
+        edges = self._kept("batches", batching.batch_edges(ranked, self.keys, total, size, first))
         if total:
-            self._land(batched, edges)
+            self._land(batching.assign_batches(ranked, size, first), edges)
+        if scratch is not None:
+            scratch.drop()
         if self.stage == LAND_ONLY:
-            self.progress.batches, self.progress.rows = math.ceil(total / size), total
-            _drop(scratch)
+            self.progress.batches, self.progress.rows = batches, total
             return S.SUCCESS_LANDED_ONLY
-        commits = self._commits(edges, math.ceil(total / size), first) if total else []
-        _drop(scratch)
-        for commit in commits:
+        for commit in self._commits(edges, batches, first):
             self._merge(commit)
         self.ledger.commit(
             self.run_id, self.schema_name, self.table_name, self.progress.last_batch, self.progress.last_pk_json, S.COMPLETED
@@ -158,21 +161,32 @@ class TableRun:
     def _extract(self, resumed: bool) -> tuple[DataFrame, int, Ranked | None]:
         """Ranked rows in plan types, how many, and the scratch copy to drop once they have landed."""
         with self._stage(S.STAGE_EXTRACTION) as done:
-            if self.table["synthetic_key"]:
+            synthetic, ranged = self.table["synthetic_key"], False
+            if synthetic:
                 frame = self._row_numbers(resumed)
-                offset = self._last_row_number()
                 if self.settings.cutoff is None:
-                    ranked = frame.withColumn(RANK, F.col(self.keys[0]) - offset).where(F.col(RANK) > 0)
-                    total, scratch = self._frozen().rows - offset, None
+                    # Row numbers are ranks already; those up to the checkpoint are behind us.
+                    offset = self._last_row_number()
+                    total = self._frozen().rows - offset
                     done(rows_processed=total)
-                    return ranked, total, scratch
+                    return frame.withColumn(RANK, F.col(self.keys[0]) - offset).where(F.col(RANK) > 0), total, None
             else:
-                frame = self.source(self.table)
-            rows = self._wanted(frame)
-            scratch = rank_by_key(conform(rows, self.types), self.keys, self.settings.work_path("ranked", self.table))
+                frame = self.source.scan(self.table)
+                ranged = self.source.is_ranged(self.table)
+            rows = conform(self._wanted(frame), self.types)
+            if self.source.is_remote(self.table) and not synthetic and not ranged:
+                # Range partitioning samples its input first, which would read the source twice.
+                rows = self._kept("raw", rows)
+            scratch = rank_by_key(rows, self.keys, self.settings.work_path("ranked", self.table), already_ranged=ranged)
             done(rows_processed=scratch.rows)
             return scratch.frame, scratch.rows, scratch
 
+    def _kept(self, kind: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written to this table's work folder and read back."""
+        path = self.settings.work_path(kind, self.table)
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def _wanted(self, frame: DataFrame) -> DataFrame:
         last = None
         if self.progress.last_pk_json is not None:
@@ -190,7 +204,7 @@ class TableRun:
         if not (resumed and frozen.is_complete()):
             if self.progress.last_pk_json is not None:
                 raise RuntimeError(f"the frozen row numbers that {self.table_name} was being loaded by are gone")
-            number_rows(self.source(self.table), frozen.path)
+            number_rows(self.source.scan(self.table), frozen.path)
         return conform(frozen.frame.withColumnRenamed(RANK, self.keys[0]), self.types)
 
     def _last_row_number(self) -> int:
@@ -219,8 +233,8 @@ class TableRun:
 
     def _commits(self, edges: DataFrame, batches: int, first: int) -> list[Row]:
         """The groups to merge, at most as many as the run has commits."""
-        per_commit = self.settings.batches_per_commit or math.ceil(batches / self.settings.max_commits)
-        return batching.commit_groups(edges, per_commit, first).orderBy("commit").collect()
+        per_commit = self.settings.batches_per_commit or max(1, math.ceil(batches / self.settings.max_commits))
+        return sorted(batching.commit_groups(edges, per_commit, first).collect(), key=lambda group: group["commit"])
 
     def _merge(self, commit: Row) -> None:
         """Merge one group, then commit it: a crash in between repeats a merge that adds nothing."""
@@ -291,11 +305,6 @@ class _Stage:
             self.events.end(self.name, S.FAILED, error_message=str(error), batch_index=self.values.get("batch_index"))
 
 
-def _drop(scratch: Ranked | None) -> None:
-    if scratch is not None:
-        scratch.drop()
-
-
 def run_table(
     spark: SparkSession,
     settings: Settings,

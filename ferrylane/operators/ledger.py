@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ferrylane import schemas as S
 from ferrylane import storage
 from ferrylane.operators.batching import with_resume_point
+from ferrylane.session import column_names, local_frame
 
 log = logging.getLogger(__name__)
 
@@ -94,11 +95,6 @@ def with_event_date(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date(F.coalesce("started_at", "finished_at")))
 
 
-def _names(schema: str) -> list[str]:
-    """The column names of a flat DDL text."""
-    return [column.split()[0] for column in schema.split(", ")]
-
-
 class EventBuffer:
     """Stage events of one run, kept until they are written together."""
 
@@ -137,15 +133,11 @@ class Ledger:
         writer = ".".join(str(row[c]) for c in ("run_id", "schema_name", "table_name"))
         return storage.join_path(self.path(name), f"writer={storage.path_segment(writer)}")
 
-    def _frame(self, rows: Sequence[Mapping[str, Any]], schema: str) -> DataFrame:
-        names = _names(schema)
-        return self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema).coalesce(1)
-
     def _read(self, name: str, schema: str) -> DataFrame:
         path = self.path(name)
         if not storage.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path).select(*_names(schema))
+        return self.spark.read.schema(schema).parquet(path).select(*column_names(schema))
 
     def checkpoints(self) -> DataFrame:
         return self._read("checkpoint", S.CHECKPOINT)
@@ -169,12 +161,12 @@ class Ledger:
             "run_id": run_id,
             "updated_at": utc_now(),
         }
-        self._frame([row], S.CHECKPOINT).write.mode("append").parquet(self._writer_path("checkpoint", row))
+        local_frame(self.spark, [row], S.CHECKPOINT).write.mode("append").parquet(self._writer_path("checkpoint", row))
 
     def append_audit(self, **row: Any) -> None:
         """Append an audit row, dated by its start. A failure only warns."""
         try:
-            frame = self._frame([row], S.AUDIT)
+            frame = local_frame(self.spark, [row], S.AUDIT)
             outcome = audit_outcome(F.col("outcome"), F.col("resumed_from_batch"))
             dated = frame.withColumn("outcome", outcome).withColumn("run_date", F.to_date("started_at"))
             dated.write.mode("append").partitionBy("run_date").parquet(self._writer_path("audit", row))
@@ -186,7 +178,7 @@ class Ledger:
         if not events.rows:
             return
         try:
-            frame, first = self._frame(events.rows, S.LOG), events.rows[0]
+            frame, first = local_frame(self.spark, events.rows, S.LOG), events.rows[0]
             dated = with_event_date(frame)
             dated.write.mode("append").partitionBy("event_date").parquet(self._writer_path("log", first))
             write_raw_events(frame, self._writer_path("raw_events", first))

@@ -11,25 +11,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrylane.functions.keys import typed_literal
+from ferrylane.session import scratch_path
 from ferrylane.storage import VersionedTable
 
-# A key is hot when it holds more than this share of the staged rows, so there are
-# never more hot keys than 1 / HOT_SHARE.
-HOT_SHARE = 0.001
-HOT_ROWS = 100_000
+# Keys are broadcast only when counted and found to be no larger than this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _all_present(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
 
-def _target_keys(target: DataFrame, keys: Sequence[str], key_range: tuple | None) -> DataFrame:
-    present = target.select(*keys).where(_all_present(keys))
+def _known_keys(target: DataFrame, keys: Sequence[str], key_range: tuple | None) -> DataFrame:
+    known = target.select(*keys).where(_all_present(keys))
     if key_range is None:
-        return present
+        return known
     lead, kind = keys[0], target.schema[keys[0]].dataType
     low, high = (typed_literal(bound, kind) for bound in key_range)
-    return present.where((F.col(lead) >= low) & (F.col(lead) <= high))
+    return known.where((F.col(lead) >= low) & (F.col(lead) <= high))
+
+
+def _key_bytes(keys: DataFrame) -> int:
+    """How much memory a frame of keys holds, counted rather than estimated; 0 when it is empty."""
+
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(field.name) + 16
+        return F.lit(16)
+
+    return keys.agg(F.coalesce(F.sum(reduce(Column.__add__, map(width, keys.schema.fields))), F.lit(0))).first()[0]
 
 
 def new_rows(
@@ -38,47 +48,50 @@ def new_rows(
     keys: Sequence[str],
     unique: bool = False,
     key_range: tuple[Any, Any] | None = None,
-    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The staged rows whose key is not in the target. A NULL in a key never matches.
 
     Only the key columns of the target are read, and with ``key_range`` (the
     smallest and largest leading key staged) only the row groups that overlap it:
     key-ordered batches then cost about as much as they hold, however large the
-    target has grown.
-
-    ``unique`` says that no key is NULL or repeated on either side, as declared by
-    a primary key; one anti-join does it. Without it rows with a NULL key are
-    passed by the join, which would gather them in one task; repeated target keys
-    are collapsed before they are shuffled; and staged keys with very many rows
-    are looked up once each and their rows kept or dropped where they lie.
+    target has grown. The keys found there decide how the rest is done:
+
+    * none: every row is new, and nothing is joined or shuffled;
+    * few enough to broadcast: an anti-join where the staged rows lie;
+    * more: the absent keys are worked out from key columns alone and written
+      down, and the rows are picked by them, again by broadcast if they are few.
+
+    ``unique`` promises keys without NULLs and repeats, as under a primary key.
+    Without it rows with a NULL key are passed by the joins, which would gather
+    them in one task; repeated keys are collapsed before they are shuffled; and
+    what is left of a key with very many rows is a plain join of scanned tables,
+    which the adaptive planner splits.
     """
-    known = _target_keys(target, keys, key_range)
-    if unique:
-        return staging.join(known, list(keys), "left_anti").select(*staging.columns)
-
-    known = known.distinct()
-    keyed = staging.where(_all_present(keys))
-    parts = [staging.where(~_all_present(keys))]
-    hot = _hot_keys(keyed, keys, hot_rows)
-    if hot is not None:
-        hot_new = hot.join(known, list(keys), "left_anti")
-        parts.append(keyed.join(F.broadcast(hot_new), list(keys), "left_semi"))
-        keyed = keyed.join(F.broadcast(hot), list(keys), "left_anti")
-    parts.append(keyed.join(known, list(keys), "left_anti"))
-    return reduce(DataFrame.unionByName, [p.select(*staging.columns) for p in parts])
-
-
-def _hot_keys(keyed: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with outsized groups, as a local frame of at most 1 / HOT_SHARE rows."""
-    total = keyed.count()
-    if total <= hot_rows:
-        return None
-    limit = max(hot_rows, int(total * HOT_SHARE))
-    counted = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    found = counted.where(F.col("__rows") > limit).select(*keys)
-    rows = found.collect()
-    return keyed.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    known = _known_keys(target, keys, key_range)
+    size = _key_bytes(known)
+    if size == 0:
+        return staging
+    keyed = staging if unique else staging.where(_all_present(keys))
+    if size <= broadcast_bytes:
+        fresh = keyed.join(F.broadcast(known), list(keys), "left_anti")
+    else:
+        absent = _absent_keys(keyed.select(*keys), known, keys, unique)
+        if _key_bytes(absent) <= broadcast_bytes:
+            absent = F.broadcast(absent)
+        fresh = keyed.join(absent, list(keys), "left_semi")
+    fresh = fresh.select(*staging.columns)
+    return fresh if unique else fresh.unionByName(staging.where(~_all_present(keys)))
+
+
+def _absent_keys(staged: DataFrame, known: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
+    """Staged keys that are not known, written to the shared folder and read back."""
+    if not unique:
+        staged, known = staged.distinct(), known.distinct()
+    spark = staged.sparkSession
+    path = scratch_path(spark, "absent_keys")
+    staged.join(known, list(keys), "left_anti").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def union_new_rows(staging: DataFrame, target: DataFrame, keys: Sequence[str], **options: Any) -> DataFrame:

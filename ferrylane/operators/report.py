@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ferrylane import storage
 from ferrylane.functions.naming import dataset_name
 from ferrylane.operators.ledger import latest_audit
+from ferrylane.session import local_frame
 
 LIVE_COUNTS = "schema_name string, table_name string, target_rows bigint"
 
@@ -24,7 +25,8 @@ def live_counts(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame
     readable = [(schema, name, df) for (schema, name), df in tables.items() if df is not None]
     if not readable:
         return spark.createDataFrame([], LIVE_COUNTS)
-    names = spark.createDataFrame([(s, n, 0) for s, n, _ in readable], LIVE_COUNTS)
+    zeros = [{"schema_name": s, "table_name": n, "target_rows": 0} for s, n, _ in readable]
+    names = local_frame(spark, zeros, LIVE_COUNTS)
     ones = [
         df.select(F.lit(s).alias("schema_name"), F.lit(n).alias("table_name"), F.lit(1).cast("bigint").alias("target_rows"))
         for s, n, df in readable

@@ -153,7 +153,9 @@ def find_table(plan: DataFrame, name: str, schema: str | None = None, region: st
     named = plan.where(F.col("name") == name)
     if region is not None:
         named = named.where(naming.same_region(F.col("region"), F.lit(region)))
-    found = [r["schema"] for r in named.select("schema").distinct().orderBy("schema").collect()]
+    # At most one row per region and schema.
+    rows = named.collect()
+    found = sorted({r["schema"] for r in rows})
     where_found = ", ".join(found)
     if schema is not None and schema not in found:
         hint = f"; it exists in: {where_found}" if found else ""
@@ -162,10 +164,11 @@ def find_table(plan: DataFrame, name: str, schema: str | None = None, region: st
         raise TableNotFound(f"table {name!r} was not found in any schema")
     if schema is None and len(found) > 1:
         raise AmbiguousTable(f"table {name!r} exists in several schemas: {where_found}; say which")
-    rows = named.where(F.col("schema") == (schema or found[0])).take(2)
-    if len(rows) > 1:
-        raise AmbiguousTable(f"table {name!r} exists in several regions; say which")
-    return rows[0]
+    matches = [r for r in rows if r["schema"] == (schema or found[0])]
+    if len(matches) > 1:
+        regions = ", ".join(sorted(str(r["region"]) for r in matches))
+        raise AmbiguousTable(f"table {name!r} exists in several regions: {regions}; say which")
+    return matches[0]
 
 
 def load_mode_counts(plan: DataFrame) -> DataFrame:

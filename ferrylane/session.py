@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,3 +49,16 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch root."""
     return f"{scratch_root(spark)}/ferrylane/{label}-{uuid.uuid4().hex}"
+
+
+def column_names(ddl: str) -> list[str]:
+    """The column names of a flat DDL text."""
+    return [column.split()[0] for column in ddl.split(", ")]
+
+
+def local_frame(spark: SparkSession, rows: Sequence[Mapping[str, Any]], ddl: str) -> DataFrame:
+    """A handful of rows as a frame. Arrow hands them to the JVM without a Python worker."""
+    if not rows:
+        return spark.createDataFrame([], ddl)
+    names = column_names(ddl)
+    return spark.createDataFrame(pa.Table.from_pylist([{n: row.get(n) for n in names} for row in rows]), ddl)
