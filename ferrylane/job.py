@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ferrylane import schemas as S
 from ferrylane import storage
 from ferrylane.functions import keys as K
+from ferrylane.functions.naming import require_distinct_datasets
 from ferrylane.functions.types import conform, struct_of
 from ferrylane.operators import batching, landing, merge, report
 from ferrylane.operators.batching import BATCH
@@ -337,6 +338,7 @@ def run_estate(
     (region, schema, name, status, batches, rows, error) and the reports.
     """
     wanted = plan if load_mode is None else plan.where(F.col("load_mode") == load_mode)
+    require_distinct_datasets(wanted)
     tables = wanted.orderBy("region", "schema", "name").collect()
     batch = str(uuid.uuid4())
 
