@@ -168,13 +168,18 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(path).select("run_id", "stage", "status", "rows_processed", "extra_json")
 
 
-@registry.add("""
-select upper(lang) as status, count(*) as tables, string_agg(source || '.' || doc_id, ',' order by source || '.' || doc_id) as names
-from documents group by lang
-""")
-def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as tables that ended in one of four states."""
-    results = table(spark, sf_dir, "documents").select(
+def _as_results(documents: DataFrame) -> DataFrame:
+    """Documents read as tables that ended in one of four states."""
+    return documents.select(
         F.col("source").alias("schema"), F.col("doc_id").cast("string").alias("name"), F.upper("lang").alias("status")
     )
-    return report.run_summary(results).withColumn("names", F.array_join("names", ","))
+
+
+@registry.add("select upper(lang) as status, count(*) as tables from documents group by lang")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.run_summary(_as_results(table(spark, sf_dir, "documents")))
+
+
+@registry.add("""select upper(lang) as status, source || '.' || doc_id as "table" from documents""")
+def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.run_outcomes(_as_results(table(spark, sf_dir, "documents")))

@@ -18,7 +18,7 @@ from ferrylane.session import local_frame, scratch_path
 from ferrylane.sources.catalog import Catalog
 from ferrylane.sources.tables import ParquetSource
 from ferrylane.storage import VersionedTable
-from ferrylane.streaming.sync import sync_stream
+from ferrylane.streaming.sync import sync_rows, sync_stream
 
 registry = Registry()
 
@@ -245,6 +245,17 @@ def strip_landed_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_landed(spark, cleaned, kept)
 
 
+@registry.add(_MERGED_SQL)
+def batch_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole source against a half-loaded target, twice."""
+    orders = table(spark, sf_dir, "orders")
+    target = VersionedTable(spark, scratch_path(spark, "target"))
+    target.replace(_loaded(orders))
+    for _ in range(2):
+        sync_rows(target, _staged(orders), ["o_orderkey"])
+    return target.read()
+
+
 @registry.add(_MERGED_SQL)
 def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed batches merged by a stream into a half-loaded target; a second call finds nothing to do."""
@@ -254,7 +265,7 @@ def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.replace(_loaded(orders))
     checkpoint = scratch_path(spark, "stream")
     for _ in range(2):
-        sync_stream(spark, path, orders.schema, ["o_orderkey"], target, checkpoint, max_files=2).awaitTermination()
+        sync_stream(spark, path, orders.schema, ["o_orderkey"], target, checkpoint, max_files=16).awaitTermination()
     return target.read()
 
 

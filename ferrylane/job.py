@@ -148,9 +148,12 @@ class TableRun:
         if scratch is not None:
             scratch.drop()
         if self.stage == LAND_ONLY:
+            self._discard("batches")
             self.progress.batches, self.progress.rows = batches, total
             return S.SUCCESS_LANDED_ONLY
-        for commit in self._commits(edges, batches, first):
+        commits = self._commits(edges, batches, first)
+        self._discard("batches")
+        for commit in commits:
             self._merge(commit)
         self.ledger.commit(
             self.run_id, self.schema_name, self.table_name, self.progress.last_batch, self.progress.last_pk_json, S.COMPLETED
@@ -179,6 +182,7 @@ class TableRun:
                 # Range partitioning samples its input first, which would read the source twice.
                 rows = self._kept("raw", rows)
             scratch = rank_by_key(rows, self.keys, self.settings.work_path("ranked", self.table), already_ranged=ranged)
+            self._discard("raw")
             done(rows_processed=scratch.rows)
             return scratch.frame, scratch.rows, scratch
 
@@ -188,6 +192,9 @@ class TableRun:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def _discard(self, kind: str) -> None:
+        storage.delete(self.spark, self.settings.work_path(kind, self.table))
+
     def _wanted(self, frame: DataFrame) -> DataFrame:
         last = None
         if self.progress.last_pk_json is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferrylane import storage
 from ferrylane.functions.keys import typed_literal
 from ferrylane.session import scratch_path
 from ferrylane.storage import VersionedTable
@@ -49,6 +50,7 @@ def new_rows(
     unique: bool = False,
     key_range: tuple[Any, Any] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    scratch: str | None = None,
 ) -> DataFrame:
     """The staged rows whose key is not in the target. A NULL in a key never matches.
 
@@ -59,8 +61,9 @@ def new_rows(
 
     * none: every row is new, and nothing is joined or shuffled;
     * few enough to broadcast: an anti-join where the staged rows lie;
-    * more: the absent keys are worked out from key columns alone and written
-      down, and the rows are picked by them, again by broadcast if they are few.
+    * more: the absent keys are worked out from key columns alone and written to
+      ``scratch``, and the rows are picked by them, again by broadcast if they are
+      few. Whole rows are shuffled only when both are many.
 
     ``unique`` promises keys without NULLs and repeats, as under a primary key.
     Without it rows with a NULL key are passed by the joins, which would gather
@@ -76,7 +79,7 @@ def new_rows(
     if size <= broadcast_bytes:
         fresh = keyed.join(F.broadcast(known), list(keys), "left_anti")
     else:
-        absent = _absent_keys(keyed.select(*keys), known, keys, unique)
+        absent = _absent_keys(keyed.select(*keys), known, keys, unique, scratch or scratch_path(staging.sparkSession, "keys"))
         if _key_bytes(absent) <= broadcast_bytes:
             absent = F.broadcast(absent)
         fresh = keyed.join(absent, list(keys), "left_semi")
@@ -84,14 +87,12 @@ def new_rows(
     return fresh if unique else fresh.unionByName(staging.where(~_all_present(keys)))
 
 
-def _absent_keys(staged: DataFrame, known: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
-    """Staged keys that are not known, written to the shared folder and read back."""
+def _absent_keys(staged: DataFrame, known: DataFrame, keys: Sequence[str], unique: bool, path: str) -> DataFrame:
+    """Staged keys that are not known, written to ``path`` and read back."""
     if not unique:
         staged, known = staged.distinct(), known.distinct()
-    spark = staged.sparkSession
-    path = scratch_path(spark, "absent_keys")
-    staged.join(known, list(keys), "left_anti").write.parquet(path)
-    return spark.read.parquet(path)
+    staged.join(known, list(keys), "left_anti").write.mode("overwrite").parquet(path)
+    return staged.sparkSession.read.parquet(path)
 
 
 def union_new_rows(staging: DataFrame, target: DataFrame, keys: Sequence[str], **options: Any) -> DataFrame:
@@ -107,9 +108,10 @@ def merge_into(table: VersionedTable, staging: DataFrame, keys: Sequence[str], *
     if not keys:
         raise ValueError(f"{table.path} has no key to merge on")
     inserted = Observation()
-    target = table.read(staging.schema)
-    rows = new_rows(staging, target, keys, **options).observe(inserted, F.count(F.lit(1)).alias("rows"))
-    table.append(rows)
+    target, scratch = table.read(staging.schema), scratch_path(table.spark, "keys")
+    rows = new_rows(staging, target, keys, scratch=scratch, **options)
+    table.append(rows.observe(inserted, F.count(F.lit(1)).alias("rows")))
+    storage.delete(table.spark, scratch)
     return inserted.get["rows"]
 
 

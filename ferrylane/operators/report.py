@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +31,17 @@ def live_counts(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame
         df.select(F.lit(s).alias("schema_name"), F.lit(n).alias("table_name"), F.lit(1).cast("bigint").alias("target_rows"))
         for s, n, df in readable
     ]
-    rows = reduce(DataFrame.unionByName, [names, *ones])
+    rows = _union([names, *ones])
     return rows.groupBy("schema_name", "table_name").agg(F.sum("target_rows").alias("target_rows"))
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    """Union in pairs, so that thousands of frames make a shallow plan."""
+    while len(frames) > 1:
+        frames = [a[0].unionByName(a[1]) if len(a) == 2 else a[0] for a in batched(frames, 2)]
+    return frames[0]
+
+
 def status_report(audit: DataFrame, counts: DataFrame, region_slug: str | None = None) -> DataFrame:
     """The last run of every table next to the rows its target holds now."""
     slug = F.lit(region_slug) if region_slug else None
@@ -65,14 +72,16 @@ def write_report(report: DataFrame, root: str) -> storage.VersionedTable:
 
 
 def run_summary(results: DataFrame) -> DataFrame:
-    """How many tables ended in each status, and which. ``results`` has schema, name, status."""
-    label = F.concat_ws(".", "schema", "name")
-    return results.groupBy("status").agg(
-        F.count(F.lit(1)).alias("tables"), F.array_sort(F.collect_list(label)).alias("names")
-    )
+    """How many tables ended in each status; ``results`` itself says which."""
+    return results.groupBy("status").agg(F.count(F.lit(1)).alias("tables"))
+
+
+def run_outcomes(results: DataFrame) -> DataFrame:
+    """The names behind the summary: (status, table) with ``schema.name`` labels."""
+    return results.select("status", F.concat_ws(".", "schema", "name").alias("table"))
 
 
-def batch_totals(batches: Sequence | DataFrame) -> DataFrame:
+def batch_totals(batches: DataFrame) -> DataFrame:
     """Batches and rows of a run, from its (batch_index, rows) frame."""
     return batches.agg(
         F.count(F.lit(1)).alias("batches_processed"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_processed")

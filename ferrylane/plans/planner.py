@@ -22,6 +22,7 @@ from ferrylane.sources.catalog import (
 )
 
 TABLE_KEY = ["region", "schema", "name"]
+MAX_BROADCAST_OVERRIDES = 200_000
 
 
 class TableNotFound(LookupError):
@@ -53,6 +54,8 @@ def resolve_overrides(tables: DataFrame, overrides: DataFrame) -> DataFrame:
         "position",
         entry.alias("entry"),
     )
+    # Overrides are written by hand and few. Counted, not assumed: beyond the limit Spark picks the join.
+    few = overrides.limit(MAX_BROADCAST_OVERRIDES + 1).count() <= MAX_BROADCAST_OVERRIDES
     resolved = tables.withColumn("region_key", naming.normalise_region(F.col("region")))
     candidates = []
     for exact_schema in (True, False):
@@ -62,7 +65,7 @@ def resolve_overrides(tables: DataFrame, overrides: DataFrame) -> DataFrame:
             on = ["name"] + ["schema"] * exact_schema + ["region_key"] * exact_region
             column = f"__override_{len(candidates)}"
             latest = kind.groupBy(*on).agg(F.max_by("entry", "position").alias(column))
-            resolved = resolved.join(latest, on, "left")
+            resolved = resolved.join(F.broadcast(latest) if few else latest, on, "left")
             candidates.append(column)
     chosen = F.coalesce(*candidates).alias("override")
     return resolved.select(*[F.col(c) for c in tables.columns], chosen)

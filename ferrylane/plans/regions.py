@@ -32,12 +32,12 @@ def regions_to_run(regions: DataFrame, requested: str | None) -> DataFrame:
     Names compare without case, blanks or punctuation, never by prefix.
     """
     keyed = regions.withColumn("__region", normalise_region(F.col("region")))
-    clash = (
-        keyed.groupBy("__region").agg(F.array_sort(F.collect_list("region")).alias("names"))
-        .where(F.size("names") > 1).first()
+    counted = keyed.groupBy("__region").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("region").alias("one"), F.max("region").alias("other")
     )
+    clash = counted.where(F.col("rows") > 1).first()
     if clash:
-        raise RegionError(f"these are the same region: {', '.join(clash['names'])}")
+        raise RegionError(f"these are the same region: {clash['one']}, {clash['other']}")
     requested = (requested or "").strip()
     if not requested:
         raise RegionError("a region is required")
