@@ -94,28 +94,25 @@ def transfer_accounting(manifest: DataFrame) -> DataFrame:
     """Per table: objects found, copied, skipped and failed, errors by code, and the verdict.
 
     SUCCESS needs every found object copied or skipped, none failed and no
-    error; anything else is PARTIAL_FAILURE. Counted in two steps, by error code
-    and then by table, so that a table with very many objects is summed up
-    before it is shuffled.
+    error; anything else is PARTIAL_FAILURE. Counts are summed up before they are
+    shuffled, however many objects a table has; error samples come from a second
+    look at just the objects with an error.
     """
     table = ["schema_name", "table_name"]
-
-    def in_state(state: str):
-        return F.count_if(F.col("state") == state).alias(f"objects_{state}")
-
-    by_code = manifest.groupBy(*table, "error_code").agg(
-        *[in_state(s) for s in ("found", "copied", "skipped", "failed")],
-        F.count(F.lit(1)).alias("count"),
-        F.min("error_detail").alias("sample_detail"),
+    totals = manifest.groupBy(*table).agg(
+        *[F.count_if(F.col("state") == s).alias(f"objects_{s}") for s in ("found", "copied", "skipped", "failed")]
+    )
+    by_code = manifest.where(F.col("error_code").isNotNull()).groupBy(*table, "error_code").agg(
+        F.count(F.lit(1)).alias("count"), F.min("error_detail").alias("sample_detail")
     )
-    error = F.when(F.col("error_code").isNotNull(), F.struct("error_code", "count", "sample_detail"))
-    totals = by_code.groupBy(*table).agg(
-        *[F.sum(f"objects_{s}").alias(f"objects_{s}") for s in ("found", "copied", "skipped", "failed")],
-        F.array_sort(F.collect_list(error)).alias("errors"),
+    errors = by_code.groupBy(*table).agg(
+        F.array_sort(F.collect_list(F.struct("error_code", "count", "sample_detail"))).alias("errors")
     )
+    no_errors = F.array().cast(errors.schema["errors"].dataType)
+    accounts = totals.join(errors, table, "left").withColumn("errors", F.coalesce("errors", no_errors))
     accounted = (
         (F.col("objects_copied") + F.col("objects_skipped") >= F.col("objects_found"))
         & (F.col("objects_failed") == 0)
         & (F.size("errors") == 0)
     )
-    return totals.withColumn("status", F.when(accounted, S.SUCCESS).otherwise(S.PARTIAL_FAILURE))
+    return accounts.withColumn("status", F.when(accounted, S.SUCCESS).otherwise(S.PARTIAL_FAILURE))

@@ -91,6 +91,7 @@ def rank_by_key(
 
     With ``ties`` the keys may repeat: equal keys are spread over ranges by their
     place in the input, so one key with very many rows does not fill one task.
+    The input's order must then be stable, as that of a file scan is.
     ``already_ranged`` says that the partitions of ``df`` are ascending key
     ranges, as from a range-partitioned source scan; then nothing is shuffled.
     """
