@@ -61,7 +61,7 @@ def batch_rows_string_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch of every row, by a text key."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     ranked = rank_by_key(customer, ["c_name"], scratch_path(spark, "ranked"))
-    return assign_batches(ranked.frame, 128).select("c_custkey", "batch_index", RANK)
+    return assign_batches(ranked.frame, 128).select("c_custkey", "batch_index", F.col(RANK).alias("row_rank"))
 
 
 @registry.add(_BATCHED.format(

@@ -12,7 +12,7 @@ from ferrylane.job import LAND_ONLY, Settings, run_estate, run_table
 from ferrylane.operators import landing
 from ferrylane.operators.batching import assign_batches, batch_edges
 from ferrylane.operators.merge import drop_target_column, merge_into, new_rows, union_new_rows, with_target_column
-from ferrylane.operators.ranking import rank_by_key
+from ferrylane.operators.ranking import RANK, rank_by_key
 from ferrylane.plans.planner import build_plan, find_table
 from ferrylane.session import local_frame, scratch_path
 from ferrylane.sources.catalog import Catalog
@@ -146,7 +146,7 @@ def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land(df: DataFrame, keys: list[str], size: int) -> tuple[str, DataFrame]:
     """Land a frame in batches; returns the path and the expected counts."""
     ranked = rank_by_key(df, keys, scratch_path(df.sparkSession, "ranked"))
-    path = landing.land(assign_batches(ranked.frame, size).drop("row_rank"), scratch_path(df.sparkSession, "landing"), keys)
+    path = landing.land(assign_batches(ranked.frame, size).drop(RANK), scratch_path(df.sparkSession, "landing"), keys)
     return path, batch_edges(ranked.frame, keys, ranked.rows, size)
 
 

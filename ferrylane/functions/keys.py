@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -22,6 +22,15 @@ class MissingCutoffColumn(ValueError):
     """A cutoff was asked for on a table without the cutoff column."""
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns(names: Iterable[str]) -> list[Column]:
+    return [column(name) for name in names]
+
+
 def key_to_json(key: Column | str) -> Column:
     """A struct of key columns as JSON text."""
     return F.to_json(key, JSON_OPTIONS)
@@ -65,8 +74,8 @@ def after_key(schema: T.StructType, keys: Sequence[str], last: Mapping[str, Any]
     bound = {k: typed_literal(last[k], schema[k].dataType) for k in keys}
     clauses = []
     for i, key in enumerate(keys):
-        same_prefix = [F.col(k) == bound[k] for k in keys[:i]]
-        clauses.append(reduce(Column.__and__, [*same_prefix, F.col(key) > bound[key]]))
+        same_prefix = [column(k) == bound[k] for k in keys[:i]]
+        clauses.append(reduce(Column.__and__, [*same_prefix, column(key) > bound[key]]))
     return reduce(Column.__or__, clauses)
 
 
@@ -85,15 +94,15 @@ def cutoff_bound(cutoff: Any) -> tuple[str, Any]:
     return "<=", cutoff
 
 
-def until_cutoff(schema: T.StructType, column: str, cutoff: Any) -> Column | None:
+def until_cutoff(schema: T.StructType, name: str, cutoff: Any) -> Column | None:
     """Rows last changed at or before the cutoff; a NULL change time is left out."""
     if cutoff is None or cutoff == "":
         return None
-    if column not in schema.names:
-        raise MissingCutoffColumn(f"cutoff {cutoff!r} needs a column {column!r}; found {schema.names}")
+    if name not in schema.names:
+        raise MissingCutoffColumn(f"cutoff {cutoff!r} needs a column {name!r}; found {schema.names}")
     operator, value = cutoff_bound(cutoff)
-    bound = typed_literal(value, schema[column].dataType)
-    return F.col(column) < bound if operator == "<" else F.col(column) <= bound
+    bound = typed_literal(value, schema[name].dataType)
+    return column(name) < bound if operator == "<" else column(name) <= bound
 
 
 def scan_filter(

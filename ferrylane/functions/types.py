@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferrylane.functions.keys import column
+
 # Source type name -> logical type of the target column.
 LOGICAL_TYPES = {
     "bigint": "INT64",
@@ -104,7 +106,7 @@ def struct_of(columns: Sequence[Any]) -> T.StructType:
     return T.StructType([T.StructField(c["name"], T.DataType.fromDDL(c["spark_type"])) for c in columns])
 
 
-def to_decimal_half_even(column: Column, source: T.DataType, target: T.DecimalType) -> Column:
+def to_decimal_half_even(value: Column, source: T.DataType, target: T.DecimalType) -> Column:
     """Round half to even at the target's scale; NULL and NaN give NULL.
 
     Decimals round exactly as they are. Everything else goes through its text,
@@ -112,10 +114,10 @@ def to_decimal_half_even(column: Column, source: T.DataType, target: T.DecimalTy
     too large for the guard digits have no digits to spare behind the point.
     """
     if isinstance(source, T.DecimalType):
-        return F.bround(column, target.scale).cast(target)
+        return F.bround(value, target.scale).cast(target)
     if isinstance(source, (T.FloatType, T.DoubleType)):
-        column = F.when(~F.isnan(column), column)
-    text = column.cast("string")
+        value = F.when(~F.isnan(value), value)
+    text = value.cast("string")
     guarded = min(target.scale + 20, MAX_DECIMAL_DIGITS - 1)
     exact = text.try_cast(T.DecimalType(MAX_DECIMAL_DIGITS, guarded))
     large = text.cast(T.DecimalType(MAX_DECIMAL_DIGITS, target.scale))
@@ -128,11 +130,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     source = df.schema
 
     def cast(field: T.StructField) -> Column:
-        column, have = F.col(f"`{field.name}`"), source[field.name].dataType
+        value, have = column(field.name), source[field.name].dataType
         if isinstance(field.dataType, T.DecimalType):
-            column = to_decimal_half_even(column, have, field.dataType)
+            value = to_decimal_half_even(value, have, field.dataType)
         elif have != field.dataType:
-            column = column.cast(field.dataType)
-        return column.alias(field.name)
+            value = value.cast(field.dataType)
+        return value.alias(field.name)
 
     return df.select([cast(f) for f in schema.fields])

@@ -100,6 +100,8 @@ class TableRun:
     def run(self) -> dict[str, Any]:
         if not self.keys:
             raise ValueError(f"{self.table_name} has no key to merge on")
+        if BATCH in map(str.lower, self.types.names):
+            raise ValueError(f"{self.table_name} has a column {BATCH}, the name of the landing partitions")
         started_at = utc_now()
         decision = self._decide()
         try:
@@ -128,8 +130,7 @@ class TableRun:
             self.spark, [{**who, "load_mode": self.table["load_mode"]}],
             "schema_name string, table_name string, load_mode string",
         )
-        own = (F.col("schema_name") == self.schema_name) & (F.col("table_name") == self.table_name)
-        found = latest_checkpoint(self.ledger.checkpoints().where(own)).collect()
+        found = latest_checkpoint(self.ledger.checkpoints(self.schema_name, self.table_name)).collect()
         latest = local_frame(self.spark, [row.asDict() for row in found], S.CHECKPOINT)
         # Only a completed table can be skipped, so only then does its row count matter.
         completed = any(row["status"] == S.COMPLETED for row in found)
@@ -173,7 +174,7 @@ class TableRun:
                     offset = self._last_row_number()
                     total = self._frozen().rows - offset
                     done(rows_processed=total)
-                    return frame.withColumn(RANK, F.col(self.keys[0]) - offset).where(F.col(RANK) > 0), total, None
+                    return frame.withColumn(RANK, K.column(self.keys[0]) - offset).where(F.col(RANK) > 0), total, None
             else:
                 frame = self.source.scan(self.table)
                 ranged = self.source.is_ranged(self.table)
@@ -224,7 +225,7 @@ class TableRun:
     def _land(self, batched: DataFrame, edges: DataFrame) -> None:
         with self._stage(S.STAGE_UPLOAD) as done:
             kept = [c for c in self.types.names if self._is_landed(c)]
-            landing.land(batched.select(*kept, BATCH), self.landing, [k for k in self.keys if k in kept], whole=True)
+            landing.land(batched.select(*K.columns(kept), BATCH), self.landing, [k for k in self.keys if k in kept], whole=True)
             done(bytes_processed=storage.size_in_bytes(self.spark, self.landing), extra={"path": self.landing})
         with self._stage(S.STAGE_TRANSFER) as done:
             arrived = landing.batch_counts(self._landed())
@@ -248,7 +249,7 @@ class TableRun:
         """Merge one group, then commit it: a crash in between repeats a merge that adds nothing."""
         with self._stage(S.STAGE_LOAD, batch_index=commit["last_batch"]) as done:
             in_group = F.col(BATCH).between(commit["first_batch"], commit["last_batch"])
-            staged = self._landed().where(in_group).select(*self.types.names)
+            staged = self._landed().where(in_group).select(*K.columns(self.types.names))
             keys = K.key_schema(self.types, self.keys)
             first, last = (K.key_from_json(commit[c], keys) for c in ("first_pk_json", "last_pk_json"))
             inserted = merge.merge_into(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrylane import schemas as S
-from ferrylane.functions.keys import after_key, key_to_json, scan_filter
+from ferrylane.functions.keys import after_key, columns, key_to_json, scan_filter
 from ferrylane.operators.ranking import RANK
 
 BATCH = "batch_index"
@@ -34,7 +34,7 @@ def batch_edges(ranked: DataFrame, keys: Sequence[str], total: int, size: int, f
     place = (F.col(RANK) - 1) % size
     opens = place == 0
     closes = (place == size - 1) | (F.col(RANK) == total)
-    key = F.struct(*keys)
+    key = F.struct(*columns(keys))
     edges = ranked.where(opens | closes).select(
         batch_of(size, first_index).alias(BATCH),
         F.when(closes, place + 1).alias("rows"),
@@ -72,7 +72,7 @@ def key_page(
     """One page in key order: the first ``size`` rows after ``last``, up to the cutoff."""
     wanted = scan_filter(df.schema, keys, last, cutoff, cutoff_column)
     rows = df if wanted is None else df.where(wanted)
-    return rows.orderBy(*keys).limit(size)
+    return rows.orderBy(*columns(keys)).limit(size)
 
 
 def rows_after(df: DataFrame, keys: Sequence[str], last: Mapping[str, Any] | None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ferrylane import schemas as S
 from ferrylane import storage
+from ferrylane.functions import keys as K
 from ferrylane.operators.batching import BATCH
 
 
@@ -31,7 +32,7 @@ def land(
     if not clustered:
         batched = batched.hint("rebalance", BATCH)
     (
-        batched.sortWithinPartitions(BATCH, *keys)
+        batched.sortWithinPartitions(BATCH, *K.columns(keys))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")

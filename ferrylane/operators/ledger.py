@@ -118,8 +118,8 @@ class EventBuffer:
 class Ledger:
     """The control tables of one region, append-only under ``root``.
 
-    Every (run, table) appends to a folder of its own: Spark appends to one folder
-    must not overlap, and tables are copied side by side.
+    Every run appends to a folder of its own under its table's: Spark appends to one
+    folder must not overlap, and a table finds its history without reading others'.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -129,24 +129,28 @@ class Ledger:
     def path(self, name: str) -> str:
         return storage.join_path(self.root, name)
 
+    def _table_path(self, name: str, schema_name: str | None, table_name: str) -> str:
+        return storage.join_path(self.path(name), f"of={storage.path_segment(f'{schema_name}.{table_name}')}")
+
     def _writer_path(self, name: str, row: Mapping[str, Any]) -> str:
-        writer = ".".join(str(row[c]) for c in ("run_id", "schema_name", "table_name"))
-        return storage.join_path(self.path(name), f"writer={storage.path_segment(writer)}")
+        table = self._table_path(name, row["schema_name"], row["table_name"])
+        return storage.join_path(table, f"run={storage.path_segment(row['run_id'])}")
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        path = self.path(name)
+    def _read(self, path: str, schema: str) -> DataFrame:
         if not storage.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*column_names(schema))
 
-    def checkpoints(self) -> DataFrame:
-        return self._read("checkpoint", S.CHECKPOINT)
+    def checkpoints(self, schema_name: str | None = None, table_name: str | None = None) -> DataFrame:
+        """Every table's checkpoints, or one table's."""
+        path = self.path("checkpoint") if table_name is None else self._table_path("checkpoint", schema_name, table_name)
+        return self._read(path, S.CHECKPOINT)
 
     def audit(self) -> DataFrame:
-        return self._read("audit", S.AUDIT)
+        return self._read(self.path("audit"), S.AUDIT)
 
     def events(self) -> DataFrame:
-        return self._read("log", S.LOG)
+        return self._read(self.path("log"), S.LOG)
 
     def commit(
         self, run_id: str, schema_name: str, table_name: str, batch_index: int, last_pk_json: str | None, status: str

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrylane import storage
-from ferrylane.functions.keys import typed_literal
+from ferrylane.functions.keys import column, columns, typed_literal
 from ferrylane.session import scratch_path
 from ferrylane.storage import VersionedTable
 
@@ -20,16 +20,16 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _all_present(keys: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return reduce(Column.__and__, [column(k).isNotNull() for k in keys])
 
 
 def _known_keys(target: DataFrame, keys: Sequence[str], key_range: tuple | None) -> DataFrame:
-    known = target.select(*keys).where(_all_present(keys))
+    known = target.select(*columns(keys)).where(_all_present(keys))
     if key_range is None:
         return known
     lead, kind = keys[0], target.schema[keys[0]].dataType
     low, high = (typed_literal(bound, kind) for bound in key_range)
-    return known.where((F.col(lead) >= low) & (F.col(lead) <= high))
+    return known.where((column(lead) >= low) & (column(lead) <= high))
 
 
 def _key_bytes(keys: DataFrame) -> int:
@@ -37,7 +37,7 @@ def _key_bytes(keys: DataFrame) -> int:
 
     def width(field: T.StructField) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            return F.octet_length(field.name) + 16
+            return F.octet_length(column(field.name)) + 16
         return F.lit(16)
 
     return keys.agg(F.coalesce(F.sum(reduce(Column.__add__, map(width, keys.schema.fields))), F.lit(0))).first()[0]
@@ -71,7 +71,7 @@ def new_rows(
     what is left of a key with very many rows is a plain join of scanned tables,
     which the adaptive planner splits.
     """
-    known = _known_keys(target, keys, key_range)
+    spark, known = staging.sparkSession, _known_keys(target, keys, key_range)
     size = _key_bytes(known)
     if size == 0:
         return staging
@@ -79,11 +79,13 @@ def new_rows(
     if size <= broadcast_bytes:
         fresh = keyed.join(F.broadcast(known), list(keys), "left_anti")
     else:
-        absent = _absent_keys(keyed.select(*keys), known, keys, unique, scratch or scratch_path(staging.sparkSession, "keys"))
+        absent = _absent_keys(keyed.select(*columns(keys)), known, keys, unique, scratch or scratch_path(spark, "keys"))
         if _key_bytes(absent) <= broadcast_bytes:
-            absent = F.broadcast(absent)
-        fresh = keyed.join(absent, list(keys), "left_semi")
-    fresh = fresh.select(*staging.columns)
+            # Few rows out of many tasks: put them together instead of writing a file each.
+            fresh = keyed.join(F.broadcast(absent), list(keys), "left_semi").hint("rebalance")
+        else:
+            fresh = keyed.join(absent, list(keys), "left_semi")
+    fresh = fresh.select(*columns(staging.columns))
     return fresh if unique else fresh.unionByName(staging.where(~_all_present(keys)))
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferrylane import storage
+from ferrylane.functions.keys import columns
 
-RANK = "row_rank"
+RANK = "__row_rank"
 _SLOT = "__slot"
 _TIE = "__tie"
 _SLICE = "__slice"
@@ -22,7 +23,7 @@ _MAX_BROADCAST_SLICES = 2_000_000
 class Ranked:
     """Rows written once in slices, and the position at which each slice starts.
 
-    ``frame`` has the rows plus ``row_rank`` (1..rows). It can be read any number
+    ``frame`` has the rows plus ``RANK`` (1..rows). It can be read any number
     of times, by any executor, and always gives a row the same rank.
     """
 
@@ -57,7 +58,7 @@ class Ranked:
         position = F.col(_SLOT).bitwiseAND((1 << _INDEX_BITS) - 1)
         placed = rows.withColumn(_SLICE, _slice_of(F.col(_SLOT))).join(starts, _SLICE)
         return placed.select(
-            *[F.col(f"`{c}`") for c in rows.columns if c != _SLOT],
+            *columns(c for c in rows.columns if c != _SLOT),
             (F.col(_START) + position + 1).alias(RANK),
         )
 
@@ -96,9 +97,9 @@ def rank_by_key(
     ranges, as from a range-partitioned source scan; then nothing is shuffled.
     """
     spark = df.sparkSession
-    order = list(keys)
+    order = columns(keys)
     if ties:
-        df, order = df.withColumn(_TIE, F.monotonically_increasing_id()), [*order, _TIE]
+        df, order = df.withColumn(_TIE, F.monotonically_increasing_id()), [*order, F.col(_TIE)]
     ranged = df if already_ranged else df.repartitionByRange(*order)
     return Ranked(spark, path)._write(ranged.sortWithinPartitions(*order))
 

@@ -10,7 +10,8 @@ from ferrylane.job import LAND_ONLY, Settings, TableRun, run_estate, run_table
 from ferrylane.operators import merge
 from ferrylane.operators.ledger import Ledger
 from ferrylane.plans.planner import build_plan, find_table
-from ferrylane.session import scratch_path
+from ferrylane.session import local_frame, scratch_path
+from ferrylane.sources.catalog import Catalog
 from ferrylane.sources.tables import FrameSource, ParquetSource
 from ferrylane.storage import VersionedTable
 
@@ -288,3 +289,35 @@ def test_a_table_without_any_key_is_refused(estate):
     row = type(e.row("orders"))(**{**e.row("orders").asDict(), "primary_key": []})
     with pytest.raises(ValueError, match="no key"):
         TableRun(e.spark, e.settings, row, e.source, "r").run()
+
+
+ODD = ["a.b", "se lect", "tick`s", "row_rank", "ключ"]
+
+
+@pytest.mark.parametrize("keys", [["a.b", "tick`s"], []])
+def test_any_column_name_will_do(spark, keys):
+    catalog = Catalog(
+        local_frame(spark, [{"table_schema": "my.schema", "table_name": "t[1]: x/y", "table_type": "BASE TABLE"}], S.TABLES),
+        local_frame(spark, [{"table_schema": "my.schema", "table_name": "t[1]: x/y", "column_name": c, "data_type": "int",
+                             "ordinal_position": i} for i, c in enumerate(ODD)], S.COLUMNS),
+        local_frame(spark, [{"table_schema": "my.schema", "table_name": "t[1]: x/y", "constraint_name": "pk",
+                             "constraint_type": "PRIMARY KEY"}] * bool(keys), S.CONSTRAINTS),
+        local_frame(spark, [{"table_schema": "my.schema", "constraint_name": "pk", "column_name": c, "ordinal_position": i}
+                            for i, c in enumerate(keys)], S.KEY_COLUMNS),
+    )
+    row = find_table(build_plan(catalog), "t[1]: x/y")
+    rows = spark.range(100).select(*[(F.col("id") * 3 % (7 + i)).cast("int").alias(c) for i, c in enumerate(ODD)]).distinct()
+    rows = rows.dropDuplicates(["a.b", "tick`s"]) if keys else rows
+    settings = Settings(scratch_path(spark, "estate"), batch_size=10)
+    for _ in range(2):
+        run_table(spark, settings, row, FrameSource({"t[1]: x/y": rows}))
+    target = VersionedTable(spark, settings.target_path(row)).read()
+    assert target.columns == ODD and target.count() == rows.count()
+
+
+def test_the_landing_partition_name_is_reserved(estate):
+    e = estate()
+    row = e.row("orders").asDict(recursive=True)
+    row["columns"].append({**row["columns"][0], "name": "Batch_Index"})
+    with pytest.raises(ValueError, match="batch_index"):
+        TableRun(e.spark, e.settings, row, e.source, "r").run()
