@@ -146,7 +146,7 @@ def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land(df: DataFrame, keys: list[str], size: int) -> tuple[str, DataFrame]:
     """Land a frame in batches; returns the path and the expected counts."""
     ranked = rank_by_key(df, keys, scratch_path(df.sparkSession, "ranked"))
-    path = landing.land(assign_batches(ranked.frame, size).drop(RANK), scratch_path(df.sparkSession, "landing"), keys)
+    path = landing.land(assign_batches(ranked.frame, size).drop(RANK), scratch_path(df.sparkSession, "landing"))
     return path, batch_edges(ranked.frame, keys, ranked.rows, size)
 
 

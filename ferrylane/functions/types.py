@@ -109,20 +109,21 @@ def struct_of(columns: Sequence[Any]) -> T.StructType:
 def to_decimal_half_even(value: Column, source: T.DataType, target: T.DecimalType) -> Column:
     """Round half to even at the target's scale; NULL and NaN give NULL.
 
-    Decimals round exactly as they are. Everything else goes through its text,
-    read with guard digits so that the first cast never decides a tie; numbers
-    too large for the guard digits have no digits to spare behind the point.
+    Decimals round exactly as they are. Everything else is read as it prints (Spark
+    turns a double into a decimal by its shortest text), with guard digits so that
+    the first cast never decides a tie. Numbers too large for the guard digits have
+    no digits to spare behind the point.
     """
     if isinstance(source, T.DecimalType):
         return F.bround(value, target.scale).cast(target)
+    if isinstance(source, T.FloatType):
+        value = value.cast("string").cast("double")
     if isinstance(source, (T.FloatType, T.DoubleType)):
         value = F.when(~F.isnan(value), value)
-    text = value.cast("string")
     guarded = min(target.scale + 20, MAX_DECIMAL_DIGITS - 1)
-    exact = text.try_cast(T.DecimalType(MAX_DECIMAL_DIGITS, guarded))
-    large = text.cast(T.DecimalType(MAX_DECIMAL_DIGITS, target.scale))
-    rounded = F.when(exact.isNotNull(), F.bround(exact, target.scale).cast(target))
-    return rounded.otherwise(large.cast(target))
+    exact = value.try_cast(T.DecimalType(MAX_DECIMAL_DIGITS, guarded))
+    large = value.cast(T.DecimalType(MAX_DECIMAL_DIGITS, target.scale))
+    return F.coalesce(F.bround(exact, target.scale).cast(target), large.cast(target))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

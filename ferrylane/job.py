@@ -225,7 +225,7 @@ class TableRun:
     def _land(self, batched: DataFrame, edges: DataFrame) -> None:
         with self._stage(S.STAGE_UPLOAD) as done:
             kept = [c for c in self.types.names if self._is_landed(c)]
-            landing.land(batched.select(*K.columns(kept), BATCH), self.landing, [k for k in self.keys if k in kept], whole=True)
+            landing.land(batched.select(*K.columns(kept), BATCH), self.landing, whole=True)
             done(bytes_processed=storage.size_in_bytes(self.spark, self.landing), extra={"path": self.landing})
         with self._stage(S.STAGE_TRANSFER) as done:
             arrived = landing.batch_counts(self._landed())

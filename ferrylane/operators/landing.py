@@ -24,16 +24,15 @@ def land(
     """Write ``batch_index=`` partitions under ``path``, Snappy-compressed.
 
     Batches that are written replace those already there; others stay, unless
-    ``whole`` replaces everything. Ranked rows already lie batch by batch, so
-    they are written where they are; for rows in any order pass
-    ``clustered=False``, and the write is rebalanced so that a batch fills few
-    files and an outsized one is split.
+    ``whole`` replaces everything. Ranked rows already lie batch by batch and in
+    key order, so they are written where they are: no shuffle and no sort. For
+    rows in any order pass ``clustered=False``: the write is rebalanced, so that a
+    batch fills few files and an outsized one is split, and sorted by ``keys``.
     """
     if not clustered:
-        batched = batched.hint("rebalance", BATCH)
+        batched = batched.hint("rebalance", BATCH).sortWithinPartitions(BATCH, *K.columns(keys))
     (
-        batched.sortWithinPartitions(BATCH, *K.columns(keys))
-        .write.mode("overwrite")
+        batched.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
         .partitionBy(BATCH)

@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.timeType.enabled": "true",
+    # A task that lands ranked rows meets few batches, one after the other, so it can keep their
+    # files open instead of sorting; past this many open files Spark sorts what is left.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 _local_roots: dict[str, str] = {}
