@@ -100,8 +100,14 @@ class VersionedTable:
         df.write.mode("append").parquet(self.current_path() or self._version_path(1))
 
     def replace(self, df: DataFrame) -> str:
-        """Write ``df`` as the next version and return its path."""
-        versions = self._versions()
+        """Write ``df`` as the next version and return its path.
+
+        The version it replaces stays for queries that are reading it; older ones go.
+        """
+        replaced, versions = self.current_path(), self._versions()
         path = self._version_path(versions[-1] + 1 if versions else 1)
         df.write.mode("overwrite").parquet(path)
+        for version in versions:
+            if self._version_path(version) != replaced:
+                delete(self.spark, self._version_path(version))
         return path

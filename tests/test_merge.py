@@ -110,6 +110,38 @@ def test_a_rewrite_that_dies_leaves_the_old_version(spark, target):
     assert rows(target.read()) == [(1, "x", "old")]
 
 
+def test_old_versions_go_but_the_last_one_stays(spark, target):
+    for n in range(3):
+        target.replace(target.read().withColumn("n", F.lit(n)))
+    assert target.current_path().endswith("v=4") and target._versions() == [3, 4]
+
+
+def test_a_staged_key_with_most_rows_is_split(spark, plan_of):
+    """Many known and many absent keys, one of which holds a third of the staged rows."""
+    tight = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200000",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000"}
+    before = {name: spark.conf.get(name) for name in tight}
+    for name, value in tight.items():
+        spark.conf.set(name, value)
+    try:
+        ids = spark.range(300_000).repartition(8)
+        staged = ids.select(F.when(F.col("id") % 3 == 0, -7).otherwise(F.col("id")).alias("k"), F.uuid().alias("v"))
+        path = scratch_path(spark, "staged")
+        staged.write.parquet(path)
+        fresh = new_rows(spark.read.parquet(path), ids.select(F.col("id").alias("k")).where("k < 100000"), ["k"], broadcast_bytes=0)
+        counts = fresh.agg(F.count("*"), F.count_if(F.col("k") == -7), F.min(F.when(F.col("k") > 0, F.col("k"))))
+        others = sum(1 for i in range(100_000, 300_000) if i % 3)
+        assert tuple(counts.first()) == (100_000 + others, 100_000, 100_000)
+        joined = fresh.select("v")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_stream_merges_what_has_landed_since(spark):
     schema = spark.createDataFrame([], "id bigint, v string").schema
     path, table = scratch_path(spark, "landing"), VersionedTable(spark, scratch_path(spark, "t"))
