@@ -11,6 +11,7 @@ from ferrylane import schemas as S
 from ferrylane.job import LAND_ONLY, Settings, run_estate, run_table
 from ferrylane.operators import landing
 from ferrylane.operators.batching import assign_batches, batch_edges
+from ferrylane.operators.ledger import Ledger
 from ferrylane.operators.merge import drop_target_column, merge_into, new_rows, union_new_rows, with_target_column
 from ferrylane.operators.ranking import RANK, rank_by_key
 from ferrylane.plans.planner import build_plan, find_table
@@ -310,10 +311,27 @@ def _as_double(df: DataFrame) -> DataFrame:
 def table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table copied from plan to target, in four commits."""
     settings = Settings(scratch_path(spark, "estate"), batch_size=2000, max_commits=4)
-    plan = build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]}))
-    run_table(spark, settings, find_table(plan, "orders"), ParquetSource(spark, sf_dir))
-    target = VersionedTable(spark, settings.target_path(find_table(plan, "orders")))
-    return _as_double(target.read())
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
+    run_table(spark, settings, row, ParquetSource(spark, sf_dir))
+    return _as_double(VersionedTable(spark, settings.target_path(row)).read())
+
+
+@registry.add("""
+with b as (select cast((rn - 1) // 2000 as bigint) as batch, max(o_orderkey) as pk
+           from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders) group by 1),
+g as (select max(batch) as batch, max(pk) as pk from b, (select cast(ceil(count(*) / 4.0) as bigint) as size from b)
+      group by batch // size)
+select 'orders' as table_name, 'IN_PROGRESS' as status, batch as last_batch_index, '{"o_orderkey":' || pk || '}' as last_pk_json from g
+union all
+select 'orders', 'COMPLETED', max(batch), '{"o_orderkey":' || max(pk) || '}' from g
+""")
+def checkpoint_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoints a run leaves: one per commit, and the closing one."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=2000, max_commits=4)
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
+    run_table(spark, settings, row, ParquetSource(spark, sf_dir))
+    history = Ledger(spark, settings.control_path(None)).checkpoints()
+    return history.select("table_name", "status", "last_batch_index", "last_pk_json")
 
 
 @registry.add("""

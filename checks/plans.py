@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.common import Registry, table
 from ferrylane.functions.types import with_target_types
 from ferrylane.plans import planner
+from ferrylane.session import local_frame
 from ferrylane.sources import catalog as C
 
 registry = Registry()
@@ -133,6 +134,18 @@ def plan_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registry.add(_CATALOG_SQL + """
+select region, table_schema as "schema", table_name as name, k.o_orderkey is null as synthetic_key
+from t left join k on k.o_orderkey = t.o_orderkey where table_name = (select max(table_name) from t)
+""")
+def table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan row of one table out of all: the one whose name comes last."""
+    plan = planner.build_plan(_catalog(spark, sf_dir))
+    row = planner.find_table(plan, plan.agg(F.max("name")).first()[0])
+    shown = {name: row[name] for name in ("region", "schema", "name", "synthetic_key")}
+    return local_frame(spark, [shown], "region string, schema string, name string, synthetic_key boolean")
+
+
 _OVERRIDES_SQL = """
 with v as (select s_suppkey as position, n_name as name,
              case when s_acctbal < 3000 then null when s_acctbal < 5000 then 'BUILDING'

@@ -350,23 +350,22 @@ def run_estate(
     tables = wanted.orderBy("region", "schema", "name").collect()
     batch = str(uuid.uuid4())
 
-    def copy(table: Row) -> tuple:
-        who = (table["region"], table["schema"], table["name"])
+    def copy(table: Row) -> dict[str, Any]:
+        who = {name: table[name] for name in ("region", "schema", "name")}
         # Tables get a pool each, so that under a FAIR scheduler a large one does not hold up the rest.
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", ".".join(p or "" for p in who))
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", ".".join(p or "" for p in who.values()))
         try:
             run_id = f"{batch}:{table['schema']}.{table['name']}"
-            done = run_table(spark, settings, table, source, run_id, stage, force)
-            return (*who, done["status"], done["batches_processed"], done["rows_processed"], None)
+            return {**who, **run_table(spark, settings, table, source, run_id, stage, force)}
         except Exception as error:
-            log.warning("table %s failed: %s", ".".join(p or "" for p in who), error)
-            return (*who, S.FAILED, None, None, str(error))
+            log.warning("table %s.%s failed: %s", table["schema"], table["name"], error)
+            return {**who, "status": S.FAILED, "error_message": str(error)}
 
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(copy), tables))
     columns = ("region string, schema string, name string, status string, "
                "batches_processed bigint, rows_processed bigint, error_message string")
-    return spark.createDataFrame(results, columns), write_reports(spark, settings, tables)
+    return local_frame(spark, results, columns), write_reports(spark, settings, tables)
 
 
 def write_reports(spark: SparkSession, settings: Settings, tables: Sequence[Row]) -> list[VersionedTable]:
@@ -375,11 +374,15 @@ def write_reports(spark: SparkSession, settings: Settings, tables: Sequence[Row]
     for slug in sorted({t["region_slug"] for t in tables}, key=str):
         own = [t for t in tables if t["region_slug"] == slug]
         try:
-            targets = {(t["schema"], t["name"]): VersionedTable(spark, settings.target_path(t)) for t in own}
-            frames = {who: target.read() if target.exists() else None for who, target in targets.items()}
+            frames = {(t["schema"], t["name"]): _target_rows(spark, settings, t) for t in own}
             ledger = Ledger(spark, settings.control_path(slug))
             rows = report.status_report(ledger.audit(), report.live_counts(spark, frames), slug)
             written.append(report.write_report(rows, ledger.root))
         except Exception as error:
             log.warning("report of region %s failed: %s", slug, error)
     return written
+
+
+def _target_rows(spark: SparkSession, settings: Settings, table: Row) -> DataFrame | None:
+    target = VersionedTable(spark, settings.target_path(table))
+    return target.read(struct_of(table["columns"])) if target.exists() else None

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrylane.functions.naming import normalise_region
+from ferrylane.schemas import REGIONS
+from ferrylane.session import local_frame
 
 log = logging.getLogger(__name__)
 
@@ -29,8 +31,14 @@ def _has_host(regions: DataFrame) -> DataFrame:
 def regions_to_run(regions: DataFrame, requested: str | None) -> DataFrame:
     """The rows of ``regions`` a request covers: one by name, or all that have a host.
 
-    Names compare without case, blanks or punctuation, never by prefix.
+    Names compare without case, blanks or punctuation, never by prefix. Without any
+    regions there is one database, given as a row without a region.
     """
+    requested = (requested or "").strip()
+    if regions.isEmpty():
+        if requested:
+            raise RegionError(f"region {requested!r} was asked for, but there are no regions")
+        return local_frame(regions.sparkSession, [{}], REGIONS)
     keyed = regions.withColumn("__region", normalise_region(F.col("region")))
     counted = keyed.groupBy("__region").agg(
         F.count(F.lit(1)).alias("rows"), F.min("region").alias("one"), F.max("region").alias("other")
@@ -38,7 +46,6 @@ def regions_to_run(regions: DataFrame, requested: str | None) -> DataFrame:
     clash = counted.where(F.col("rows") > 1).first()
     if clash:
         raise RegionError(f"these are the same region: {clash['one']}, {clash['other']}")
-    requested = (requested or "").strip()
     if not requested:
         raise RegionError("a region is required")
     if requested.lower() in ALL_REGIONS:

@@ -169,6 +169,13 @@ def test_region_names_never_match_by_prefix(regions):
             R.regions_to_run(regions, nothing)
 
 
+def test_without_regions_there_is_one_database(spark):
+    none = frame(spark, S.REGIONS, [])
+    assert [r["region"] for r in R.regions_to_run(none, None).collect()] == [None]
+    with pytest.raises(R.RegionError, match="no regions"):
+        R.regions_to_run(none, "East US")
+
+
 @pytest.mark.parametrize("word", ["ALL", "*"])
 def test_all_regions_are_those_with_a_host(spark, regions, word):
     assert {r["region"] for r in R.regions_to_run(regions, word).collect()} == {n for n, _ in REGIONS} - {"Brazil South"}
