@@ -150,6 +150,8 @@ class TableRun:
             scratch.drop()
         if self.stage == LAND_ONLY:
             self._discard("batches")
+            if self.table["synthetic_key"] and not resumed:
+                self._frozen().drop()
             self.progress.batches, self.progress.rows = batches, total
             return S.SUCCESS_LANDED_ONLY
         commits = self._commits(edges, batches, first)

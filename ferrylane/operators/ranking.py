@@ -63,6 +63,8 @@ class Ranked:
         )
 
     def _write(self, ordered: DataFrame) -> "Ranked":
+        # Starts left by an earlier copy must not be taken for those of this one.
+        storage.delete(self.spark, self._starts)
         slotted = ordered.withColumn(_SLOT, F.monotonically_increasing_id())
         slotted.drop(_TIE).write.mode("overwrite").parquet(self._data)
         sizes = (

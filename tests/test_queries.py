@@ -18,6 +18,10 @@ def test_query_matches_its_sql(spark, connection, sf_dir, name):
     assert spark_rows(QUERIES[name](spark, sf_dir)) == duckdb_rows(connection, SQL[name])
 
 
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
 def test_entry_has_rows_and_a_stable_schema(spark):
     result = driver.entry(spark)
     assert result.count() == 1500

@@ -62,6 +62,15 @@ def test_row_numbers_are_dense_unique_and_frozen(spark, read):
     assert not frozen.is_complete()
 
 
+def test_a_copy_that_dies_is_not_complete(spark):
+    path = scratch_path(spark, "t")
+    number_rows(spark.range(10), path)
+    with pytest.raises(Exception, match="lost"):
+        number_rows(spark.range(10).select(F.raise_error(F.lit("lost")).cast("bigint").alias("id")), path)
+    assert not Ranked(spark, path).is_complete()
+    assert number_rows(spark.range(3), path).rows == 3
+
+
 def test_empty_input(spark):
     ranked = rank_by_key(spark.createDataFrame([], "id bigint"), ["id"], scratch_path(spark, "t"))
     assert ranked.rows == 0 and ranked.frame.isEmpty()
