@@ -8,6 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ferrylane import schemas as S
 
 # Schemas that belong to the database system itself.
 SYSTEM_SCHEMAS = (
@@ -53,20 +56,17 @@ class Catalog:
 def jdbc_catalog(spark: SparkSession, region: str | None, url: str, properties: Mapping[str, str]) -> Catalog:
     """The catalog of one database, read from its INFORMATION_SCHEMA."""
 
-    def view(name: str, columns: Sequence[str]) -> DataFrame:
+    def view(name: str, ddl: str) -> DataFrame:
         df = spark.read.jdbc(url, f"INFORMATION_SCHEMA.{name}", properties=dict(properties))
-        picked = [F.col(c.upper()).alias(c) for c in columns]
+        fields = [f for f in T.StructType.fromDDL(ddl).fields if f.name != "region"]
+        picked = [F.col(f.name.upper()).cast(f.dataType).alias(f.name) for f in fields]
         return df.select(F.lit(region).cast("string").alias("region"), *picked)
 
     return Catalog(
-        tables=view("TABLES", ["table_schema", "table_name", "table_type"]),
-        columns=view(
-            "COLUMNS",
-            ["table_schema", "table_name", "column_name", "data_type",
-             "numeric_precision", "numeric_scale", "ordinal_position"],
-        ),
-        constraints=view("TABLE_CONSTRAINTS", ["table_schema", "table_name", "constraint_name", "constraint_type"]),
-        key_columns=view("KEY_COLUMN_USAGE", ["table_schema", "constraint_name", "column_name", "ordinal_position"]),
+        tables=view("TABLES", S.TABLES),
+        columns=view("COLUMNS", S.COLUMNS),
+        constraints=view("TABLE_CONSTRAINTS", S.CONSTRAINTS),
+        key_columns=view("KEY_COLUMN_USAGE", S.KEY_COLUMNS),
     )
 
 

@@ -249,3 +249,37 @@ def test_keys_ordered_differently_by_the_database_are_not_ranged(spark):
     assert source.is_ranged(number) and not source.is_ranged(text)
     assert not source.is_ranged({**number, "synthetic_key": True})
     assert range_predicates(["k"], [(1,)]) == ["1 = 1"]
+
+
+def test_catalog_and_scan_over_jdbc(spark, catalog, monkeypatch):
+    """What is asked of the reader, with frames in place of a database."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    views = {"TABLES": catalog.tables, "COLUMNS": catalog.columns, "TABLE_CONSTRAINTS": catalog.constraints,
+             "KEY_COLUMN_USAGE": catalog.key_columns}
+    asked = []
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        asked.append((table, predicates, properties))
+        if table.startswith("INFORMATION_SCHEMA."):
+            view = views[table.split(".")[1]].where("region = 'East US'").drop("region")
+            wide = view.select(*[F.col(c).alias(c.upper()) for c in view.columns], F.lit("db").alias("TABLE_CATALOG"))
+            return wide.withColumn("ORDINAL_POSITION", F.col("ORDINAL_POSITION").cast("smallint")) if "ORDINAL_POSITION" in wide.columns else wide
+        return spark.range(3)
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: spark.createDataFrame([(5, 6), (1, 2), (3, 4)], "y int, x int"))
+    plan = P.build_plan(C.jdbc_catalog(spark, "East US", "jdbc:x", {"user": "u"}))
+    assert plan.count() == 6 and len(asked) == 4
+    JdbcSource(spark, "jdbc:x", {"user": "u"}, parts=3).scan(P.find_table(plan, "pair"))
+    table, predicates, properties = asked[-1]
+    assert table == '"my-schema"."pair"' and properties == {"user": "u"}
+    assert predicates == [
+        '(("y" < 3) OR ("y" = 3 AND "x" < 4))',
+        'NOT (("y" < 3) OR ("y" = 3 AND "x" < 4)) AND (("y" < 5) OR ("y" = 5 AND "x" < 6))',
+        'NOT (("y" < 5) OR ("y" = 5 AND "x" < 6))',
+    ]
+    text_key = P.find_table(plan, "pair").asDict(recursive=True)
+    text_key["columns"] = [{**c, "logical_type": "STRING"} for c in text_key["columns"]]
+    JdbcSource(spark, "jdbc:x", {"user": "u"}, parts=3).scan(text_key)
+    assert asked[-1] == ('"my-schema"."pair"', None, {"user": "u", "pushDownPredicate": "false"})
