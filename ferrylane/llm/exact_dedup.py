@@ -6,7 +6,7 @@ row with a bit of its own has no equal and passes straight through; the rest are
 
 The filter has ``bits_per_row`` bits a row and at most ``max_bits``: a fixed bound on what is gathered and
 broadcast. Beyond it the filter fills up, more rows are taken for possible repeats and shuffled, and the result
-is the same. Tasks' bitmaps are merged by segment, ``FAN_IN`` at a time. Hot groups are pre-aggregated.
+is the same. Hot groups are pre-aggregated.
 
 A null text counts as empty; empty texts equal each other. Of equal texts the row with the largest doc_id
 stays (a null doc_id is the smallest). Rows that repeat text and doc_id count as rows of the group; ``deduplicate``
@@ -17,20 +17,15 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrylane.llm.common import Batches, Workspace, batch_map, free_name
+from ferrylane.llm.bloom import filter_bits, filter_of, holds, positions
+from ferrylane.llm.common import Workspace, batch_map, free_name
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-SEGMENT_BITS = 1 << 16
-FAN_IN = 64
-#: Rows whose bits a task gathers before it hands them on.
-CHUNK_ROWS = 1 << 18
 
 
 def digest_of(text: str | None) -> bytes:
@@ -50,94 +45,10 @@ def with_digest(docs: DataFrame, text: str, into: str, keep: list[str]) -> DataF
     return read.mapInArrow(batch_map(digests), schema)
 
 
-def filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
-    """A power of two, one segment at least."""
-    wanted = max(SEGMENT_BITS, rows * bits_per_row)
-    return min(1 << (wanted - 1).bit_length(), max_bits)
-
-
-def positions(digests: pa.Array, bits: int) -> np.ndarray:
-    """Two bit positions for each digest, shape (rows, 2)."""
-    words = np.frombuffer(b"".join(digests.to_pylist()), dtype="<u8").reshape(len(digests), -1)
-    return words[:, :2] & np.uint64(bits - 1)
-
-
-def _pack(local: np.ndarray) -> bytes:
-    bitmap = np.zeros(SEGMENT_BITS, dtype=bool)
-    bitmap[local] = True
-    return np.packbits(bitmap).tobytes()
-
-
-_BITMAPS = "segment long, part long, seen binary, repeated binary"
-
-
-def _partial_bitmaps(bits: int):
-    """For each segment that a task's rows touch: the bits set, and those set more than once."""
-    def emit(chunk: list[np.ndarray]) -> pa.RecordBatch:
-        places, counts = np.unique(np.concatenate(chunk).ravel(), return_counts=True)
-        segments, starts = np.unique(places // np.uint64(SEGMENT_BITS), return_index=True)
-        seen, repeated = [], []
-        for start, end in zip(starts, [*starts[1:], len(places)], strict=True):
-            local = (places[start:end] % np.uint64(SEGMENT_BITS)).astype(np.int64)
-            seen.append(_pack(local))
-            repeated.append(_pack(local[counts[start:end] > 1]))
-        part = TaskContext.get().partitionId()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(segments.astype(np.int64)), pa.array([part] * len(segments), pa.int64()), pa.array(seen, pa.binary()), pa.array(repeated, pa.binary())],
-            names=["segment", "part", "seen", "repeated"])
-
-    def run(batches: Batches) -> Batches:
-        chunk: list[np.ndarray] = []
-        for batch in batches:
-            if batch.num_rows:
-                chunk.append(positions(batch.column(0), bits))
-            if sum(map(len, chunk)) >= CHUNK_ROWS:
-                yield emit(chunk)
-                chunk = []
-        if chunk:
-            yield emit(chunk)
-
-    return run
-
-
-def _merge(table: pa.Table) -> pa.Table:
-    seen = np.zeros(SEGMENT_BITS // 8, dtype=np.uint8)
-    repeated = seen.copy()
-    for s, r in zip(table["seen"].to_pylist(), table["repeated"].to_pylist(), strict=True):
-        s, r = np.frombuffer(s, dtype=np.uint8), np.frombuffer(r, dtype=np.uint8)
-        repeated |= r | (seen & s)
-        seen |= s
-    return pa.table({"segment": table["segment"][:1], "part": table["part"][:1],
-                     "seen": pa.array([seen.tobytes()], pa.binary()), "repeated": pa.array([repeated.tobytes()], pa.binary())})
-
-
-def repeated_bits(digests: DataFrame, bits: int) -> np.ndarray:
-    """The filter of bits that more than one row sets, as bytes; ``bits`` / 8 long."""
-    parts = digests.mapInArrow(_partial_bitmaps(bits), _BITMAPS)
-    left = digests.rdd.getNumPartitions()
-    while True:
-        # What meets in one group is FAN_IN tasks' bitmaps (and a task has one for each CHUNK_ROWS rows).
-        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("long")).groupBy("segment", "part").applyInArrow(_merge, _BITMAPS)
-        left = -(-left // FAN_IN)
-        if left <= 1:
-            break
-    whole = np.zeros(bits // 8, dtype=np.uint8)
-    width = SEGMENT_BITS // 8
-    for row in parts.select("segment", "repeated").toLocalIterator():
-        whole[row.segment * width:(row.segment + 1) * width] = np.frombuffer(row.repeated, dtype=np.uint8)
-    return whole
-
-
 def _flag(at: int, bits: int, shared):
     """Adds whether a row's digest may repeat."""
     def flags(batch: pa.RecordBatch) -> pa.RecordBatch:
-        filled = np.frombuffer(shared.value, dtype=np.uint8)
-        if batch.num_rows:
-            p = positions(batch.column(at), bits).astype(np.int64)
-            hit = (filled[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
-            maybe = pa.array(hit.all(axis=1))
-        else:
-            maybe = pa.array([], pa.bool_())
+        maybe = pa.array(holds(shared.value, positions(batch.column(at), bits)))
         return pa.RecordBatch.from_arrays([*batch.columns, maybe], names=[*batch.schema.names, "maybe"])
 
     return batch_map(flags)
@@ -146,7 +57,7 @@ def _flag(at: int, bits: int, shared):
 def _possible_repeats(ws: Workspace, keyed: DataFrame, bits_per_row: int, max_bits: int) -> DataFrame:
     """``keyed`` (digest last) with the column ``maybe``."""
     bits = filter_bits(keyed.count(), bits_per_row, max_bits)
-    shared = ws.spark.sparkContext.broadcast(repeated_bits(keyed.select("digest"), bits).tobytes())
+    shared = ws.spark.sparkContext.broadcast(filter_of(keyed.select("digest"), bits, "repeated"))
     schema = T.StructType([*keyed.schema.fields, T.StructField("maybe", T.BooleanType())])
     return ws.save(keyed.mapInArrow(_flag(len(keyed.columns) - 1, bits, shared), schema), "flagged")
 
@@ -172,7 +83,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
     columns, digest = docs.columns, free_name(docs, "digest")
     digests = ws.save(with_digest(docs, text, "digest", [doc_id]), "digests")
     bits = filter_bits(digests.count(), bits_per_row, max_bits)
-    shared = ws.spark.sparkContext.broadcast(repeated_bits(digests.select("digest"), bits).tobytes())
+    shared = ws.spark.sparkContext.broadcast(filter_of(digests.select("digest"), bits, "repeated"))
     # The losers: digests that do repeat, and the row of each that stays.
     schema = T.StructType([*digests.schema.fields, T.StructField("maybe", T.BooleanType())])
     maybe = digests.mapInArrow(_flag(1, bits, shared), schema).where("maybe")
@@ -194,12 +105,9 @@ def _carry(docs: DataFrame, text: str, digest: str, bits: int, shared) -> DataFr
     schema = T.StructType([*docs.schema.fields, T.StructField(digest, T.BinaryType())])
 
     def carry(batch: pa.RecordBatch) -> pa.RecordBatch:
-        digests = pa.array([digest_of(t) for t in batch.column(at).to_pylist()], pa.binary())
-        filled = np.frombuffer(shared.value, dtype=np.uint8)
-        if batch.num_rows:
-            p = positions(digests, bits).astype(np.int64)
-            hit = ((filled[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).all(axis=1)
-            digests = pa.array([d if h else None for d, h in zip(digests.to_pylist(), hit, strict=True)], pa.binary())
+        digests = [digest_of(t) for t in batch.column(at).to_pylist()]
+        maybe = holds(shared.value, positions(pa.array(digests, pa.binary()), bits))
+        digests = pa.array([d if m else None for d, m in zip(digests, maybe, strict=True)], pa.binary())
         return pa.RecordBatch.from_arrays([*batch.columns, digests], schema=pa.schema([*batch.schema, pa.field(digest, pa.binary())]))
 
     return docs.mapInArrow(batch_map(carry), schema)

@@ -6,21 +6,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylane.llm import exact_dedup, mixing, secrets, token_counts
+from ferrylane.llm import chat, exact_dedup, minhash, mixing, pieces, secrets, token_counts, toxicity
 from ferrylane.session import scratch_path
 
 TOKEN_LIMIT = 512
 MIX_SEED = 0
+MERGE_DROPOUT, MERGE_SEED = 0.1, 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.text_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.cut(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), MERGE_DROPOUT, MERGE_SEED)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -32,10 +45,20 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weigh the square root of their rows; as many rows on average as there are."""
     return mixing.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED)
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op5_secret_scan, op6_token_counts, op8_source_mixing)}
-SQL = {"op3_exact_dedup": exact_dedup.EQUAL_TEXTS_SQL, "op8_source_mixing": mixing.MIX_SQL}
+QUERIES = {q.__name__: q for q in (
+    op1_minhash_near_dedup, op2_chat_formatting, op3_exact_dedup, op4_sentencepiece, op5_secret_scan, op6_token_counts, op7_toxicity,
+    op8_source_mixing)}
+SQL = {
+    "op2_chat_formatting": chat.CHAT_SQL,
+    "op3_exact_dedup": exact_dedup.EQUAL_TEXTS_SQL,
+    "op8_source_mixing": mixing.MIX_SQL,
+}
