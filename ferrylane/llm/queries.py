@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylane.llm import chat, exact_dedup, minhash, mixing, pieces, secrets, token_counts, toxicity
+from ferrylane.llm import chat, exact_dedup, minhash, mixing, pieces, secrets, token_counts, token_files, toxicity
 from ferrylane.session import scratch_path
 
 TOKEN_LIMIT = 512
+END_ID = 2
 MIX_SEED = 0
 MERGE_DROPOUT, MERGE_SEED = 0.1, 0
 
@@ -54,9 +55,15 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED)
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return token_files.read_token_digests(spark, path)
+
+
 QUERIES = {q.__name__: q for q in (
     op1_minhash_near_dedup, op2_chat_formatting, op3_exact_dedup, op4_sentencepiece, op5_secret_scan, op6_token_counts, op7_toxicity,
-    op8_source_mixing)}
+    op8_source_mixing, op9_token_files)}
 SQL = {
     "op2_chat_formatting": chat.CHAT_SQL,
     "op3_exact_dedup": exact_dedup.EQUAL_TEXTS_SQL,
