@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylane.llm import chat, exact_dedup, minhash, mixing, pieces, secrets, token_counts, token_files, toxicity
+from ferrylane.llm import chat, exact_dedup, minhash, mixing, pieces, secrets, token_counts, token_files, toxicity, vector_index
 from ferrylane.session import scratch_path
 
 TOKEN_LIMIT = 512
@@ -61,9 +61,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_digests(spark, path)
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_index.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_minhash_near_dedup, op2_chat_formatting, op3_exact_dedup, op4_sentencepiece, op5_secret_scan, op6_token_counts, op7_toxicity,
-    op8_source_mixing, op9_token_files)}
+    op8_source_mixing, op9_token_files,
+    op10_embedding_near_dedup)}
 SQL = {
     "op2_chat_formatting": chat.CHAT_SQL,
     "op3_exact_dedup": exact_dedup.EQUAL_TEXTS_SQL,
