@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.common import Registry, table
 from ferrylane import schemas as S
-from ferrylane.job import LAND_ONLY, Settings, run_estate, run_table
+from ferrylane.job import LAND_ONLY, Settings, TableRun, run_estate, run_regions, run_table
 from ferrylane.operators import landing
 from ferrylane.operators.batching import assign_batches, batch_edges
 from ferrylane.operators.ledger import Ledger
@@ -17,7 +19,7 @@ from ferrylane.operators.ranking import RANK, rank_by_key
 from ferrylane.plans.planner import build_plan, find_table
 from ferrylane.session import local_frame, scratch_path
 from ferrylane.sources.catalog import Catalog
-from ferrylane.sources.tables import ParquetSource
+from ferrylane.sources.tables import FrameSource, ParquetSource
 from ferrylane.storage import VersionedTable
 from ferrylane.streaming.sync import sync_rows, sync_stream
 
@@ -318,16 +320,14 @@ def table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.add("""
 with b as (select cast((rn - 1) // 2000 as bigint) as batch, max(o_orderkey) as pk
-           from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders) group by 1),
-g as (select max(batch) as batch, max(pk) as pk from b, (select cast(ceil(count(*) / 4.0) as bigint) as size from b)
-      group by batch // size)
-select 'orders' as table_name, 'IN_PROGRESS' as status, batch as last_batch_index, '{"o_orderkey":' || pk || '}' as last_pk_json from g
+           from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders) group by 1)
+select 'orders' as table_name, 'IN_PROGRESS' as status, batch as last_batch_index, '{"o_orderkey":' || pk || '}' as last_pk_json from b
 union all
-select 'orders', 'COMPLETED', max(batch), '{"o_orderkey":' || max(pk) || '}' from g
+select 'orders', 'COMPLETED', max(batch), '{"o_orderkey":' || max(pk) || '}' from b
 """)
 def checkpoint_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checkpoints a run leaves: one per commit, and the closing one."""
-    settings = Settings(scratch_path(spark, "estate"), batch_size=2000, max_commits=4)
+    """The checkpoints a run leaves: one per batch, and the closing one."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=2000)
     row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
     run_table(spark, settings, row, ParquetSource(spark, sf_dir))
     history = Ledger(spark, settings.control_path(None)).checkpoints()
@@ -356,7 +356,7 @@ def landing_only_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = Settings(scratch_path(spark, "estate"), batch_size=25_000)
     row = find_table(build_plan(catalog_of(spark, sf_dir, {"lineitem": []})), "lineitem")
     done = run_table(spark, settings, row, ParquetSource(spark, sf_dir), run_id="once", stage=LAND_ONLY)
-    landed = spark.read.parquet(settings.landing_path(row, "once")).drop("batch_index")
+    landed = spark.read.parquet(settings.landing_path(row)).drop("batch_index")
     return landed.agg(F.count(F.lit(1)).alias("rows_landed")).select(
         F.lit(done["name"]).alias("name"), F.lit(done["status"]).alias("status"),
         F.lit(done["batches_processed"]).cast("bigint").alias("batches_processed"),
@@ -379,3 +379,164 @@ def estate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports[0].read().select(
         "table_name", "last_run_outcome", "last_run_rows_processed", "total_rows_in_target"
     )
+
+
+class _Reversed(ParquetSource):
+    """The same rows the other way round, as a database without ORDER BY may give them."""
+
+    def scan(self, table):
+        return super().scan(table).orderBy(F.desc("l_orderkey"), F.desc("l_linenumber"))
+
+
+class _Killed(BaseException):
+    """The end of a driver: no handler runs."""
+
+
+def _killed_after_first_append(run: TableRun) -> None:
+    """Let a run die between its first append to the target and the checkpoint that follows."""
+
+    def die(*_, **__):
+        raise _Killed
+
+    run.ledger.commit_batches = die
+    try:
+        run.run()
+    except _Killed:
+        pass
+
+
+@registry.add("select * replace (l_shipdate::date as l_shipdate) from lineitem")
+def keyless_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without a key whose driver dies after an append; then the source gives another order."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=5_000, max_commits=4)
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"lineitem": []})), "lineitem")
+    _killed_after_first_append(TableRun(spark, settings, row, ParquetSource(spark, sf_dir), "first"))
+    run_table(spark, settings, row, _Reversed(spark, sf_dir))
+    return _as_double(VersionedTable(spark, settings.target_path(row)).read())
+
+
+@registry.add("""
+with b as (select cast((rn - 1) // 1000 as bigint) as batch, max(o_orderkey) as pk
+           from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders) group by 1),
+n as (select max(batch) as last, (select count(*) from orders) as total, (select max(pk) from b) as pk from b)
+select 'FAILED' as outcome, cast(2 as bigint) as batches_processed, cast(2000 as bigint) as rows_processed, cast(0 as bigint) as resumed_from_batch,
+       cast(2000 as bigint) as rows_in_target from n
+union all
+select 'RESUMED_SUCCESS', last - 1, total - 2000, 2, total from n
+""")
+def resumed_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails at its third commit, and the one that picks up there: what both audits say, and the target's rows."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=1000, batches_per_commit=1)
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
+    target, run = VersionedTable(spark, settings.target_path(row)), TableRun(spark, settings, row, ParquetSource(spark, sf_dir), "first")
+    merge_one = run._merge
+
+    def flaky(commit, edges):
+        if commit["first_batch"] == 2:
+            raise OSError("link down")
+        merge_one(commit, edges)
+
+    run._merge = flaky
+    try:
+        run.run()
+    except OSError:
+        pass
+    rows = [target.row_count()]
+    run_table(spark, settings, row, ParquetSource(spark, sf_dir), "second")
+    rows.append(target.row_count())
+    audit = Ledger(spark, settings.control_path(None)).audit()
+    seen = F.when(F.col("run_id") == "first", F.lit(rows[0])).otherwise(F.lit(rows[1])).cast("bigint")
+    return audit.select("outcome", "batches_processed", "rows_processed", "resumed_from_batch", seen.alias("rows_in_target"))
+
+
+@registry.add("""
+select 'SUCCESS' as first_status, 'SKIPPED' as second_status, 'SUCCESS' as forced_status, count(*) as rows_in_target,
+       cast(2 as bigint) as audits from orders
+""")
+def skipped_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A completed table is skipped, leaves no audit row then, and is read again when forced; nothing comes twice."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=4000)
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
+    first, second, forced = (run_table(spark, settings, row, ParquetSource(spark, sf_dir), force=f)["status"] for f in (False, False, True))
+    target, audits = VersionedTable(spark, settings.target_path(row)).read(), Ledger(spark, settings.control_path(None)).audit().count()
+    return target.agg(F.count(F.lit(1)).alias("rows_in_target")).select(
+        F.lit(first).alias("first_status"), F.lit(second).alias("second_status"), F.lit(forced).alias("forced_status"),
+        "rows_in_target", F.lit(audits).cast("bigint").alias("audits"))
+
+
+@registry.add("""
+select * replace (o_orderdate::date as o_orderdate) from orders where o_orderstatus <> 'O'
+union all
+select * replace (o_orderdate::date as o_orderdate, o_totalprice + 1 as o_totalprice) from orders where o_orderstatus = 'O'
+""")
+def incremental_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two incremental runs: the second sees changed prices and adds only the orders that are new."""
+    orders = table(spark, sf_dir, "orders")
+    settings = Settings(scratch_path(spark, "estate"), batch_size=4000)
+    plan = build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})).withColumn("load_mode", F.lit(S.INCREMENTAL))
+    row = find_table(plan, "orders")
+    for rows in (_loaded(orders), _staged(orders)):
+        run_table(spark, settings, row, FrameSource({"orders": rows}))
+    return _as_double(VersionedTable(spark, settings.target_path(row)).read())
+
+
+@registry.add("""
+select 'r' || r_regionkey || '_dbo' as dataset, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+""")
+def regional_estate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each region's customers from that region's own source, under one table name; one more region cannot be reached."""
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    settings = Settings(scratch_path(spark, "estate"), batch_size=1000, max_commits=2)
+    keys = [r["r_regionkey"] for r in table(spark, sf_dir, "region").orderBy("r_regionkey").collect()]
+    regions = local_frame(spark, [{"region": f"R {k}", "host": f"h{k}"} for k in [*keys, "gone"]], S.REGIONS)
+    plan = build_plan(catalog_of(spark, sf_dir, {"customer": ["c_custkey"]}))
+
+    def connect(region):
+        key = region["region"].split()[1]
+        if key == "gone":
+            raise OSError("no such host")
+        slug = f"r{key}"
+        own = plan.withColumns({"region": F.lit(region["region"]), "region_slug": F.lit(slug), "dataset": F.lit(f"{slug}_dbo")})
+        nations = nation.where(F.col("n_regionkey") == int(key)).select(F.col("n_nationkey").alias("c_nationkey"))
+        return own, FrameSource({"customer": customer.join(nations, "c_nationkey", "left_semi")})
+
+    run_regions(spark, settings, regions, "all", connect)
+    targets = [VersionedTable(spark, f"{settings.root}/data/r{k}_dbo/customer").read().withColumn("dataset", F.lit(f"r{k}_dbo")) for k in keys]
+    return _as_double(reduce(DataFrame.unionByName, targets)).select("dataset", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> Ledger:
+    settings = Settings(scratch_path(spark, "estate"), batch_size=5000, max_commits=1)
+    plan = build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"], "customer": ["c_custkey"]}))
+    for name in ("orders", "customer"):
+        run_table(spark, settings, find_table(plan, name), ParquetSource(spark, sf_dir), run_id=f"run of {name}")
+    return Ledger(spark, settings.control_path(None))
+
+
+_STAGES_SQL = " union all ".join(
+    f"select '{stage}' as stage, {rows} as counted" for stage, rows in
+    [("pipeline", "true"), ("extraction", "true"), ("upload", "false"), ("transfer", "false"), ("load", "true")])
+
+
+@registry.add(f"""
+with t as (select 'orders' as table_name, count(*) as n from orders union all select 'customer', count(*) from customer),
+s as ({_STAGES_SQL})
+select 'run of ' || table_name as run_id, table_name, stage, status,
+       case when status = 'SUCCESS' and counted then n end as rows_processed, status = 'STARTED' as is_start
+from t, s, (select unnest(['STARTED', 'SUCCESS']) as status)
+""")
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage events that two runs wrote, read back."""
+    return _two_runs(spark, sf_dir).events().select(
+        "run_id", "table_name", "stage", "status", "rows_processed", F.col("finished_at").isNull().alias("is_start"))
+
+
+@registry.add("""
+with t as (select 'orders' as table_name, count(*) as n from orders union all select 'customer', count(*) from customer)
+select 'run of ' || table_name as run_id, table_name, 'dbo' as schema_name, 'full' as load_mode, 'SUCCESS' as outcome,
+       cast(ceil(n / 5000.0) as bigint) as batches_processed, n as rows_processed, cast(0 as bigint) as resumed_from_batch from t
+""")
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rows that two runs wrote, read back."""
+    return _two_runs(spark, sf_dir).audit().drop("started_at", "finished_at", "error_message", "run_date")

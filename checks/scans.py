@@ -69,6 +69,24 @@ def decimal_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(table(spark, sf_dir, "orders"), schema)
 
 
+@registry.add("""
+with t as (select l_orderkey, l_linenumber, (l_orderkey + 1)::hugeint * 1000000000000000000 + l_partkey as whole,
+                  l_linenumber - 1 as kept, (l_suppkey % 3) * 25 + 25 as dropped, l_quantity > 40 as more from lineitem)
+select l_orderkey, l_linenumber,
+       ((whole::decimal(38,0) * 10 + kept + case when dropped > 50 or dropped = 50 and (more or kept % 2 = 1) then 1 else 0 end)::decimal(38,0))::varchar as value
+from t
+""")
+def decimal_conform_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of more than 18 integer digits as text, over, under and exactly at half of the last digit kept."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    whole = F.concat((F.col("l_orderkey") + 1).cast("string"), F.lpad(F.col("l_partkey").cast("string"), 18, "0"))
+    dropped = ((F.col("l_suppkey") % 3) * 25 + 25).cast("string")
+    text = F.concat(whole, F.lit("."), (F.col("l_linenumber") - 1).cast("string"), dropped, F.when(F.col("l_quantity") > 40, "000000001").otherwise("000"))
+    typed = conform(lineitem.select("l_orderkey", "l_linenumber", text.alias("value")),
+                    T.StructType.fromDDL("l_orderkey bigint, l_linenumber bigint, value decimal(38,1)"))
+    return typed.select("l_orderkey", "l_linenumber", F.regexp_replace(F.col("value").cast("string"), "[.]", "").alias("value"))
+
+
 @registry.add("""
 select l_linenumber::bigint as l_linenumber, l_orderkey,
        l_extendedprice::decimal(15,2)::decimal(18,4) as l_extendedprice,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import math
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
@@ -22,10 +22,12 @@ from ferrylane.functions.types import conform, struct_of
 from ferrylane.operators import batching, landing, merge, report
 from ferrylane.operators.batching import BATCH
 from ferrylane.operators.ledger import EventBuffer, Ledger, decide, latest_checkpoint, utc_now
-from ferrylane.operators.ranking import RANK, Ranked, number_rows, rank_by_key
+from ferrylane.operators.ranking import RANK, Ranked, number_rows, planned_bytes, rank_by_key, ranges_for
+from ferrylane.plans.regions import RegionError, regions_to_run, union_of_regions
 from ferrylane.session import local_frame
 from ferrylane.sources.tables import TableSource
 from ferrylane.storage import VersionedTable, join_path, path_segment
+from ferrylane.streaming.sync import sync_rows
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +42,8 @@ class Settings:
     root: str
     control: str = "migrated_data"
     batch_size: int = 1_000_000
-    # Batches merged and committed together; by default a table takes at most max_commits steps.
+    # Batches merged in one step; by default a table takes at most max_commits steps. Every batch
+    # gets its own checkpoint row either way, so the ledger does not depend on either.
     batches_per_commit: int | None = None
     max_commits: int = 32
     cutoff: Any = None
@@ -53,9 +56,9 @@ class Settings:
     def target_path(self, table: Row) -> str:
         return join_path(self.root, "data", table["dataset"], path_segment(table["name"]))
 
-    def landing_path(self, table: Row, run_id: str) -> str:
-        place = (path_segment(table["schema"]), path_segment(table["name"]), f"run={path_segment(run_id)}")
-        return join_path(self.root, "landing", table["region_slug"], *place)
+    def landing_path(self, table: Row) -> str:
+        """One place per table: each run replaces the batches of the last."""
+        return join_path(self.root, "landing", table["region_slug"], path_segment(table["schema"]), path_segment(table["name"]))
 
     def work_path(self, kind: str, table: Row) -> str:
         return join_path(self.root, kind, table["dataset"], path_segment(table["name"]))
@@ -94,7 +97,7 @@ class TableRun:
         self.types = struct_of(self.table["columns"])
         self.ledger = Ledger(self.spark, self.settings.control_path(self.table["region_slug"]))
         self.target = VersionedTable(self.spark, self.settings.target_path(self.table))
-        self.landing = self.settings.landing_path(self.table, self.run_id)
+        self.landing = self.settings.landing_path(self.table)
         self.events = EventBuffer(self.run_id, self.schema_name, self.table_name)
 
     def run(self) -> dict[str, Any]:
@@ -114,7 +117,10 @@ class TableRun:
             self.progress = Progress(decision["next_batch_index"], decision["resume_after_json"])
             self.events.start(S.STAGE_PIPELINE)
             try:
-                outcome = self._copy(decision["is_resumed"])
+                if self.table["load_mode"] == S.INCREMENTAL and self.stage == LOAD and not self.table["synthetic_key"]:
+                    outcome = self._sync()
+                else:
+                    outcome = self._copy(decision["is_resumed"])
             except Exception as error:
                 self._fail(error, started_at)
                 raise
@@ -138,6 +144,30 @@ class TableRun:
         counts = local_frame(self.spark, [{**who, "target_rows": rows}], report.LIVE_COUNTS)
         return decide(plan, latest, counts, self.force).first()
 
+    def _sync(self) -> str:
+        """An incremental run: compare the source's keys with the target's and add the rows it lacks.
+
+        Nothing is ranked or landed. A repeated run adds nothing twice, so it needs no checkpoint on the way.
+        """
+        self.target.create(self.types)
+        with self._stage(S.STAGE_EXTRACTION) as done:
+            rows = conform(self._wanted(self.source.scan(self.table)), self.types)
+            if self.source.is_remote(self.table):
+                rows = self._kept("raw", rows)  # keys and rows are looked at apart, the source only once
+            last = K.key_to_json(F.max(F.struct(*K.columns(self.keys))))
+            total, last_key = rows.agg(F.count(F.lit(1)), last).first()
+            done(rows_processed=total)
+        with self._stage(S.STAGE_LOAD) as done:
+            inserted = sync_rows(self.target, rows, self.keys)
+            done(rows_processed=total, extra={"rows_inserted": inserted})
+        self._discard("raw")
+        self.progress.batches, self.progress.rows = math.ceil(total / self.settings.batch_size), total
+        self.progress.last_pk_json = last_key or self.progress.last_pk_json
+        self.ledger.commit(
+            self.run_id, self.schema_name, self.table_name, self.progress.last_batch, self.progress.last_pk_json, S.COMPLETED
+        )
+        return S.SUCCESS
+
     def _copy(self, resumed: bool) -> str:
         self.target.create(self.types)
         ranked, total, scratch = self._extract(resumed)
@@ -154,10 +184,12 @@ class TableRun:
                 self._frozen().drop()
             self.progress.batches, self.progress.rows = batches, total
             return S.SUCCESS_LANDED_ONLY
-        commits = self._commits(edges, batches, first)
+        if self.table["synthetic_key"] and not resumed:
+            # From now on the target may hold these row numbers: whatever happens to this run, the next uses them again.
+            self.ledger.commit(self.run_id, self.schema_name, self.table_name, first - 1, None, S.IN_PROGRESS)
+        for commit in self._commits(edges, batches, first):
+            self._merge(commit, edges)
         self._discard("batches")
-        for commit in commits:
-            self._merge(commit)
         self.ledger.commit(
             self.run_id, self.schema_name, self.table_name, self.progress.last_batch, self.progress.last_pk_json, S.COMPLETED
         )
@@ -184,7 +216,10 @@ class TableRun:
             if self.source.is_remote(self.table) and not synthetic and not ranged:
                 # Range partitioning samples its input first, which would read the source twice.
                 rows = self._kept("raw", rows)
-            scratch = rank_by_key(rows, self.keys, self.settings.work_path("ranked", self.table), already_ranged=ranged)
+            scratch = rank_by_key(
+                rows, self.keys, self.settings.work_path("ranked", self.table), already_ranged=ranged,
+                ranges=None if ranged else ranges_for(planned_bytes(rows)),
+            )
             self._discard("raw")
             done(rows_processed=scratch.rows)
             return scratch.frame, scratch.rows, scratch
@@ -215,6 +250,9 @@ class TableRun:
         if not (resumed and frozen.is_complete()):
             if self.progress.last_pk_json is not None:
                 raise RuntimeError(f"the frozen row numbers that {self.table_name} was being loaded by are gone")
+            if self.stage == LOAD:
+                # Numbers that an earlier run left in the target mean other rows.
+                merge.drop_target_column(self.target, self.keys[0])
             number_rows(self.source.scan(self.table), frozen.path)
         return conform(frozen.frame.withColumnRenamed(RANK, self.keys[0]), self.types)
 
@@ -247,8 +285,8 @@ class TableRun:
         per_commit = self.settings.batches_per_commit or max(1, math.ceil(batches / self.settings.max_commits))
         return sorted(batching.commit_groups(edges, per_commit, first).collect(), key=lambda group: group["commit"])
 
-    def _merge(self, commit: Row) -> None:
-        """Merge one group, then commit it: a crash in between repeats a merge that adds nothing."""
+    def _merge(self, commit: Row, edges: DataFrame) -> None:
+        """Merge one group, then commit its batches: a crash in between repeats a merge that adds nothing."""
         with self._stage(S.STAGE_LOAD, batch_index=commit["last_batch"]) as done:
             in_group = F.col(BATCH).between(commit["first_batch"], commit["last_batch"])
             staged = self._landed().where(in_group).select(*K.columns(self.types.names))
@@ -258,16 +296,16 @@ class TableRun:
                 self.target, staged, self.keys, unique=True, key_range=merge.key_bounds(first, last, self.keys)
             )
             done(rows_processed=commit["rows"], extra={"rows_inserted": inserted})
-        self.ledger.commit(
-            self.run_id, self.schema_name, self.table_name, commit["last_batch"], commit["last_pk_json"], S.IN_PROGRESS
-        )
+        merged = edges.where(in_group).select(BATCH, K.key_to_json("last_key").alias("last_pk_json"))
+        self.ledger.commit_batches(self.run_id, self.schema_name, self.table_name, merged, S.IN_PROGRESS)
         self.progress.batches += commit["batches"]
         self.progress.rows += commit["rows"]
         self.progress.last_pk_json = commit["last_pk_json"]
 
     def _forget_row_numbers(self) -> None:
-        """Drop the numbers from the target and the frozen copy. A failure here loses no data."""
-        for step in (self._frozen().drop, lambda: merge.drop_target_column(self.target, self.keys[0])):
+        """Drop the numbers from the target, then the frozen copy. A failure here loses no data:
+        numbers that stay in the target go when the table is numbered afresh."""
+        for step in (lambda: merge.drop_target_column(self.target, self.keys[0]), self._frozen().drop):
             try:
                 step()
             except Exception as error:
@@ -337,14 +375,15 @@ def run_estate(
     spark: SparkSession,
     settings: Settings,
     plan: DataFrame,
-    source: TableSource,
+    source: TableSource | Mapping[str | None, TableSource],
     load_mode: str | None = None,
     stage: str = LOAD,
     force: bool = False,
 ) -> tuple[DataFrame, list[VersionedTable]]:
     """Copy every planned table, several at a time, then write each region's report.
 
-    A table that fails does not stop the others. Returns one row per table
+    ``source`` is one source, or one for each region; a region without one fails, with all its
+    tables. A table that fails does not stop the others. Returns one row per table
     (region, schema, name, status, batches, rows, error) and the reports.
     """
     wanted = plan if load_mode is None else plan.where(F.col("load_mode") == load_mode)
@@ -358,7 +397,10 @@ def run_estate(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", ".".join(p or "" for p in who.values()))
         try:
             run_id = f"{batch}:{table['schema']}.{table['name']}"
-            return {**who, **run_table(spark, settings, table, source, run_id, stage, force)}
+            if isinstance(source, Mapping) and table["region"] not in source:
+                raise RegionError(f"no source for region {table['region']!r}")
+            own = source[table["region"]] if isinstance(source, Mapping) else source
+            return {**who, **run_table(spark, settings, table, own, run_id, stage, force)}
         except Exception as error:
             log.warning("table %s.%s failed: %s", table["schema"], table["name"], error)
             return {**who, "status": S.FAILED, "error_message": str(error)}
@@ -370,21 +412,43 @@ def run_estate(
     return local_frame(spark, results, columns), write_reports(spark, settings, tables)
 
 
+def run_regions(
+    spark: SparkSession,
+    settings: Settings,
+    regions: DataFrame,
+    requested: str | None,
+    connect: Callable[[Row], tuple[DataFrame, TableSource]],
+    load_mode: str | None = None,
+    **options: Any,
+) -> tuple[DataFrame, list[VersionedTable], dict[str, str]]:
+    """Plan and copy the requested regions, each from its own source.
+
+    ``connect`` gives a region's plan and source. A region that cannot be reached is named in the
+    third result and does not stop the others; if none can be, the call fails.
+    """
+    wanted = {row["region"]: row for row in regions_to_run(regions, requested).collect()}
+    sources: dict[str | None, TableSource] = {}
+
+    def plan_of(region: str | None) -> DataFrame:
+        plan, source = connect(wanted[region])
+        sources[region] = source
+        return plan
+
+    plan, errors = union_of_regions({region: lambda region=region: plan_of(region) for region in wanted}, load_mode)
+    results, reports = run_estate(spark, settings, plan, sources, **options)
+    return results, reports, errors
+
+
 def write_reports(spark: SparkSession, settings: Settings, tables: Sequence[Row]) -> list[VersionedTable]:
     """One status report per region. A report that fails only warns."""
     written = []
     for slug in sorted({t["region_slug"] for t in tables}, key=str):
         own = [t for t in tables if t["region_slug"] == slug]
         try:
-            frames = {(t["schema"], t["name"]): _target_rows(spark, settings, t) for t in own}
+            paths = {(t["schema"], t["name"]): VersionedTable(spark, settings.target_path(t)).current_path() for t in own}
             ledger = Ledger(spark, settings.control_path(slug))
-            rows = report.status_report(ledger.audit(), report.live_counts(spark, frames), slug)
+            rows = report.status_report(ledger.audit(), report.live_counts(spark, paths), slug)
             written.append(report.write_report(rows, ledger.root))
         except Exception as error:
             log.warning("report of region %s failed: %s", slug, error)
     return written
-
-
-def _target_rows(spark: SparkSession, settings: Settings, table: Row) -> DataFrame | None:
-    target = VersionedTable(spark, settings.target_path(table))
-    return target.read(struct_of(table["columns"])) if target.exists() else None

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ferrylane import schemas as S
 from ferrylane import storage
-from ferrylane.operators.batching import with_resume_point
+from ferrylane.operators.batching import BATCH, with_resume_point
 from ferrylane.session import column_names, local_frame
 
 log = logging.getLogger(__name__)
@@ -167,6 +167,15 @@ class Ledger:
         }
         local_frame(self.spark, [row], S.CHECKPOINT).write.mode("append").parquet(self._writer_path("checkpoint", row))
 
+    def commit_batches(self, run_id: str, schema_name: str, table_name: str, batches: DataFrame, status: str) -> None:
+        """Append a checkpoint for each row of ``batches`` (batch_index, last_pk_json), all at once."""
+        who = {"table_name": table_name, "schema_name": schema_name, "run_id": run_id}
+        rows = batches.select(
+            F.lit(table_name).alias("table_name"), F.lit(schema_name).cast("string").alias("schema_name"), "last_pk_json",
+            F.col(BATCH).cast("bigint").alias("last_batch_index"), F.lit(status).alias("status"), F.lit(run_id).alias("run_id"),
+            F.lit(utc_now()).alias("updated_at"))
+        rows.coalesce(1).write.mode("append").parquet(self._writer_path("checkpoint", who))
+
     def append_audit(self, **row: Any) -> None:
         """Append an audit row, dated by its start. A failure only warns."""
         try:

@@ -18,6 +18,8 @@ _SLICE = "__slice"
 _START = "__start"
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
 _MAX_BROADCAST_SLICES = 2_000_000
+# Bytes of input that one range, and so one sorting task, is meant to hold.
+RANGE_BYTES = 128 * 1024 * 1024
 
 
 class Ranked:
@@ -66,7 +68,7 @@ class Ranked:
         # Starts left by an earlier copy must not be taken for those of this one.
         storage.delete(self.spark, self._starts)
         slotted = ordered.withColumn(_SLOT, F.monotonically_increasing_id())
-        slotted.drop(_TIE).write.mode("overwrite").parquet(self._data)
+        slotted.drop(_TIE).write.mode("overwrite").options(**storage.MARKED).parquet(self._data)
         sizes = (
             self.spark.read.parquet(self._data)
             .groupBy(_slice_of(F.col(_SLOT)).alias(_SLICE))
@@ -75,7 +77,7 @@ class Ranked:
         # The running total is over slices, not rows: as many rows as there were tasks.
         before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
         starts = sizes.withColumn(_START, F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        starts.coalesce(1).write.mode("overwrite").parquet(self._starts)
+        starts.coalesce(1).write.mode("overwrite").options(**storage.MARKED).parquet(self._starts)
         return self
 
 
@@ -83,8 +85,20 @@ def _slice_of(slot: Column) -> Column:
     return F.shiftright(slot, _INDEX_BITS)
 
 
+def ranges_for(input_bytes: int | None, range_bytes: int = RANGE_BYTES) -> int | None:
+    """How many ranges hold that many bytes; None, the session's default, when they are not known."""
+    return None if input_bytes is None else max(1, -(-input_bytes // range_bytes))
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """What Spark's plan says that a frame reads; None when it does not know (it then says a number beyond any store)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else None
+
+
 def rank_by_key(
-    df: DataFrame, keys: Sequence[str], path: str, ties: bool = False, already_ranged: bool = False
+    df: DataFrame, keys: Sequence[str], path: str, ties: bool = False, already_ranged: bool = False,
+    ranges: int | None = None,
 ) -> Ranked:
     """Rank rows by key: range partition, sort each range, write, then add up range sizes.
 
@@ -95,14 +109,15 @@ def rank_by_key(
     With ``ties`` the keys may repeat: equal keys are spread over ranges by their
     place in the input, so one key with very many rows does not fill one task.
     The input's order must then be stable, as that of a file scan is.
-    ``already_ranged`` says that the partitions of ``df`` are ascending key
+    ``ranges`` is how many ranges are cut, by default as many as the session has shuffle
+    partitions. ``already_ranged`` says that the partitions of ``df`` are ascending key
     ranges, as from a range-partitioned source scan; then nothing is shuffled.
     """
     spark = df.sparkSession
     order = columns(keys)
     if ties:
         df, order = df.withColumn(_TIE, F.monotonically_increasing_id()), [*order, F.col(_TIE)]
-    ranged = df if already_ranged else df.repartitionByRange(*order)
+    ranged = df if already_ranged else df.repartitionByRange(*([ranges] if ranges else []), *order)
     return Ranked(spark, path)._write(ranged.sortWithinPartitions(*order))
 
 

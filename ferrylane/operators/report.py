@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
-from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,33 +13,47 @@ from ferrylane.functions.naming import dataset_name
 from ferrylane.operators.ledger import latest_audit
 from ferrylane.session import local_frame
 
+log = logging.getLogger(__name__)
+
 LIVE_COUNTS = "schema_name string, table_name string, target_rows bigint"
 
 
-def live_counts(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame | None]) -> DataFrame:
-    """(schema_name, table_name, target_rows) of every readable table, counted in one job.
+def live_counts(spark: SparkSession, paths: Mapping[tuple[str, str], str | None]) -> DataFrame:
+    """(schema_name, table_name, target_rows) of every readable table, counted in one scan.
 
-    Counting reads no columns, only file footers. Tables given as None are left
-    out, so that joins show them as NULL; an empty table counts 0.
+    ``paths`` has each table's folder or file of Parquet. Counting reads no columns, only file
+    footers, and files are told apart by where they lie. Tables given as None and tables that
+    cannot be read are left out, so that joins show them as NULL; an empty table counts 0.
     """
-    readable = [(schema, name, df) for (schema, name), df in tables.items() if df is not None]
+    readable = {who: path for who, path in paths.items() if path is not None}
     if not readable:
         return spark.createDataFrame([], LIVE_COUNTS)
-    zeros = [{"schema_name": s, "table_name": n, "target_rows": 0} for s, n, _ in readable]
-    names = local_frame(spark, zeros, LIVE_COUNTS)
-    ones = [
-        df.select(F.lit(s).alias("schema_name"), F.lit(n).alias("table_name"), F.lit(1).cast("bigint").alias("target_rows"))
-        for s, n, df in readable
-    ]
-    rows = _union([names, *ones])
-    return rows.groupBy("schema_name", "table_name").agg(F.sum("target_rows").alias("target_rows"))
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    """Union in pairs, so that thousands of frames make a shallow plan."""
-    while len(frames) > 1:
-        frames = [a[0].unionByName(a[1]) if len(a) == 2 else a[0] for a in batched(frames, 2)]
-    return frames[0]
+    names = [{"schema_name": s, "table_name": n, "path": storage.qualified(spark, p)} for (s, n), p in readable.items()]
+    found = _counts_by_path(spark, [row["path"] for row in names])
+    rows = [{**row, "target_rows": found[row["path"]]} for row in names if row["path"] in found]
+    return local_frame(spark, rows, LIVE_COUNTS)
+
+
+def _counts_by_path(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Rows below each path. If a scan fails, its halves are scanned apart, until what can't be read stands alone."""
+    try:
+        counted = counts_scan(spark, paths).collect()
+        return {**dict.fromkeys(paths, 0), **{r["path"]: r["rows"] for r in counted}}
+    except Exception as error:
+        if len(paths) == 1:
+            log.warning("%s could not be counted: %s", paths[0], error)
+            return {}
+        middle = len(paths) // 2
+        return {**_counts_by_path(spark, paths[:middle]), **_counts_by_path(spark, paths[middle:])}
+
+
+def counts_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, rows) of Parquet folders or files, one scan for all of them; as many rows as paths."""
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    # No file has this column, so nothing but footers is read.
+    files = spark.read.schema("`(none)` tinyint").parquet(*paths).groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    places = files.select(F.explode(F.array("file", F.regexp_replace("file", "/[^/]*$", ""))).alias("path"), "rows")
+    return places.join(local_frame(spark, [{"path": p} for p in paths], "path string"), "path").groupBy("path").agg(F.sum("rows").alias("rows"))
 
 
 def status_report(audit: DataFrame, counts: DataFrame, region_slug: str | None = None) -> DataFrame:

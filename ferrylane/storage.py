@@ -27,6 +27,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Spark leaves its success marker whatever the cluster's default is.
+MARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a Spark write to ``path`` finished (its success marker is there)."""
     return exists(spark, join_path(path, "_SUCCESS"))
@@ -38,6 +42,12 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as file scans name it, with one slash after the scheme."""
+    fs, p = _filesystem(spark, path)
+    return re.sub(r"^([A-Za-z0-9+.-]+):/+", r"\1:/", fs.makeQualified(p).toUri().toString())
+
+
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     fs, p = _filesystem(spark, path)
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
@@ -97,7 +107,7 @@ class VersionedTable:
         return self
 
     def append(self, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.current_path() or self._version_path(1))
+        df.write.mode("append").options(**MARKED).parquet(self.current_path() or self._version_path(1))
 
     def replace(self, df: DataFrame) -> str:
         """Write ``df`` as the next version and return its path.
@@ -106,7 +116,7 @@ class VersionedTable:
         """
         replaced, versions = self.current_path(), self._versions()
         path = self._version_path(versions[-1] + 1 if versions else 1)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**MARKED).parquet(path)
         for version in versions:
             if self._version_path(version) != replaced:
                 delete(self.spark, self._version_path(version))

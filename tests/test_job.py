@@ -142,18 +142,18 @@ def test_resuming_gives_what_an_unbroken_run_gives(estate, breaking, name, broke
 
 
 def test_a_crash_between_merge_and_checkpoint_adds_nothing_twice(estate, monkeypatch):
-    e, real = estate(batch_size=500, batches_per_commit=1), Ledger.commit
+    e, real = estate(batch_size=500, batches_per_commit=1), Ledger.commit_batches
 
-    def lost(self, run_id, schema, table, index, pk, status):
-        if status == S.IN_PROGRESS and index == 1:
+    def lost(self, run_id, schema, table, batches, status):
+        if batches.first()["batch_index"] == 1:
             raise OSError("ledger down")
-        real(self, run_id, schema, table, index, pk, status)
+        real(self, run_id, schema, table, batches, status)
 
-    monkeypatch.setattr(Ledger, "commit", lost)
+    monkeypatch.setattr(Ledger, "commit_batches", lost)
     with pytest.raises(OSError):
         e.run("orders")
     assert e.target("orders").row_count() == 1000 and e.statuses()[-1][:2] == ("FAILED", 0)
-    monkeypatch.setattr(Ledger, "commit", real)
+    monkeypatch.setattr(Ledger, "commit_batches", real)
     assert e.run("orders")["rows_processed"] == 1000
     assert e.target("orders").read().select("o_orderkey").distinct().count() == e.target("orders").row_count() == 1500
 
@@ -173,7 +173,7 @@ def test_landing_only_leaves_no_checkpoint_and_no_row_numbers(estate, spark, mon
 
     e = estate(batch_size=1000)
     assert e.run("lineitem", run_id="a:b", stage=LAND_ONLY)["status"] == "SUCCESS_LANDED_ONLY"
-    landed = spark.read.parquet(e.settings.landing_path(e.row("lineitem"), "a:b"))
+    landed = spark.read.parquet(e.settings.landing_path(e.row("lineitem")))
     assert "source_row_id" not in landed.columns and landed.groupBy("batch_index").count().where("count <> 1000").isEmpty()
     assert landed.count() == 6000 and e.statuses() == [] and e.target("lineitem").row_count() == 0
     assert e.outcomes() == [("SUCCESS_LANDED_ONLY", 6, 6000, 0)]
@@ -322,3 +322,169 @@ def test_the_landing_partition_name_is_reserved(estate):
     row["columns"].append({**row["columns"][0], "name": "Batch_Index"})
     with pytest.raises(ValueError, match="batch_index"):
         TableRun(e.spark, e.settings, row, e.source, "r").run()
+
+
+class Killed(BaseException):
+    """The end of a driver: nothing catches it."""
+
+
+class Turned(ParquetSource):
+    """A source that gives its rows in another order each time it is asked, as databases may."""
+
+    def scan(self, table):
+        return super().scan(table).orderBy(F.desc("l_orderkey"), F.desc("l_linenumber"))
+
+
+def killed(monkeypatch, where, name, on=1):
+    """Let a run die on its n-th call of a method."""
+    calls, real = {"n": 0}, getattr(where, name)
+
+    def die(*args, **options):
+        calls["n"] += 1
+        if calls["n"] == on:
+            raise Killed
+        return real(*args, **options)
+
+    monkeypatch.setattr(where, name, die)
+
+
+@pytest.mark.parametrize("commits", [1, 2])
+def test_a_killed_keyless_run_loses_and_doubles_nothing(estate, spark, sf_dir, read, monkeypatch, commits):
+    e = estate(batch_size=1000, batches_per_commit=1)
+    killed(monkeypatch, Ledger, "commit_batches", commits)
+    with pytest.raises(Killed):
+        e.run("lineitem")
+    monkeypatch.undo()
+    assert e.target("lineitem").row_count() == 1000 * commits
+    assert e.statuses()[0] == ("IN_PROGRESS", -1, None) and len(e.statuses()) == commits
+    e.run("lineitem", source=Turned(spark, sf_dir))
+    got = e.target("lineitem").read()
+    assert got.columns == read("lineitem").columns
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
+    assert same_rows(got.select(keys), read("lineitem").select(keys))
+
+
+def test_numbers_that_could_not_be_dropped_do_no_harm(estate, spark, sf_dir, monkeypatch):
+    e = estate(batch_size=2000)
+    real = merge.drop_target_column
+
+    def refuse(table, column):
+        if table.row_count():
+            raise OSError("no rewrite")
+        return real(table, column)
+
+    monkeypatch.setattr(merge, "drop_target_column", refuse)
+    e.run("lineitem")
+    assert "source_row_id" in e.target("lineitem").read().columns
+    monkeypatch.undo()
+    e.run("lineitem", source=Turned(spark, sf_dir), force=True)
+    # As after any forced run of a keyless table every row is there again; none is missing.
+    assert "source_row_id" not in e.target("lineitem").read().columns
+    assert e.target("lineitem").read().groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").count().where("count % 2 = 1").isEmpty()
+    assert e.target("lineitem").row_count() == 12000
+
+
+def test_every_batch_has_a_checkpoint_however_they_are_merged(estate):
+    one, few = estate(batch_size=100, batches_per_commit=1), estate(batch_size=100, max_commits=2)
+    one.run("orders")
+    few.run("orders")
+    assert sorted(one.statuses()) == sorted(few.statuses()) and len(few.statuses()) == 16
+
+
+def test_a_keyed_load_writes_rows_to_landing_and_target_after_ranking(estate, spark, monkeypatch):
+    e, ranges = estate(batch_size=500), []
+    from ferrylane import job
+
+    real = job.rank_by_key
+    monkeypatch.setattr(job, "rank_by_key", lambda *a, **k: ranges.append(k["ranges"]) or real(*a, **k))
+    e.run("orders")
+    e.run("orders", force=True)
+    assert ranges == [1, 1]
+    path = e.settings.landing_path(e.row("orders"))
+    assert spark.read.parquet(path).count() == 1500  # the second run's batches replaced the first's
+
+
+def test_incremental_runs_rank_and_land_nothing(estate, spark, plan, sf_dir, monkeypatch):
+    from ferrylane import job
+
+    e = Estate(spark, plan.withColumn("load_mode", F.lit("incremental")), sf_dir)
+    monkeypatch.setattr(job, "rank_by_key", lambda *a, **k: pytest.fail("ranked"))
+    assert e.run("orders")["rows_processed"] == 1500 and e.run("orders")["rows_processed"] == 1500
+    assert e.target("orders").row_count() == 1500 and not storage.exists(spark, e.settings.landing_path(e.row("orders")))
+    assert e.statuses()[-1][0] == "COMPLETED" and e.statuses()[-1][2] == '{"o_orderkey":1499}'
+
+
+def regional(plan, *names):
+    slug = F.regexp_replace(F.lower("region"), " ", "_")
+    own = plan.where("name = 'orders'").withColumn("region", F.explode(F.array(*map(F.lit, names))))
+    return own.withColumn("region_slug", slug).withColumn("dataset", F.concat_ws("_", slug, "schema"))
+
+
+def test_each_region_is_copied_from_its_own_source(spark, plan, read):
+    regions = local_frame(spark, [{"region": r, "host": f"{r}.example"} for r in ("North", "South", "Lost")], S.REGIONS)
+    halves = {"North": read("orders").where("o_orderkey < 700"), "South": read("orders").where("o_orderkey >= 600")}
+
+    def connect(row):
+        if row["region"] == "Lost":
+            raise OSError("unreachable")
+        return regional(plan, row["region"]), FrameSource({("dbo", "orders"): halves[row["region"]]})
+
+    from ferrylane.job import run_regions
+    from ferrylane.plans.regions import RegionError
+
+    settings = Settings(scratch_path(spark, "estate"), batch_size=400)
+    results, reports, errors = run_regions(spark, settings, regions, "all", connect)
+    assert errors == {"Lost": "unreachable"} and len(reports) == 2
+    assert {r["region"]: r["rows_processed"] for r in results.collect()} == {"North": 700, "South": 900}
+    for slug, rows in (("north", 700), ("south", 900)):
+        assert VersionedTable(spark, f"{settings.root}/data/{slug}_dbo/orders").row_count() == rows
+    with pytest.raises(RegionError, match="every region failed"):
+        run_regions(spark, settings, regions, "lost", connect)
+    results, _ = run_estate(spark, settings, regional(plan, "North", "South"), {"North": FrameSource({"orders": halves["North"]})}, force=True)
+    assert {r["region"]: r["status"] for r in results.collect()} == {"North": "SUCCESS", "South": "FAILED"}
+
+
+def test_tables_of_one_name_in_two_schemas_are_two_tables(spark, plan, read):
+    two = plan.where("name = 'orders'").withColumn("schema", F.explode(F.array(F.lit("a"), F.lit("b")))).withColumn("dataset", F.col("schema"))
+    settings = Settings(scratch_path(spark, "estate"))
+    run_estate(spark, settings, two, FrameSource({("a", "orders"): read("orders").limit(10), ("b", "orders"): read("orders").limit(20)}))
+    assert [VersionedTable(spark, f"{settings.root}/data/{s}/orders").row_count() for s in "ab"] == [10, 20]
+
+
+def test_a_report_is_written_past_an_unreadable_target(estate, spark, plan):
+    from pathlib import Path
+
+    from ferrylane.job import write_reports
+
+    e = estate(batch_size=2000)
+    e.run("orders")
+    e.run("customer")
+    (Path(e.target("customer").current_path()) / "part-broken.parquet").write_bytes(b"garbage")
+    reports = write_reports(spark, e.settings, [e.row("orders"), e.row("customer")])
+    assert {r["table_name"]: r["total_rows_in_target"] for r in reports[0].read().collect()} == {"orders": 1500, "customer": None}
+
+
+def test_finished_versions_are_known_whatever_the_cluster_marks(estate, spark):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        e = estate(batch_size=1000)
+        e.run("orders")
+        assert e.run("orders")["status"] == "SKIPPED" and e.target("orders").row_count() == 1500
+        e.run("lineitem")
+        assert e.target("lineitem").row_count() == 6000
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+@pytest.mark.parametrize("kind, value", [
+    ("binary", "unhex(lpad(hex(id * 7 + 200), 4, '0'))"), ("decimal(30,10)", "cast(id as decimal(30,10)) / 7"),
+    ("timestamp", "timestamp_micros(id * 1234567891)"), ("string", "concat('k', id)"), ("date", "date_add(date'2020-01-01', cast(id as int))")])
+def test_stream_batches_find_keys_of_any_type(spark, kind, value):
+    from ferrylane.streaming.sync import sync_batch
+
+    rows = spark.range(40).selectExpr(f"cast({value} as {kind}) as k", "id as v")
+    target = VersionedTable(spark, scratch_path(spark, "target"))
+    target.replace(rows.where("v < 30"))
+    assert sync_batch(target, rows.where("v between 10 and 19"), ["k"]) == 0
+    assert sync_batch(target, rows, ["k"]) == 10 and sync_batch(target, rows, ["k"]) == 0

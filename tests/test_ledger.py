@@ -96,8 +96,28 @@ def test_events_pair_up_and_are_kept_twice(spark, book):
     assert raw.count() == 2 and [r[0] for r in raw.select("run_id").distinct().collect()] == ["r:1"]
 
 
+def stored(spark, rows, name="table"):
+    path = f"{scratch_path(spark, 'counted')}/{name}"
+    spark.range(rows).repartition(2).write.parquet(path)
+    return path
+
+
+def test_a_table_that_cannot_be_read_is_left_out(spark, tmp_path):
+    paths = {("dbo", f"t{i}"): stored(spark, i) for i in range(5)}
+    (tmp_path / "part-0.parquet").write_bytes(b"not a table")
+    paths["dbo", "broken"] = str(tmp_path)
+    got = {r[1]: r[2] for r in report.live_counts(spark, paths).collect()}
+    assert got == {f"t{i}": i for i in range(5)}
+
+
+def test_many_tables_are_one_scan(spark, plan_of):
+    path = stored(spark, 1)
+    paths = [f"{path}/{f}" for f in __import__("os").listdir(path) if f.endswith(".parquet")] * 1000
+    assert plan_of(report.counts_scan(spark, paths)).split("== Physical Plan ==")[1].count("FileScan") == 1
+
+
 def test_live_counts_of_present_empty_and_missing_tables(spark):
-    tables = {("dbo", "a"): spark.range(7), ("dbo", "b"): spark.range(0), ("s", "a"): spark.range(2), ("dbo", "gone"): None}
+    tables = {("dbo", "a"): stored(spark, 7), ("dbo", "b"): stored(spark, 0), ("s", "a"): stored(spark, 2, "a name"), ("dbo", "gone"): None}
     got = {(r[0], r[1]): r[2] for r in report.live_counts(spark, tables).collect()}
     assert got == {("dbo", "a"): 7, ("dbo", "b"): 0, ("s", "a"): 2}
     assert report.live_counts(spark, {("dbo", "gone"): None}).isEmpty()
@@ -113,7 +133,7 @@ def test_report_is_replaced_each_time(spark, book):
              "rows_processed": rows, "started_at": at(2), "finished_at": at(3)},
             {"run_id": "c", "table_name": "never", "schema_name": "dbo", "outcome": "FAILED", "finished_at": at(3)},
         ], S.AUDIT)
-        counts = report.live_counts(spark, {("my-schema", "t"): spark.range(rows)})
+        counts = report.live_counts(spark, {("my-schema", "t"): stored(spark, rows)})
         report.write_report(report.status_report(audit, counts, "east_us"), root)
     got = VersionedTable(spark, f"{root}/report").read()
     assert [f.split()[0] for f in S.REPORT.split(", ")] == got.columns

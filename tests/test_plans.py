@@ -9,7 +9,7 @@ from ferrylane.plans import planner as P
 from ferrylane.plans import regions as R
 from ferrylane.session import local_frame
 from ferrylane.sources import catalog as C
-from ferrylane.sources.tables import JdbcSource, range_predicates, split_points_query
+from ferrylane.sources.tables import JdbcSource, hash_predicates, hashed_columns, range_predicates, split_points_query
 
 
 def frame(spark, ddl, rows):
@@ -146,8 +146,14 @@ def test_schema_table_shorthand():
             P.split_schema_table(raw, schema)
 
 
-REGIONS = [("East US", "e.database.example"), ("West US", "w.database.example"), ("West US 2", "w2.database.example"),
-           ("Brazil South", "<server-name>.database.example"), ("Germany West Central", "g.database.example")]
+REGIONS = [("Upper Delta", "ud.example"), ("Lake Side", "lake.example"), ("Lake Side 7", "lake7.example"),
+           ("High Moor", "<to be filled in>"), ("Far Isles", "isles.example")]
+
+
+def spellings(name):
+    """The rule: case, and anything but letters and digits, makes no difference."""
+    words = name.split()
+    return [sep.join(words) for sep in (" ", "", "-", "__", " . ")] + [name.upper(), name.lower(), f"\t{name}  "]
 
 
 @pytest.fixture
@@ -155,15 +161,16 @@ def regions(spark):
     return frame(spark, S.REGIONS, REGIONS)
 
 
-@pytest.mark.parametrize("text", ["East US", "east us", "EAST-US", "east_us", "eastus", "  East   US  "])
+@pytest.mark.parametrize("text", spellings("Upper Delta"))
 def test_region_names_match_loosely(regions, text):
-    assert [r["region"] for r in R.regions_to_run(regions, text).collect()] == ["East US"]
+    assert [r["region"] for r in R.regions_to_run(regions, text).collect()] == ["Upper Delta"]
 
 
 def test_region_names_never_match_by_prefix(regions):
-    assert R.regions_to_run(regions, "west us").first()["host"] == "w.database.example"
+    assert R.regions_to_run(regions, "lake side").first()["host"] == "lake.example"
+    assert R.regions_to_run(regions, "LAKE_SIDE_7").first()["host"] == "lake7.example"
     with pytest.raises(R.RegionError, match="unknown region"):
-        R.regions_to_run(regions, "west")
+        R.regions_to_run(regions, "lake")
     for nothing in (None, "  "):
         with pytest.raises(R.RegionError, match="required"):
             R.regions_to_run(regions, nothing)
@@ -178,15 +185,15 @@ def test_without_regions_there_is_one_database(spark):
 
 @pytest.mark.parametrize("word", ["ALL", "*"])
 def test_all_regions_are_those_with_a_host(spark, regions, word):
-    assert {r["region"] for r in R.regions_to_run(regions, word).collect()} == {n for n, _ in REGIONS} - {"Brazil South"}
+    assert {r["region"] for r in R.regions_to_run(regions, word).collect()} == {n for n, _ in REGIONS} - {"High Moor"}
     with pytest.raises(R.RegionError, match="no region"):
         R.regions_to_run(regions.withColumn("host", F.lit(" ")), word)
 
 
 def test_regions_that_are_the_same_are_refused(spark, regions):
-    twice = regions.unionByName(frame(spark, S.REGIONS, [("east-us", "h", "us")]))
-    with pytest.raises(R.RegionError, match="East US, east-us"):
-        R.regions_to_run(twice, "east us")
+    twice = regions.unionByName(frame(spark, S.REGIONS, [("far-isles", "h", "us")]))
+    with pytest.raises(R.RegionError, match="Far Isles, far-isles"):
+        R.regions_to_run(twice, "far isles")
 
 
 def test_one_region_that_fails_does_not_stop_the_others(spark):
@@ -282,4 +289,44 @@ def test_catalog_and_scan_over_jdbc(spark, catalog, monkeypatch):
     text_key = P.find_table(plan, "pair").asDict(recursive=True)
     text_key["columns"] = [{**c, "logical_type": "STRING"} for c in text_key["columns"]]
     JdbcSource(spark, "jdbc:x", {"user": "u"}, parts=3).scan(text_key)
-    assert asked[-1] == ('"my-schema"."pair"', None, {"user": "u", "pushDownPredicate": "false"})
+    assert asked[-1] == ('"my-schema"."pair"', hash_predicates(["y", "x"], 3), {"user": "u", "pushDownPredicate": "false"})
+    JdbcSource(spark, "jdbc:x", {}, parts=3).scan(P.find_table(plan, "transactions_all"))
+    assert asked[-1][1] == hash_predicates(["b"], 3)  # the other column is xml
+    assert JdbcSource(spark, "jdbc:x", {}).parts == spark.sparkContext.defaultParallelism > 1
+
+
+# What a database's checksum gives is not stated; any function of the columns that returns a number will do.
+_CHECKSUM = """
+create macro binary_checksum(a) as coalesce(hash(a)::hugeint - 9223372036854775808, null)::bigint,
+    (a, b) as (hash(a, b)::hugeint - 9223372036854775808)::bigint, (a, b, c) as case when c is null then null else -abs(hash(a, b, c)::hugeint // 4) end
+"""
+
+
+@pytest.mark.parametrize("names", [["t"], ["g"], ["b"], ["t", "n"], ["t", "n", "d"]])
+def test_hashed_parts_take_every_row_once(names):
+    """Text in several cases, GUIDs, bytes, NULLs and times, asked of DuckDB as it would be of a database."""
+    import duckdb
+
+    db = duckdb.connect()
+    db.execute(_CHECKSUM)
+    db.execute("""create table s as select i, case i % 3 when 0 then upper('key' || i) when 1 then 'key' || i else 'Key' || i end as t,
+        uuid() as g, encode('b' || i) as b, case when i % 4 > 0 then i % 7 end as n,
+        case when i % 5 > 0 then timestamp '2024-01-01' + to_milliseconds(i * 1003) end as d from range(3000) r(i)""")
+    parts = [db.execute(f"select i from s where {p}").fetchall() for p in hash_predicates(names, 6)]
+    assert sorted(r for part in parts for r in part) == [(i,) for i in range(3000)]
+    assert max(map(len, parts)) < 2000
+
+
+def test_what_is_hashed():
+    columns = [{"name": n, "source_type": k} for n, k in [("id", "NVARCHAR(20)"), ("note", "ntext"), ("x", "int"), ("r", "bigint")]]
+    assert hashed_columns({"synthetic_key": False, "primary_key": ["id"], "columns": columns}) == ["id"]
+    assert hashed_columns({"synthetic_key": True, "primary_key": ["r"], "columns": columns}) == ["id", "x"]
+
+
+def test_key_literals_have_the_digits_of_their_source_type():
+    import datetime as dt
+
+    at = [(dt.datetime(2023, 5, 6, 7, 8, 9, 123000),), (dt.datetime(2024, 5, 6, 7, 8, 0),)]
+    assert range_predicates(["k"], at, {"k": "datetime"})[0] == """(("k" < '2024-05-06T07:08:00.000'))"""
+    assert range_predicates(["k"], at, {"k": "smalldatetime"})[0] == """(("k" < '2024-05-06T07:08:00'))"""
+    assert range_predicates(["k"], at, {"k": "datetime2"})[0] == """(("k" < '2024-05-06 07:08:00'))"""

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ferrylane.operators.batching import RANK, assign_batches, batch_edges, commit_groups, key_page, with_resume_point
-from ferrylane.operators.ranking import Ranked, number_rows, rank_by_key
+from ferrylane.operators.ranking import Ranked, number_rows, planned_bytes, rank_by_key, ranges_for
 from ferrylane.session import scratch_path
 
 
@@ -62,6 +62,18 @@ def test_row_numbers_are_dense_unique_and_frozen(spark, read):
     assert not frozen.is_complete()
 
 
+@pytest.mark.parametrize("size, ranges", [(0, 1), (1, 1), (100, 1), (101, 2), (100_000, 1000), (None, None)])
+def test_ranges_follow_the_input(size, ranges):
+    assert ranges_for(size, range_bytes=100) == ranges
+
+
+def test_ranked_slices_are_as_many_as_ranges(spark, read):
+    orders = read("orders")
+    assert 0 < planned_bytes(orders) < 1 << 30
+    ranked = rank_by_key(orders, ["o_orderkey"], scratch_path(spark, "t"), ranges=11)
+    assert spark.read.parquet(f"{ranked.path}/slices").count() == 11 and ranked.rows == 1500
+
+
 def test_a_copy_that_dies_is_not_complete(spark):
     path = scratch_path(spark, "t")
     number_rows(spark.range(10), path)
@@ -109,11 +121,9 @@ def test_commit_groups_cover_all_batches(spark):
 
 
 @pytest.mark.parametrize("status, index, pk, expected", [
-    ("IN_PROGRESS", 0, '{"id": 9}', ('{"id": 9}', 1, True)),
-    ("FAILED", -1, None, (None, 0, True)),
-    ("FAILED", None, None, (None, 0, True)),
-    ("FAILED", 4, '{"id": 125000}', ('{"id": 125000}', 5, True)),
-    ("COMPLETED", 4, '{"id": 1}', (None, 0, False)),
+    *[(status, index, f'{{"k":{index}}}', (f'{{"k":{index}}}', index + 1, True)) for status in ("IN_PROGRESS", "FAILED") for index in (0, 1, 38)],
+    *[(status, index, None, (None, 0, True)) for status in ("IN_PROGRESS", "FAILED") for index in (-1, None)],
+    ("COMPLETED", 17, '{"k":17}', (None, 0, False)),
     (None, None, None, (None, 0, False)),
 ])
 def test_resume_point(spark, status, index, pk, expected):

@@ -1,33 +1,33 @@
 """Type rule and conforming rows to it."""
 
-from decimal import Decimal
+from decimal import ROUND_HALF_EVEN, Context, Decimal, localcontext
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrylane.functions.types import conform, struct_of, with_target_types
 
+# Every source type by what it becomes, and the decimal rule at both its limits (scale 9, 29 integer digits).
+BY_LOGICAL = {
+    "STRING": ["char", "nchar", "ntext", "nvarchar", "text", "uniqueidentifier", "varchar"],
+    "INT64": ["bigint", "int", "smallint", "tinyint"],
+    "BYTES": ["binary", "image", "rowversion", "timestamp", "varbinary"],
+    "TIMESTAMP": ["datetime", "datetime2", "datetimeoffset", "smalldatetime"],
+    "BOOL": ["bit"], "DATE": ["date"], "TIME": ["time"], "FLOAT64": ["float", "real"],
+}
+SPARK = {"STRING": "string", "INT64": "bigint", "BYTES": "binary", "TIMESTAMP": "timestamp", "BOOL": "boolean",
+         "DATE": "date", "TIME": "time(6)", "FLOAT64": "double"}
+DECIMALS = ["decimal", "numeric", "money", "smallmoney"]
 CASES = [
-    ("varchar(50)", None, None, "STRING", "string"),
-    ("int", None, None, "INT64", "bigint"),
-    ("tinyint", 3, 0, "INT64", "bigint"),
-    ("datetime2", None, None, "TIMESTAMP", "timestamp"),
-    ("datetimeoffset", None, None, "TIMESTAMP", "timestamp"),
-    ("date", None, None, "DATE", "date"),
-    ("time", None, None, "TIME", "time(6)"),
-    ("uniqueidentifier", None, None, "STRING", "string"),
-    ("bit", None, None, "BOOL", "boolean"),
-    ("real", None, None, "FLOAT64", "double"),
-    ("xml", None, None, "STRING", "string"),
-    (" Decimal(18,2) ", 18, 2, "NUMERIC", "decimal(18,2)"),
-    ("money", 19, 4, "NUMERIC", "decimal(19,4)"),
-    ("decimal", 38, 9, "NUMERIC", "decimal(38,9)"),
-    ("decimal", 18, 10, "BIGNUMERIC", "decimal(18,10)"),
-    ("decimal", 38, 0, "BIGNUMERIC", "decimal(38,0)"),
-    ("numeric", 38, 5, "BIGNUMERIC", "decimal(38,5)"),
-    ("numeric", None, None, "NUMERIC", "decimal(38,9)"),
-    *[(t, None, None, "BYTES", "binary") for t in ("varbinary", "binary", "image", "rowversion", "timestamp")],
+    *[(spelled, None, None, logical, SPARK[logical]) for logical, names in BY_LOGICAL.items() for name in names
+      for spelled in (name, f" {name.upper()}(7) ")],
+    ("sql_variant", None, None, "STRING", "string"),
+    *[(name, whole + scale, scale, "NUMERIC" if scale <= 9 and whole <= 29 else "BIGNUMERIC", f"decimal({whole + scale},{scale})")
+      for name in DECIMALS for whole in (1, 28, 29, 30) for scale in (0, 8, 9, 10) if whole + scale <= 38],
+    *[(name, None, None, "NUMERIC", "decimal(38,9)") for name in DECIMALS],
 ]
 
 
@@ -97,3 +97,33 @@ def test_time_round_trips_through_parquet(spark, tmp_path):
     conform(df, T.StructType.fromDDL("v time(6)")).write.parquet(str(tmp_path / "t"))
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.select(F.col("v").cast("string")).first()[0] == "12:34:56.789012"
+
+
+def quantized(text, scale):
+    with localcontext(Context(prec=80)):
+        return Decimal(text).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_EVEN)
+
+
+@pytest.mark.parametrize("text, scale, expected", [
+    ("12345678901234567.125", 2, "12345678901234567.12"), ("1234567890.0000000005", 9, "1234567890.000000000"),
+    ("1234567890.0000000015", 9, "1234567890.000000002"), ("-.5", 0, "0"), ("+1.5E0", 0, "2"), ("25e-1", 0, "2"), ("  7. ", 1, "7.0")])
+def test_text_rounds_by_its_digits_at_any_size(spark, text, scale, expected):
+    assert decimals(spark, [text], "string", f"decimal(38,{scale})") == [Decimal(expected)]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    numbers=st.lists(st.tuples(st.sampled_from(["", "-", "+"]), st.text("0123456789", max_size=28), st.text("0459", max_size=30),
+                               st.one_of(st.none(), st.integers(-45, 5))), min_size=1, max_size=40),
+    scale=st.integers(0, 5),
+)
+def test_text_agrees_with_exact_rounding(spark, numbers, scale):
+    texts = [f"{sign}{whole}.{fraction}" + ("" if e is None else f"e{e}") for sign, whole, fraction, e in numbers if whole + fraction]
+    assert decimals(spark, texts, "string", f"decimal(38,{scale})") == [quantized(t, scale) for t in texts]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_a_time_may_come_as_a_timestamp(spark, kind):
+    df = spark.sql(f"select cast('2001-02-03 23:59:58.000007' as {kind}) as v union all select null")
+    got = conform(df, T.StructType.fromDDL("v time(6)")).select(F.col("v").cast("string")).collect()
+    assert {r[0] for r in got} == {"23:59:58.000007", None}
