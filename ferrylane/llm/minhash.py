@@ -4,9 +4,12 @@ A text's set is its distinct 5-word shingles, hashed once; its sketch is the ``k
 same set are one class, and only the class's smallest doc_id goes on. Then:
 
 * Inverted lists. Two sets of similarity 0.75 share three quarters of their sketches, give or take; at least
-  ``least_shared`` values of them (five standard deviations below). So a pair must meet among the rarest
-  ``k - least_shared + 1`` values of both, and only those are listed. Common passages rank last and are listed only
-  for texts that consist of little else.
+  ``least_shared`` values of them (five standard deviations below). So a pair must share one of the rarest
+  ``k - least_shared + 1`` values of both. Texts that share none of their rarest values with any other are done with.
+* Of the others the full sets are listed, by the same rule with exact numbers: a text's rarest quarter, and with each
+  value how many of its values are as frequent or more so. The rarest value that a pair shares bounds its overlap by
+  the smaller of these two numbers, and a pair that needs more overlap is never named. Common passages rank last, so
+  texts that share little else drop out here.
 * Overlaps. The pairs of a short list are all compared. A long list names leaders, in growing numbers from round to
   round; a leader is compared with all members outside its component and has then done with the list. Lists within
   one component are done. So large groups of copies cost a pair for each copy and leader, not one for each two copies,
@@ -39,8 +42,8 @@ SKETCH_SIZE = 64
 SIMILARITY = 75
 #: Lists of at most so many members are compared pair by pair.
 SHORT_LIST = 8
-#: How many more leaders a long list names in each round.
-LEADER_GROWTH = 8
+#: How many times more leaders a long list names in each round.
+LEADER_GROWTH = 64
 
 
 def least_shared(k: int) -> int:
@@ -70,16 +73,34 @@ def _full_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1))))], names=["doc_id", "shingles"])
 
 
-def _rarest(postings: DataFrame, frequencies: DataFrame, k: int) -> DataFrame:
-    """For each doc_id the shared values among the rarest that a similar text must meet: value, doc_id, n."""
-    size = F.least(F.col("n"), F.lit(k))
-    whole = F.ceil(F.col("n") * SIMILARITY / 100)
-    needed = F.when(F.col("n") * 100 < k * SIMILARITY, whole).otherwise(F.least(whole, F.lit(least_shared(k))))
+def _frequencies(postings: DataFrame) -> DataFrame:
+    """Values that more than one text has."""
+    return postings.groupBy("value").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1")
+
+
+def _rarest(postings: DataFrame, frequencies: DataFrame, size: Column, needed: Column) -> DataFrame:
+    """For each doc_id the shared ones among its rarest ``size`` - ``needed`` + 1 values: value, doc_id, n, remaining.
+
+    ``remaining`` counts the value and those after it, from rare to frequent.
+    """
     shared = postings.join(frequencies, "value").groupBy("doc_id", "n").agg(
         F.sort_array(F.collect_list(F.struct("frequency", "value"))).alias("shared"))
     unshared = size - F.size("shared")
     listed = F.greatest(size - needed + 1 - unshared, F.lit(0)).cast("int")
-    return shared.select("doc_id", "n", F.explode(F.slice("shared", 1, listed)).alias("s")).select("s.value", "doc_id", "n")
+    return shared.select("doc_id", "n", F.size("shared").alias("s"), F.posexplode(F.slice("shared", 1, listed))).select(
+        "col.value", "doc_id", "n", (F.col("s") - F.col("pos")).alias("remaining"))
+
+
+def _sketch_lists(classes: DataFrame, ws: Workspace, k: int) -> DataFrame:
+    postings = classes.select("doc_id", "n", F.explode("sketch").alias("value"))
+    whole = F.ceil(F.col("n") * SIMILARITY / 100)
+    needed = F.when(F.col("n") * 100 < k * SIMILARITY, whole).otherwise(F.least(whole, F.lit(least_shared(k))))
+    return _rarest(postings, ws.save(_frequencies(postings), "frequencies"), F.least(F.col("n"), F.lit(k)), needed)
+
+
+def _set_lists(sets: DataFrame, ws: Workspace) -> DataFrame:
+    postings = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
+    return _rarest(postings, ws.save(_frequencies(postings), "frequencies"), F.col("n"), F.ceil(F.col("n") * SIMILARITY / 100))
 
 
 def _similar(intersection: Column, union: Column) -> Column:
@@ -113,11 +134,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 class _Labels:
-    """The components found so far: doc_id, component_id, and how many doc_ids it has."""
+    """The components found so far: doc_id and component_id."""
 
     def __init__(self, ws: Workspace, ids: DataFrame):
         self.ws = ws
-        self.table = ws.save(ids.select("doc_id", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("members")), "labels")
+        self.table = ws.save(ids.select("doc_id", F.col("doc_id").alias("component_id")), "labels")
 
     def of(self, name: str) -> DataFrame:
         return self.table.select(F.col("doc_id").alias(name), F.col("component_id").alias(f"component_{name}"))
@@ -131,12 +152,10 @@ class _Labels:
         joining = self.ws.save(joining.distinct(), "joining")
         if joining.isEmpty():
             return
-        merged = self.ws.save(components(self.ws, joining).select(F.col("id").alias("component_id"), F.col("component_id").alias("into")), "merged")
-        labels = self.table.select("doc_id", "component_id").join(merged, "component_id", "left").select(
+        merged = components(self.ws, joining).select(F.col("id").alias("component_id"), F.col("component_id").alias("into"))
+        labels = self.table.join(merged, "component_id", "left").select(
             "doc_id", F.coalesce("into", "component_id").alias("component_id"))
-        labels = self.ws.save(labels, "labels")
-        sizes = self.ws.save(labels.groupBy("component_id").agg(F.count(F.lit(1)).alias("members")), "sizes")
-        self.table = self.ws.save(labels.join(sizes, "component_id").select("doc_id", "component_id", "members"), "labels")
+        self.table = self.ws.save(labels, "labels")
 
 
 def _link(ws: Workspace, labels: _Labels, pairs: DataFrame, sets: DataFrame, texts: int) -> None:
@@ -144,17 +163,18 @@ def _link(ws: Workspace, labels: _Labels, pairs: DataFrame, sets: DataFrame, tex
     if pairs.count() > texts:
         ends = pairs.select(F.col("a").alias("id"), "estimate", "a", "b").unionByName(pairs.select(F.col("b").alias("id"), "estimate", "a", "b"))
         first = ends.groupBy("id").agg(F.max(F.struct("estimate", "a", "b")).alias("pair")).select("pair.a", "pair.b").distinct()
-        labels.connect(ws.save(_confirmed(first, sets), "confirmed"))
+        labels.connect(_confirmed(first, sets))
         pairs = ws.save(labels.apart(pairs).select("a", "b"), "pairs-left")
-    labels.connect(ws.save(_confirmed(pairs, sets), "confirmed"))
+    labels.connect(_confirmed(pairs, sets))
 
 
 def _leaders(members: DataFrame, n_leaders: int, turn: int) -> DataFrame:
-    """All members of short lists, and of each long list at most ``n_leaders``, from small components if it has any."""
+    """All members of short lists, and of each long list at most ``n_leaders``: unlinked texts first, then small ids."""
     seat = F.when(F.col("in_list") <= SHORT_LIST, F.col("doc_id")).otherwise(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(n_leaders)))
-    rank = F.struct("members", F.xxhash64("doc_id", F.lit(turn)).alias("draw"), "doc_id", "n", "component_id")
+    rank = F.struct(F.col("component_id") != F.col("doc_id"), "doc_id", "n", "remaining", "component_id")
     return members.withColumn("seat", seat).groupBy("value", "seat").agg(F.min(rank).alias("l")).select(
-        "value", F.col("l.doc_id").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.component_id").alias("leader_component"))
+        "value", F.col("l.doc_id").alias("leader"), F.col("l.n").alias("leader_n"),
+        F.col("l.remaining").alias("leader_remaining"), F.col("l.component_id").alias("leader_component"))
 
 
 def _connect_lists(ws: Workspace, postings: DataFrame, sketches: DataFrame, sets: DataFrame, k: int) -> _Labels:
@@ -170,13 +190,15 @@ def _connect_lists(ws: Workspace, postings: DataFrame, sketches: DataFrame, sets
             return labels
         members = ws.save(members.join(lists, "value"), "open-members")
         leaders = ws.save(_leaders(members, n_leaders, turn), "leaders")
-        close = (F.least("n", "leader_n") * 100 >= F.greatest("n", "leader_n") * SIMILARITY)
-        pairs = members.join(leaders, "value").where((F.col("component_id") != F.col("leader_component")) & close).select(
+        overlap = F.least("remaining", "leader_remaining") * (100 + SIMILARITY)
+        possible = (F.col("component_id") != F.col("leader_component")) & (overlap >= (F.col("n") + F.col("leader_n")) * SIMILARITY)
+        pairs = members.join(leaders, "value").where(possible).select(
             F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
-        likely = ws.save(_likely(ws.save(pairs, "pairs"), sketches, k), "likely")
+        likely = ws.save(_likely(pairs, sketches, k), "likely")
         _link(ws, labels, likely, sets, texts)
         done = leaders.select("value", F.col("leader").alias("doc_id"))
-        postings = ws.save(members.where(F.col("in_list") > SHORT_LIST).select("value", "doc_id", "n").join(done, ["value", "doc_id"], "left_anti"), "postings")
+        left = members.where(F.col("in_list") > SHORT_LIST).join(done, ["value", "doc_id"], "left_anti")
+        postings = left.select("value", "doc_id", "n", "remaining")
         turn, n_leaders = turn + 1, n_leaders * LEADER_GROWTH
 
 
@@ -187,13 +209,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = ws.save(read.mapInArrow(_sketches(k), "doc_id long, n_shingles long, content binary, sketch array<long>"), "sketches")
     linkable = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = linkable.groupBy("content").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sketch")).alias("r"))
-    classes = ws.save(classes.select("content", "r.doc_id", "r.n", "r.sketch"), "classes")
+    classes = ws.save(classes.select("content", "r.doc_id", F.col("r.n").cast("int").alias("n"), "r.sketch"), "classes")
 
-    postings = classes.select("doc_id", F.col("n").cast("int").alias("n"), F.explode("sketch").alias("value"))
-    frequencies = ws.save(postings.groupBy("value").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1"), "frequencies")
-    listed = ws.save(_rarest(postings, frequencies, k), "postings")
-    ids = ws.save(listed.select("doc_id").distinct(), "listed")
+    ids = ws.save(_sketch_lists(classes, ws, k).select("doc_id").distinct(), "listed")
     sets = ws.save(with_ids(read, ids).mapInArrow(batch_map(_full_sets), "doc_id long, shingles array<long>"), "sets")
+    listed = ws.save(_set_lists(sets, ws), "postings")
     sketches = ws.save(classes.join(ids, "doc_id", "left_semi").select("doc_id", "sketch"), "listed-sketches")
     labels = _connect_lists(ws, listed, sketches, sets, k)
 
