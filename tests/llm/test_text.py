@@ -1,0 +1,222 @@
+"""Secret scans, toxicity, chat formatting and mixing."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+import string
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ferrylane.llm import chat, mixing, secrets, toxicity
+
+
+def by_whole_text(text):
+    """The base kinds as plain searches over the whole text."""
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(assign, text, re.I | re.A) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return [(secrets.KINDS[k], s, e) for s, k, e in sorted(out)]
+
+
+def base_of(text):
+    return [(s.kind, s.start, s.end) for s in secrets.spans_of(text) if s.kind in secrets.BASE_KINDS]
+
+
+PARTS = ["password", "PassWD", "secret", "toKen", "api_key", "APIKEY", "akia", "AKIA", "AKIAABCDEFGHIJKL", "İ", "ſecret", "toKen", "é🙂", "=", ": ", '"', "'",
+         "    ", "\n", "abcdefgh", "A1/+_.=-", "0123456789abcdef", "f" * 33, "secretsecret: token=12345678", "x"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=3)), max_size=12).map("".join))
+def test_anchored_matches_equal_searches(text):
+    assert base_of(text) == by_whole_text(text)
+
+
+def github(prefix, body):
+    return f"{prefix}_{body}{secrets.base62(zlib.crc32(body.encode()), 6)}"
+
+
+def test_checked_kinds():
+    good, npm = github("ghp", "a1" * 15), github("npm", "Zz" * 15)
+    bad = good[:-1] + ("0" if good[-1] != "0" else "1")
+    head = base64.urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).decode().rstrip("=")
+    jwt, not_jwt = f"{head}.eyJzdWIiOjF9.c2ln", "eyJub3QganNvbn0.abc.def"
+    der = b"\x30\x82\x01\x00" + bytes(256)
+    key = f"-----BEGIN RSA PRIVATE KEY-----\n{base64.b64encode(der).decode()}\n-----END RSA PRIVATE KEY-----"
+    cut = key.replace(base64.b64encode(der).decode(), base64.b64encode(der[:-3]).decode())
+    text = " | ".join([good, bad, npm, jwt, not_jwt, key, cut, good + "x"])
+    found = [(s.kind, text[s.start:s.end]) for s in secrets.spans_of(text) if s.kind in secrets.CHECKED_KINDS]
+    assert found == [("github", good), ("npm", npm), ("jwt", jwt), ("private_key", key)]
+
+
+def test_added_spans_leave_base_spans(llm, rows_of):
+    text = f"secret={github('ghs', 'b2' * 15)} and {'ab' * 20}"
+    docs = llm.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    (first, second) = rows_of(secrets.secret_digests(docs), "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    base = ",".join(f"{k}:{s}:{e}" for k, s, e in by_whole_text(text))
+    assert first == (1, 1, 0, 1, hashlib.sha256(base.encode()).hexdigest(), f"assign:0:47,github:7:47,{base.split(',')[1]}")
+    assert second == (2, 0, 0, 0, hashlib.sha256(b"").hexdigest(), "")
+
+
+def test_secrets_of_messy_rows(messy, nothing):
+    got = secrets.find_secrets(messy)
+    assert got.columns == [*messy.columns, "_secrets"] and got.count() == messy.count()
+    assert {len(r._secrets) for r in got.where("doc_id in (4, 5, 6)").collect()} == {0}
+    assert secrets.find_secrets(nothing).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def labelled(llm):
+    rng = random.Random(3)
+    plain = ["".join(rng.choices(string.ascii_lowercase, k=rng.randrange(2, 7))) for _ in range(300)]
+
+    def sentence():
+        return " ".join(rng.choices(plain, k=rng.randrange(3, 12)))
+
+    rows = []
+    for i in range(600):
+        sentences = [sentence() for _ in range(rng.randrange(1, 9))]
+        bad = i % 4 == 0
+        if bad:
+            sentences[rng.randrange(len(sentences))] += rng.choice([" nastyword", " vile", " grob" + rng.choice("abc")])
+        rows.append((i, ". ".join(sentences) + ".", int(bad)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return docs.select("doc_id", "text"), docs.select("doc_id", "toxic")
+
+
+def test_toxicity_is_learnt_from_document_labels(llm, labelled):
+    docs, labels = labelled
+    got = toxicity.scored(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert all(r.held_out == toxicity.is_held_out(r.doc_id) for r in got)
+    assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_held_out_labels_are_not_learnt_from(llm, labelled):
+    docs, labels = labelled
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (toxicity.train(docs, own) for own in (labels, turned))
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+
+
+def test_offending_sentences_are_located(llm, labelled):
+    docs, labels = labelled
+    model = toxicity.train(docs, labels)
+    text = "Éire is green. that vile thing, nastyword! fine"
+    row = toxicity.locate(llm.createDataFrame([(text, "x")], "text string, offending string"), model).first()
+    assert [text[s.start:s.end] for s in row._offending] == [" that vile thing, nastyword!"] and row.offending == "x"
+
+
+def test_toxicity_of_messy_rows(messy, nothing, labelled, llm):
+    docs, labels = labelled
+    got = {(r.doc_id, r.score) for r in toxicity.scored(messy, labels).collect()}
+    assert {s for i, s in got if i in (4, 5, 6)} == {0.0}
+    model = toxicity.train(docs, labels)
+    assert toxicity.locate(messy, model).columns == [*messy.columns, "_offending"] and toxicity.locate(nothing, model).isEmpty()
+    assert toxicity.clean_only(messy, labels).columns == messy.columns
+    assert toxicity.scored(nothing, labels).isEmpty()
+    odd = llm.createDataFrame([(1, None), (2, 0), (None, 1), (3, 0), (3, 0)], "doc_id long, toxic int")
+    assert toxicity.scored(messy, odd).where("score > 0.01").isEmpty()
+    assert toxicity.scored(messy, odd.limit(0)).count() == messy.count()
+
+
+def test_all_labels_alike(llm, labelled):
+    docs, labels = labelled
+    for label in (0, 1):
+        scores = [r.score for r in toxicity.scored(docs, labels.withColumn("toxic", F.lit(label))).collect()]
+        assert all((s >= 0.5) == bool(label) for s in scores)
+
+
+TURNS = [
+    (1, 0, "user", "hi"), (1, 1, "assistant", "hello"),
+    (2, 0, "user", "hi"), (2, 1, "assistant", "hello"), (2, 2, "user", "more"),
+    (3, 0, "user", "hi"), (3, 1, "assistant", "hello"), (3, 2, "user", "more"), (3, 2, "user", "more"),
+    (4, 0, "user", "hi"), (4, 1, "assistant", "other"),
+    (5, None, "user", "hi"), (5, 7, "assistant", "hello"), (5, 8, "user", "more"), (5, 9, None, None),
+    (6, 0, "user<|", "a\\<|end|>"), (7, 0, None, ""), (None, 0, "user", "nobody's"), (None, None, None, None),
+    (8, 3, "user", "tie"), (8, 3, "assistant", "tie"),
+    *[(9, i, "user", f"t{i}") for i in range(200)], *[(10, i, "user", f"t{i}") for i in range(150)],
+]
+
+
+def brute_chats(turns, size):
+    held = {}
+    for conv_id, turn, role, text in set(turns):
+        if conv_id is not None:
+            held.setdefault(conv_id, []).append((turn is not None, turn or 0, role or "", text or ""))
+    chats = {i: [t[2:] for t in sorted(ts)] for i, ts in held.items()}
+    out = []
+    for i, own in chats.items():
+        same = [j for j, other in chats.items() if other == own]
+        longer = [j for j, other in chats.items() if len(other) > len(own) and other[:len(own)] == own]
+        if i == min(same) and not longer:
+            escape = lambda s: s.replace("\\", "\\\\").replace("<|", "<\\|")
+            shown = [f"<|start|>{escape(r)}\n{escape(t)}<|end|>\n" for r, t in own]
+            out += [(i, p, len(own), len(same), "".join(shown[p * size:(p + 1) * size])) for p in range(-(-len(own) // size))]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_maximal_conversations_are_rendered(llm, rows_of, parts):
+    """With seven partitions the longest conversation lies on several."""
+    turns = llm.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumns({"part": F.lit(1), "position": F.lit("x")})
+    before = llm.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), llm.conf.get("spark.sql.shuffle.partitions")
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    llm.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = rows_of(chat.format_chats(turns.repartition(3), 50), "conv_id", "part", "n_turns", "n_copies", "text")
+    finally:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[0])
+        llm.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert sorted(got) == brute_chats(TURNS, 50)
+    assert chat.format_chats(turns.limit(0)).isEmpty()
+
+
+def test_counts_follow_the_poisson_distribution(llm):
+    docs = llm.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 15_000, "hot").otherwise("cold").alias("source"))
+    weights = llm.createDataFrame([("hot", 1.0), ("cold", 1.0), ("absent", 5.0)], "source string, weight double")
+    mixed = mixing.mix(docs, weights, total=24_000, seed=4)
+    n = {(r.source): r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert abs(n["hot"] - 12_000) < 400 and abs(n["cold"] - 12_000) < 400
+    drawn = mixed.groupBy("doc_id", "source").count().groupBy("source").agg(F.variance("count"), F.max("count")).collect()
+    assert max(r[2] for r in drawn if r.source == "cold") >= 6  # a mean of 2.4
+    assert mixed.select("doc_id", "copy").distinct().count() == mixed.count()
+    again = mixing.mix(docs.repartition(5), weights, total=24_000, seed=4)
+    assert again.select("doc_id", "copy").exceptAll(mixed.select("doc_id", "copy")).isEmpty() and again.count() == mixed.count()
+    assert mixing.mix(docs, weights, total=24_000, seed=5).exceptAll(mixed).count() > 1000
+
+
+def test_the_poisson_inverse_is_exact(llm):
+    from math import exp, factorial
+
+    for rate in (0.3, 4.0, 60.0):
+        steps = llm.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first().s
+        want, below = [], 0.0
+        for k in range(len(steps)):
+            below += exp(-rate) * rate**k / factorial(k)
+            want.append(below)
+        assert steps == pytest.approx(want, abs=1e-12) and abs(steps[-1] - 1) < 1e-12
+    large = llm.range(1).select(mixing.poisson_steps(F.lit(5000.0)).alias("s")).first().s
+    assert abs(large[-1] - 1) < 1e-9 and large[4000] < 1e-9
+
+
+def test_mixing_messy_rows(messy, nothing, llm):
+    mixed = mixing.mix(messy, total=500)
+    assert mixed.columns == [*messy.columns, "_copy", "_shuffle_key"]
+    assert {r.source for r in mixed.select("source").distinct().collect()} == {"a", "b", "c", None}
+    assert mixing.mix(nothing).isEmpty()
+    odd = llm.createDataFrame([("a", float("nan")), ("b", -1.0), ("c", None), (None, 2.0)], "source string, weight double")
+    assert {r.source for r in mixing.mix(messy, odd, total=50).collect()} == {None}
+    assert mixing.mix(messy, odd.where("source = 'b'")).isEmpty()
+
+
+def test_mixing_stays_in_the_jvm(messy, plan_of):
+    assert not re.search("Python|Pandas|Arrow", plan_of(mixing.mix(messy)).split("== Physical Plan ==")[1])
