@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrylane.llm.common import free_name, prepare
+from ferrylane.llm.common import Workspace, free_name
 
 #: Hex digits of a hash that make a uniform number; 52 bits are exact in a double.
 UNIFORM_DIGITS = 13
@@ -76,10 +76,11 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, total: int | None = N
     The order is by ``shuffle_key`` within each partition, and partitions are dealt by its hash. Columns of
     ``docs`` called copy or shuffle_key stay; the new ones then take another name.
     """
-    prepare(docs.sparkSession)
+    ws = Workspace(docs.sparkSession, "mixing")
     copy, shuffle_key = free_name(docs, "copy"), free_name(docs, "shuffle_key")
     rates = repetition_rates(docs, weights, total, temperature, source).where(F.col("rate") > 0)
-    steps = rates.select(F.col("source").alias("_mix_source"), poisson_steps(F.col("rate")).alias("_mix_steps"))
+    # Written, so that the planner knows its size: it is broadcast only below the session's limit.
+    steps = ws.save(rates.select(F.col("source").alias("_mix_source"), poisson_steps(F.col("rate")).alias("_mix_steps")), "steps")
     drawn = uniform(seed, *[F.col(c) for c in identity])
     rows = docs.join(steps, F.col(source).eqNullSafe(F.col("_mix_source"))).withColumn("_mix_u", drawn)
     rows = rows.withColumn("_mix_n", F.size(F.filter("_mix_steps", lambda s: s <= F.col("_mix_u")))).where(F.col("_mix_n") > 0)
