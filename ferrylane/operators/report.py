@@ -28,8 +28,8 @@ def live_counts(spark: SparkSession, paths: Mapping[tuple[str, str], str | None]
     readable = {who: path for who, path in paths.items() if path is not None}
     if not readable:
         return spark.createDataFrame([], LIVE_COUNTS)
-    names = [{"schema_name": s, "table_name": n, "path": storage.qualified(spark, p)} for (s, n), p in readable.items()]
-    found = _counts_by_path(spark, [row["path"] for row in names])
+    names = [{"schema_name": s, "table_name": n, "path": p} for (s, n), p in readable.items()]
+    found = _counts_by_path(spark, list(readable.values()))
     rows = [{**row, "target_rows": found[row["path"]]} for row in names if row["path"] in found]
     return local_frame(spark, rows, LIVE_COUNTS)
 
@@ -52,8 +52,9 @@ def counts_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
     file = F.regexp_replace(F.col("_metadata.file_path"), "^([A-Za-z0-9+.-]+):/+", "$1:/")
     # No file has this column, so nothing but footers is read.
     files = spark.read.schema("`(none)` tinyint").parquet(*paths).groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-    places = files.select(F.explode(F.array("file", F.regexp_replace("file", "/[^/]*$", ""))).alias("path"), "rows")
-    return places.join(local_frame(spark, [{"path": p} for p in paths], "path string"), "path").groupBy("path").agg(F.sum("rows").alias("rows"))
+    places = files.select(F.explode(F.array("file", F.regexp_replace("file", "/[^/]*$", ""))).alias("place"), "rows")
+    named = local_frame(spark, [{"place": storage.qualified(spark, p), "path": p} for p in dict.fromkeys(paths)], "place string, path string")
+    return places.join(named, "place").groupBy("path").agg(F.sum("rows").alias("rows"))
 
 
 def status_report(audit: DataFrame, counts: DataFrame, region_slug: str | None = None) -> DataFrame:
