@@ -19,6 +19,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ from ferrylane.llm.range_coder import BLOCK_IDS, decode_blocks, encode_blocks
 
 PACK_IDS = 16 * BLOCK_IDS
 #: Ids that a task codes or decodes at once.
-ROUND_IDS = 1024 * BLOCK_IDS
+ROUND_IDS = 4096 * BLOCK_IDS
 #: Words that a worker remembers the ids of; past it, it starts anew.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 1_000_000
 _MAGIC, _VERSION = b"TIDS", 1
 _HEAD, _DOC, _BLOCK = struct.Struct("<4sBBIII"), np.dtype([("known", "u1"), ("doc_id", "<i8"), ("n", "<u4")]), np.dtype([("n", "<u4"), ("words", "<u4"), ("crc", "<u4")])
 _UNCOMMON_SPACE = re.compile(r"[\x1c-\x1f]")
@@ -49,11 +50,15 @@ def splits_at_spaces(spec: dict) -> bool:
     steps = normalizer.get("normalizers", [normalizer] if normalizer else [])
     plain = all(n["type"] in ("NFC", "Lowercase") or n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} for n in steps)
     first = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-    dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and r"[^\s" in str(first["pattern"])
+    dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and r"[^\s" in first["pattern"].get("Regex", "")
     added = all(not (t["lstrip"] or t["rstrip"] or t["single_word"]) and " " not in t["content"] for t in spec.get("added_tokens", []))
     return plain and bool(dropped) and added and (spec.get("model") or {}).get("type") == "BPE"
 
 
+def _with_room(array: np.ndarray, n: int) -> np.ndarray:
+    return array if n <= len(array) else np.concatenate([array, np.zeros(max(n, 2 * len(array)) - len(array), dtype=array.dtype)])
+
+
 class WordEncoder:
     """Ids as the tokenizers library gives them, asking it once for each word it meets again and again."""
 
@@ -73,16 +78,16 @@ class WordEncoder:
         self.start, self.size = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        for i, encoding in enumerate(self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            ids, number = encoding.ids, len(self.known)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.int64)])
-            if number >= len(self.start):
-                self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.start[number], self.size[number] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[words[i]] = number
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        first, total = len(self.known), int(sizes.sum())
+        self.flat, self.start, self.size = (
+            _with_room(x, n) for x, n in ((self.flat, self.used + total), (self.start, first + len(ids)), (self.size, first + len(ids))))
+        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=total)
+        self.start[first:first + len(ids)] = self.used + np.cumsum(sizes) - sizes
+        self.size[first:first + len(ids)] = sizes
+        self.used += total
+        self.known.update(zip(words, range(first, first + len(ids)), strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if not self.by_word:
