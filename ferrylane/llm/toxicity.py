@@ -6,7 +6,7 @@ document labels through that product, so blame falls on the sentences that expla
 ``locate`` reports.
 
 Which features there are is counted over all labelled training rows: those whose presence goes with the label beyond
-``MIN_ASSOCIATION`` (chi square), at most ``MAX_FEATURES``. The weights are fitted on a sample of at most ``SAMPLE_ROWS``
+``MIN_ASSOCIATION`` (chi square) and makes it ``MIN_LIFT`` times as likely, at most ``MAX_FEATURES``. The weights are fitted on a sample of at most ``SAMPLE_ROWS``
 documents of each label, drawn by hash and weighed back to their share; the sample holds feature numbers, not texts.
 
 Null and empty texts, and texts without words, have no sentences and the score 0. Long texts are scored whole. With no
@@ -26,16 +26,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrylane.llm.bloom import with_ids
+from ferrylane.llm.bloom import IdFilter
 from ferrylane.llm.common import Batches, Workspace, batch_map, free_name, text_of
 from ferrylane.llm.shingles import mix, text_bytes, _BASE, _BYTE_VALUES
 
 BUCKET_BITS = 18
 PREFIX_BYTES = (3, 4, 5, 6, 7, 8)
 MIN_ASSOCIATION = 20.0
+MIN_LIFT = 2.0
 MAX_FEATURES = 4096
 SAMPLE_ROWS = 10_000
 STEPS = 300
+#: What a label takes in memory, and how much of them may be broadcast.
+BYTES_PER_LABEL, MAX_BROADCAST_BYTES = 32, 64 << 20
 #: Labels of documents whose crc32(id) leaves no rest by this are never learned from.
 HELD_OUT = 5
 
@@ -107,29 +110,42 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
+#: Stands for all texts where buckets are counted.
+EVERY_TEXT = -1
+
+
 def _count_buckets(batches: Batches) -> Batches:
     """For each bucket that a task meets: texts with it, toxic texts with it."""
     size = 1 << BUCKET_BITS
     texts, toxic = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+    n = np.zeros(2, dtype=np.int64)
     for batch in batches:
         words = words_of(batch.column(0))
         label = np.asarray(batch.column(1).to_pylist(), dtype=np.int64)
+        n += (len(label), label.sum())
         text = np.broadcast_to(words.sentence_text[words.sentence][:, None], words.buckets.shape)
         met = np.unique((text * size + words.buckets)[words.buckets >= 0])
         texts += np.bincount(met % size, minlength=size)
         toxic += np.bincount(met % size, label[met // size], minlength=size).astype(np.int64)
     found = np.flatnonzero(texts)
-    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(texts[found]), pa.array(toxic[found])], names=["bucket", "texts", "toxic"])
+    columns = [np.append(found, EVERY_TEXT), np.append(texts[found], n[0]), np.append(toxic[found], n[1])]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "texts", "toxic"])
 
 
-def _features(labelled: DataFrame, n_texts: int, n_toxic: int) -> np.ndarray:
+def _features(ws: Workspace, labelled: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
+    """The buckets that go with the label, and how many training texts there are of each label."""
     counts = labelled.select("text", "toxic").mapInArrow(_count_buckets, "bucket long, texts long, toxic long")
     counts = counts.groupBy("bucket").agg(F.sum("texts").cast("double").alias("k"), F.sum("toxic").cast("double").alias("t"))
+    counts = ws.save(counts, "buckets")
+    every = counts.where(F.col("bucket") == EVERY_TEXT).first()
+    n_texts, n_toxic = (int(every.k), int(every.t)) if every else (0, 0)
     n, p = F.lit(float(n_texts)), F.lit(float(n_toxic))
     covered = F.col("k") * (n - F.col("k")) * p * (n - p)
     chi = n * F.pow(F.col("t") * n - F.col("k") * p, 2) / covered
-    best = counts.where((covered > 0) & (chi >= MIN_ASSOCIATION)).orderBy(chi.desc(), "bucket").limit(MAX_FEATURES)
-    return np.array(sorted(row.bucket for row in best.select("bucket").collect()), dtype=np.int64)
+    lifted = F.col("t") * n >= MIN_LIFT * F.col("k") * p
+    best = counts.where((F.col("bucket") >= 0) & (covered > 0) & (chi >= MIN_ASSOCIATION) & lifted).orderBy(chi.desc(), "bucket").limit(MAX_FEATURES)
+    found = np.array(sorted(row.bucket for row in best.select("bucket").collect()), dtype=np.int64)
+    return found, {0: n_texts - n_toxic, 1: n_toxic}
 
 
 _SAMPLE = "toxic int, n_sentences int, sentence array<int>, feature array<int>"
@@ -166,10 +182,11 @@ def _fit(sample: pd.DataFrame, n_features: int, share: dict[int, float]) -> tupl
         spared = np.clip(1 - rate, 1e-6, 1 - 1e-6) ** (1 / sentences)
         return np.zeros(n_features), float(np.log((1 - spared) / spared))
     text = np.repeat(np.arange(len(sample)), sample.feature.map(len))
-    pair = np.stack([text, np.concatenate(sample.sentence.to_list())]).astype(np.int64)
+    within = np.concatenate(sample.sentence.to_list()).astype(np.int64)
     feature = np.concatenate(sample.feature.to_list()).astype(np.int64)
-    sentences, sentence = np.unique(pair, axis=1, return_inverse=True)
-    sentence, owner = sentence.ravel(), sentences[0]
+    width = int(within.max(initial=0)) + 1
+    sentences, sentence = np.unique(text * width + within, return_inverse=True)
+    owner = sentences // width
     plain = sample.n_sentences.to_numpy(dtype=float) - np.bincount(owner, minlength=len(sample))
     weigh = sample.toxic.map(share).to_numpy(dtype=float)
     weigh /= weigh.sum()
@@ -205,22 +222,29 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         (F.max("toxic") > 0).cast("int").alias("toxic"))
     known = ws.save(known, "labels")
     read = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    labelled = with_ids(read, known.select("label_id")).join(known, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
-    labelled = ws.save(labelled, "labelled")
-    totals = dict(labelled.groupBy("toxic").count().collect())
-    features = _features(labelled, sum(totals.values()), totals.get(1, 0))
-    drawn = [labelled.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).select("doc_id") for label in (0, 1)]
-    ids = ws.save(drawn[0].unionByName(drawn[1]).distinct(), "sample-ids")
-    rows = labelled.join(ids, "doc_id", "left_semi")
+    features, totals = _features(ws, _labelled(read, known))
+    drawn = [known.where(F.col("toxic") == label).orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE_ROWS) for label in (0, 1)]
+    rows = _labelled(read, ws.save(drawn[0].unionByName(drawn[1]), "sample"))
     sample = rows.select("text", "toxic").mapInArrow(_sampled(features), _SAMPLE).toPandas()
     sampled = sample.toxic.value_counts().to_dict()
     weights, bias = _fit(sample, len(features), {k: totals[k] / n for k, n in sampled.items()})
     spread = np.zeros(1 << BUCKET_BITS)
     spread[features] = weights
-    ws.drop(known, labelled, ids)
     return Model(spread, bias)
 
 
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text and toxic of the documents that have a label (columns label_id, toxic).
+
+    Labels are broadcast if there are few enough, by count, so that texts stay where they are. Else texts whose id
+    is not among them are filtered out before the rest is shuffled.
+    """
+    if labels.count() * BYTES_PER_LABEL <= MAX_BROADCAST_BYTES:
+        return docs.join(F.broadcast(labels), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    flagged = docs.withColumn("may_have", IdFilter(labels.select("label_id")).may_hold("doc_id")).where("may_have")
+    return flagged.join(labels, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+
+
 def score(model: Model, spark):
     """A column function: the score of a text."""
     shared = spark.sparkContext.broadcast(model)
