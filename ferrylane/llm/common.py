@@ -13,8 +13,8 @@ from ferrylane.storage import delete, join_path
 
 #: Python workers get rows in batches of at most so many rows and bytes, so that very long texts can't fill them.
 BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
 }
 
 

@@ -34,7 +34,7 @@ SPACE = "▁"
 #: Stretches of at most so many characters are worked on side by side, in arrays of these widths.
 WIDTHS = (4, 8, 12, 16, 24, 32, 64)
 #: Characters worked on at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 20
 NEVER = np.int32(2**31 - 1)
 _PLACE, _MIDDLE, _END = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
