@@ -6,8 +6,8 @@ document labels through that product, so blame falls on the sentences that expla
 ``locate`` reports.
 
 Which features there are is counted over all labelled training rows: those whose presence goes with the label beyond
-``MIN_ASSOCIATION`` (chi square) and makes it ``MIN_LIFT`` times as likely, at most ``MAX_FEATURES``. The weights are fitted on a sample of at most ``SAMPLE_ROWS``
-documents of each label, drawn by hash and weighed back to their share; the sample holds feature numbers, not texts.
+``MIN_ASSOCIATION`` (chi square) and multiplies its odds by ``MIN_ODDS_RATIO``, whatever share of the labels is toxic, at most
+``MAX_FEATURES``. The weights are fitted on a sample of at most ``SAMPLE_ROWS`` documents of each label, drawn by hash and weighed back to their share; the sample holds feature numbers, not texts.
 
 Null and empty texts, and texts without words, have no sentences and the score 0. Long texts are scored whole. With no
 labels, or labels all alike, every sentence gets the same low or high probability. Null labels are left out; of labels that
@@ -33,7 +33,7 @@ from ferrylane.llm.shingles import mix, text_bytes, _BASE, _BYTE_VALUES
 BUCKET_BITS = 18
 PREFIX_BYTES = (3, 4, 5, 6, 7, 8)
 MIN_ASSOCIATION = 20.0
-MIN_LIFT = 2.0
+MIN_ODDS_RATIO = 2.0
 MAX_FEATURES = 4096
 SAMPLE_ROWS = 10_000
 STEPS = 300
@@ -142,7 +142,8 @@ def _features(ws: Workspace, labelled: DataFrame) -> tuple[np.ndarray, dict[int,
     n, p = F.lit(float(n_texts)), F.lit(float(n_toxic))
     covered = F.col("k") * (n - F.col("k")) * p * (n - p)
     chi = n * F.pow(F.col("t") * n - F.col("k") * p, 2) / covered
-    lifted = F.col("t") * n >= MIN_LIFT * F.col("k") * p
+    with_clean = F.col("k") - F.col("t")
+    lifted = F.col("t") * (n - p - with_clean) >= MIN_ODDS_RATIO * with_clean * (p - F.col("t"))
     best = counts.where((F.col("bucket") >= 0) & (covered > 0) & (chi >= MIN_ASSOCIATION) & lifted).orderBy(chi.desc(), "bucket").limit(MAX_FEATURES)
     found = np.array(sorted(row.bucket for row in best.select("bucket").collect()), dtype=np.int64)
     return found, {0: n_texts - n_toxic, 1: n_toxic}

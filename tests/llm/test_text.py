@@ -100,6 +100,26 @@ def test_toxicity_is_learnt_from_document_labels(llm, labelled):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
 
 
+@pytest.mark.parametrize("clean_in_ten", [5, 2])
+def test_toxicity_is_learnt_where_most_labels_are_toxic(llm, clean_in_ten):
+    rng = random.Random(clean_in_ten)
+    plain = ["".join(rng.choices(string.ascii_lowercase, k=rng.randrange(2, 7))) for _ in range(300)]
+    rows = []
+    for i in range(1000):
+        bad = i % 10 >= clean_in_ten
+        # Clean documents are the longer ones, so that a score by the number of sentences alone goes the wrong way.
+        sentences = [" ".join(rng.choices(plain, k=rng.randrange(3, 12))) for _ in range(rng.randrange(1, 5) if bad else rng.randrange(3, 9))]
+        if bad:
+            sentences[rng.randrange(len(sentences))] += rng.choice([" nastyword", " vile"])
+        rows.append((i, ". ".join(sentences) + ".", int(bad)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    kept = {r.doc_id for r in toxicity.clean_only(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")).collect()}
+    held = [(i, bad) for i, _, bad in rows if toxicity.is_held_out(i)]
+    for label in (0, 1):
+        right = [(i in kept) == (not bad) for i, bad in held if bad == label]
+        assert len(right) > 20 and sum(right) / len(right) > 0.95
+
+
 def test_held_out_labels_are_not_learnt_from(llm, labelled):
     docs, labels = labelled
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
