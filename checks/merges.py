@@ -415,24 +415,20 @@ def keyless_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(VersionedTable(spark, settings.target_path(row)).read())
 
 
-@registry.add("""
-with b as (select cast((rn - 1) // 1000 as bigint) as batch, max(o_orderkey) as pk
-           from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders) group by 1),
-n as (select max(batch) as last, (select count(*) from orders) as total, (select max(pk) from b) as pk from b)
-select 'FAILED' as outcome, cast(2 as bigint) as batches_processed, cast(2000 as bigint) as rows_processed, cast(0 as bigint) as resumed_from_batch,
-       cast(2000 as bigint) as rows_in_target from n
-union all
-select 'RESUMED_SUCCESS', last - 1, total - 2000, 2, total from n
-""")
-def resumed_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that fails at its third commit, and the one that picks up there: what both audits say, and the target's rows."""
-    settings = Settings(scratch_path(spark, "estate"), batch_size=1000, batches_per_commit=1)
-    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
-    target, run = VersionedTable(spark, settings.target_path(row)), TableRun(spark, settings, row, ParquetSource(spark, sf_dir), "first")
+#: Orders are cut into five batches, so that a break at the third is one at every scale.
+_FIFTH_SQL = "s as (select cast(ceil(count(*) / 5.0) as bigint) as size, count(*) as total from orders)"
+
+
+def _fifth(orders: DataFrame) -> int:
+    return -(-orders.count() // 5)
+
+
+def _break_at_batch(run: TableRun, index: int) -> None:
+    """Let a run fail when it comes to merge that batch."""
     merge_one = run._merge
 
     def flaky(commit, edges):
-        if commit["first_batch"] == 2:
+        if commit["first_batch"] == index:
             raise OSError("link down")
         merge_one(commit, edges)
 
@@ -441,6 +437,21 @@ def resumed_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         run.run()
     except OSError:
         pass
+
+
+@registry.add(f"""
+with {_FIFTH_SQL}
+select 'FAILED' as outcome, cast(2 as bigint) as batches_processed, 2 * size as rows_processed, cast(0 as bigint) as resumed_from_batch,
+       2 * size as rows_in_target from s
+union all
+select 'RESUMED_SUCCESS', cast(ceil(total * 1.0 / size) as bigint) - 2, total - 2 * size, 2, total from s
+""")
+def resumed_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails at its third commit, and the one that picks up there: what both audits say, and the target's rows."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=_fifth(table(spark, sf_dir, "orders")), batches_per_commit=1)
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
+    target = VersionedTable(spark, settings.target_path(row))
+    _break_at_batch(TableRun(spark, settings, row, ParquetSource(spark, sf_dir), "first"), 2)
     rows = [target.row_count()]
     run_table(spark, settings, row, ParquetSource(spark, sf_dir), "second")
     rows.append(target.row_count())
@@ -449,6 +460,27 @@ def resumed_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select("outcome", "batches_processed", "rows_processed", "resumed_from_batch", seen.alias("rows_in_target"))
 
 
+@registry.add(f"""
+with {_FIFTH_SQL},
+b as (select (row_number() over (order by o_orderkey) - 1) // size as batch, o_orderkey from orders, s)
+select cast(batch as bigint) as batch_index, count(*) as rows_landed, min(o_orderkey) as first_key, max(o_orderkey) as last_key,
+       count(*) as rows_expected, case when batch < 2 then 'load' else 'landing' end as landed_by
+from b group by batch
+""")
+def resumed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that breaks at its third batch, then a landing-only run for the rest: every batch is there, and in the manifest."""
+    settings = Settings(scratch_path(spark, "estate"), batch_size=_fifth(table(spark, sf_dir, "orders")), batches_per_commit=1)
+    row = find_table(build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})), "orders")
+    _break_at_batch(TableRun(spark, settings, row, ParquetSource(spark, sf_dir), "load"), 2)
+    run_table(spark, settings, row, ParquetSource(spark, sf_dir), "landing", stage=LAND_ONLY)
+    area = landing.LandingArea(spark, settings.landing_path(row))
+    landed = spark.read.parquet(area.path).groupBy("batch_index").agg(
+        F.count(F.lit(1)).alias("rows_landed"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+    landed = landed.withColumn("batch_index", F.col("batch_index").cast("bigint"))
+    expected = area.manifest().select("batch_index", F.col("rows").alias("rows_expected"), F.col("run_id").alias("landed_by"))
+    return landed.join(expected, "batch_index", "full_outer")
+
+
 @registry.add("""
 select 'SUCCESS' as first_status, 'SKIPPED' as second_status, 'SUCCESS' as forced_status, count(*) as rows_in_target,
        cast(2 as bigint) as audits from orders
@@ -480,6 +512,32 @@ def incremental_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(VersionedTable(spark, settings.target_path(row)).read())
 
 
+@registry.add(f"""
+with {_FIFTH_SQL},
+n as (select count(*) as lacking from orders where o_orderstatus = 'O')
+select 'FAILED' as outcome, cast(1 as bigint) as batches_processed, least(size, lacking) as rows_processed,
+       cast(0 as bigint) as resumed_from_batch, cast(total as bigint) as rows_in_target, cast(total as bigint) as keys_in_target from s, n
+union all
+select 'RESUMED_SUCCESS', cast(ceil(lacking * 1.0 / size) as bigint) - 1,
+       (select count(*) from orders where o_orderkey > (select max(o_orderkey) from
+            (select o_orderkey from orders where o_orderstatus = 'O' order by 1 limit (select cast(ceil(count(*) / 5.0) as bigint) from orders)))),
+       1, total, total from s, n
+""")
+def incremental_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incremental run that breaks after the first batch of what the target lacked, and the one that finishes it."""
+    orders = table(spark, sf_dir, "orders")
+    settings = Settings(scratch_path(spark, "estate"), batch_size=_fifth(orders), batches_per_commit=1)
+    plan = build_plan(catalog_of(spark, sf_dir, {"orders": ["o_orderkey"]})).withColumn("load_mode", F.lit(S.INCREMENTAL))
+    row = find_table(plan, "orders")
+    run_table(spark, settings, row, FrameSource({"orders": _loaded(orders)}), "loaded")
+    _break_at_batch(TableRun(spark, settings, row, FrameSource({"orders": orders}), "broken"), 1)
+    run_table(spark, settings, row, FrameSource({"orders": orders}), "finished")
+    target = VersionedTable(spark, settings.target_path(row)).read()
+    held = target.agg(F.count(F.lit(1)).alias("rows_in_target"), F.countDistinct("o_orderkey").alias("keys_in_target"))
+    audit = Ledger(spark, settings.control_path(None)).audit().where("run_id <> 'loaded'")
+    return audit.select("outcome", "batches_processed", "rows_processed", "resumed_from_batch").crossJoin(F.broadcast(held))
+
+
 @registry.add("""
 select 'r' || r_regionkey || '_dbo' as dataset, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey

@@ -13,6 +13,7 @@ from typing import Any
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrylane import schemas as S
 from ferrylane import storage
@@ -27,7 +28,6 @@ from ferrylane.plans.regions import RegionError, regions_to_run, union_of_region
 from ferrylane.session import local_frame
 from ferrylane.sources.tables import TableSource
 from ferrylane.storage import VersionedTable, join_path, path_segment
-from ferrylane.streaming.sync import sync_rows
 
 log = logging.getLogger(__name__)
 
@@ -57,7 +57,7 @@ class Settings:
         return join_path(self.root, "data", table["dataset"], path_segment(table["name"]))
 
     def landing_path(self, table: Row) -> str:
-        """One place per table: each run replaces the batches of the last."""
+        """One place per table: a run replaces the batches of the last, a resumed one those that it reads again."""
         return join_path(self.root, "landing", table["region_slug"], path_segment(table["schema"]), path_segment(table["name"]))
 
     def work_path(self, kind: str, table: Row) -> str:
@@ -90,6 +90,8 @@ class TableRun:
     stage: str = LOAD
     force: bool = False
     progress: Progress = field(default_factory=Progress)
+    #: Rows that an incremental run looked at, and the last of their keys.
+    seen: tuple[int, str | None] = (0, None)
 
     def __post_init__(self) -> None:
         self.schema_name, self.table_name = self.table["schema"], self.table["name"]
@@ -97,7 +99,9 @@ class TableRun:
         self.types = struct_of(self.table["columns"])
         self.ledger = Ledger(self.spark, self.settings.control_path(self.table["region_slug"]))
         self.target = VersionedTable(self.spark, self.settings.target_path(self.table))
-        self.landing = self.settings.landing_path(self.table)
+        self.landing = landing.LandingArea(self.spark, self.settings.landing_path(self.table))
+        # An incremental run copies only what the target lacks. What a landing-only run lands does not depend on the target.
+        self.is_incremental = self.table["load_mode"] == S.INCREMENTAL and self.stage == LOAD and not self.table["synthetic_key"]
         self.events = EventBuffer(self.run_id, self.schema_name, self.table_name)
 
     def run(self) -> dict[str, Any]:
@@ -117,10 +121,7 @@ class TableRun:
             self.progress = Progress(decision["next_batch_index"], decision["resume_after_json"])
             self.events.start(S.STAGE_PIPELINE)
             try:
-                if self.table["load_mode"] == S.INCREMENTAL and self.stage == LOAD and not self.table["synthetic_key"]:
-                    outcome = self._sync()
-                else:
-                    outcome = self._copy(decision["is_resumed"])
+                outcome = self._copy(decision["is_resumed"])
             except Exception as error:
                 self._fail(error, started_at)
                 raise
@@ -144,38 +145,16 @@ class TableRun:
         counts = local_frame(self.spark, [{**who, "target_rows": rows}], report.LIVE_COUNTS)
         return decide(plan, latest, counts, self.force).first()
 
-    def _sync(self) -> str:
-        """An incremental run: compare the source's keys with the target's and add the rows it lacks.
-
-        Nothing is ranked or landed. A repeated run adds nothing twice, so it needs no checkpoint on the way.
-        """
-        self.target.create(self.types)
-        with self._stage(S.STAGE_EXTRACTION) as done:
-            rows = conform(self._wanted(self.source.scan(self.table)), self.types)
-            if self.source.is_remote(self.table):
-                rows = self._kept("raw", rows)  # keys and rows are looked at apart, the source only once
-            last = K.key_to_json(F.max(F.struct(*K.columns(self.keys))))
-            total, last_key = rows.agg(F.count(F.lit(1)), last).first()
-            done(rows_processed=total)
-        with self._stage(S.STAGE_LOAD) as done:
-            inserted = sync_rows(self.target, rows, self.keys)
-            done(rows_processed=total, extra={"rows_inserted": inserted})
-        self._discard("raw")
-        self.progress.batches, self.progress.rows = math.ceil(total / self.settings.batch_size), total
-        self.progress.last_pk_json = last_key or self.progress.last_pk_json
-        self.ledger.commit(
-            self.run_id, self.schema_name, self.table_name, self.progress.last_batch, self.progress.last_pk_json, S.COMPLETED
-        )
-        return S.SUCCESS
-
     def _copy(self, resumed: bool) -> str:
         self.target.create(self.types)
+        if self.stage == LAND_ONLY and not self.landing.holds(self.progress.first_batch):
+            # The landed files are what such a run is for, so it starts over where earlier ones are gone.
+            self.progress = Progress()
         ranked, total, scratch = self._extract(resumed)
         size, first = self.settings.batch_size, self.progress.first_batch
         batches = math.ceil(total / size)
         edges = self._kept("batches", batching.batch_edges(ranked, self.keys, total, size, first))
-        if total:
-            self._land(batching.assign_batches(ranked, size, first), edges)
+        self._land(batching.assign_batches(ranked, size, first) if total else None, edges)
         if scratch is not None:
             scratch.drop()
         if self.stage == LAND_ONLY:
@@ -190,6 +169,9 @@ class TableRun:
         for commit in self._commits(edges, batches, first):
             self._merge(commit, edges)
         self._discard("batches")
+        if self.is_incremental:
+            # The rows that the target had already were looked at as well.
+            self.progress.rows, self.progress.last_pk_json = self.seen[0], self.seen[1] or self.progress.last_pk_json
         self.ledger.commit(
             self.run_id, self.schema_name, self.table_name, self.progress.last_batch, self.progress.last_pk_json, S.COMPLETED
         )
@@ -213,17 +195,39 @@ class TableRun:
                 frame = self.source.scan(self.table)
                 ranged = self.source.is_ranged(self.table)
             rows = conform(self._wanted(frame), self.types)
-            if self.source.is_remote(self.table) and not synthetic and not ranged:
+            if self.source.is_remote(self.table) and not synthetic and (self.is_incremental or not ranged):
                 # Range partitioning samples its input first, which would read the source twice.
-                rows = self._kept("raw", rows)
+                rows, ranged = self._kept("raw", rows), False
+            if self.is_incremental:
+                last = K.key_to_json(F.max(F.struct(*K.columns(self.keys))))
+                self.seen = rows.agg(F.count(F.lit(1)), last).first()
+                lacking = self._lacking(rows)
+                rows, ranged = lacking, ranged and lacking is rows
+            size = None if ranged else planned_bytes(rows)
+            if size is None and not ranged:
+                # Written first, then measured: how much a join gives is not known before.
+                rows = self._kept("unranked", rows)
+                size = planned_bytes(rows)
             scratch = rank_by_key(
                 rows, self.keys, self.settings.work_path("ranked", self.table), already_ranged=ranged,
-                ranges=None if ranged else ranges_for(planned_bytes(rows)),
+                ranges=None if ranged else ranges_for(size),
             )
-            self._discard("raw")
-            done(rows_processed=scratch.rows)
+            for kind in ("raw", "lacking", "unranked"):
+                self._discard(kind)
+            done(rows_processed=self.seen[0] if self.is_incremental else scratch.rows)
             return scratch.frame, scratch.rows, scratch
 
+    def _lacking(self, rows: DataFrame) -> DataFrame:
+        """The rows whose key the target does not have, written down; ``rows`` itself if it has none of them.
+
+        Keys alone are compared, so a re-check of a large table for a few new rows moves keys and those rows.
+        """
+        found = merge.new_rows(rows, self.target.read(rows.schema), self.keys, unique=True, scratch=self.settings.work_path("keys", self.table))
+        if found is not rows:
+            found = self._kept("lacking", found)
+        self._discard("keys")
+        return found
+
     def _kept(self, kind: str, rows: DataFrame) -> DataFrame:
         """``rows`` written to this table's work folder and read back."""
         path = self.settings.work_path(kind, self.table)
@@ -262,23 +266,27 @@ class TableRun:
         last = K.key_from_json(self.progress.last_pk_json, K.key_schema(self.types, self.keys))
         return self.spark.range(1).select(last[self.keys[0]].alias("n")).first()["n"]
 
-    def _land(self, batched: DataFrame, edges: DataFrame) -> None:
+    def _land(self, batched: DataFrame | None, edges: DataFrame) -> None:
+        """Land this run's batches (None: there are none) beside those of the run it resumes, and check the whole area."""
+        first = self.progress.first_batch
         with self._stage(S.STAGE_UPLOAD) as done:
             kept = [c for c in self.types.names if self._is_landed(c)]
-            landing.land(batched.select(*K.columns(kept), BATCH), self.landing, whole=True)
-            done(bytes_processed=storage.size_in_bytes(self.spark, self.landing), extra={"path": self.landing})
+            self.landing.write(None if batched is None else batched.select(*K.columns(kept), BATCH), first)
+            done(bytes_processed=storage.size_in_bytes(self.spark, self.landing.path), extra={"path": self.landing.path})
         with self._stage(S.STAGE_TRANSFER) as done:
-            arrived = landing.batch_counts(self._landed())
-            landing.require_landed(landing.reconcile(edges.select(BATCH, "rows"), arrived))
+            self.landing.verify(edges, self._landed_schema(), first, self.run_id)
             done()
 
     def _is_landed(self, column: str) -> bool:
-        """Row numbers are of no use to readers of the landed files, so a run that ends there leaves them out."""
-        return not (self.stage == LAND_ONLY and self.table["synthetic_key"] and column == self.keys[0])
+        """Row numbers are of no use to readers of the landed files, so a run that ends there leaves them out,
+        unless it adds to the batches of a load, which have them."""
+        return not (self.stage == LAND_ONLY and self.table["synthetic_key"] and column == self.keys[0] and not self.progress.first_batch)
+
+    def _landed_schema(self) -> T.StructType:
+        return T.StructType([f for f in self.types.fields if self._is_landed(f.name)])
 
     def _landed(self) -> DataFrame:
-        fields = [f for f in self.types.fields if self._is_landed(f.name)]
-        return landing.read_landed(self.spark, self.landing, type(self.types)(fields))
+        return landing.read_landed(self.spark, self.landing.path, self._landed_schema())
 
     def _commits(self, edges: DataFrame, batches: int, first: int) -> list[Row]:
         """The groups to merge, at most as many as the run has commits."""

@@ -12,6 +12,7 @@ from ferrylane import schemas as S
 from ferrylane import storage
 from ferrylane.functions import keys as K
 from ferrylane.operators.batching import BATCH
+from ferrylane.storage import VersionedTable
 
 
 class LandingMismatch(RuntimeError):
@@ -76,6 +77,61 @@ def require_landed(reconciled: DataFrame) -> None:
         raise LandingMismatch(f"{bad.count()} batch(es) did not land: {listed}")
 
 
+class LandingArea:
+    """A table's landed batches, and a manifest of those that were found complete.
+
+    The manifest (batch_index, rows, run_id) lies in the area itself, under a name that scans pass over,
+    so that emptying the area empties it too. It is replaced only once the whole area has been reconciled.
+    """
+
+    MANIFEST = "batch_index bigint, rows bigint, run_id string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+        self._manifest = VersionedTable(spark, storage.join_path(path, "_manifest"))
+
+    def manifest(self) -> DataFrame:
+        """The batches known to be complete; none before the first run."""
+        if not self._manifest.exists():
+            return self.spark.createDataFrame([], self.MANIFEST)
+        return self._manifest.read(self.MANIFEST)
+
+    def holds(self, first: int) -> bool:
+        """Whether every batch before ``first`` is in the manifest."""
+        return self.manifest().where(F.col(BATCH).between(0, first - 1)).count() == first
+
+    def write(self, batched: DataFrame | None, first: int) -> None:
+        """Land a run that starts at batch ``first``: earlier batches stay, later ones of an earlier run go.
+
+        Without rows (None) the area keeps the earlier batches alone.
+        """
+        if batched is not None:
+            land(batched, self.path, whole=first == 0)
+
+    def verify(self, expected: DataFrame, schema: T.StructType, first: int, run_id: str) -> None:
+        """Reconcile the whole area with what this run wrote (batch_index, rows) and the earlier batches in the manifest.
+
+        Batches that neither knows are removed first: an earlier run that was cut otherwise left them.
+        What is found complete becomes the manifest.
+        """
+        earlier = self.manifest().where(F.col(BATCH) < first)
+        wanted = earlier.unionByName(expected.select(F.col(BATCH).cast("bigint"), F.col("rows").cast("bigint"), F.lit(run_id).alias("run_id")))
+        low, high = wanted.agg(F.min(BATCH), F.max(BATCH)).first()
+        self._remove_others(low, high)
+        if low is not None:
+            require_landed(reconcile(wanted.select(BATCH, "rows"), batch_counts(read_landed(self.spark, self.path, schema))))
+        self._manifest.replace(wanted.coalesce(1))
+
+    def _remove_others(self, low: int | None, high: int | None) -> None:
+        """Batches of a run are numbered without gaps, so those of no run lie outside a range."""
+        for name in storage.folders(self.spark, self.path):
+            if name.startswith(f"{BATCH}="):
+                index = name.partition("=")[2]
+                if low is None or not index.isdigit() or not low <= int(index) <= high:
+                    storage.delete(self.spark, storage.join_path(self.path, name))
+
+
 def strip_column(spark: SparkSession, path: str, column: str, cleaned_path: str) -> str:
     """Write the landed batches without one column, and return where they now are.
 

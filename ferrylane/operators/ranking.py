@@ -20,6 +20,9 @@ _INDEX_BITS = 33  # monotonically_increasing_id keeps the partition number above
 _MAX_BROADCAST_SLICES = 2_000_000
 # Bytes of input that one range, and so one sorting task, is meant to hold.
 RANGE_BYTES = 128 * 1024 * 1024
+# Spark's names of plan nodes that can give more rows than they take.
+MULTIPLYING = ("Join", "Generate", "Expand", "Window", "MapInArrow", "MapInPandas", "FlatMapGroupsInArrow", "FlatMapGroupsInPandas")
+KEEPING = ("LeftSemi", "LeftAnti")
 
 
 class Ranked:
@@ -91,9 +94,21 @@ def ranges_for(input_bytes: int | None, range_bytes: int = RANGE_BYTES) -> int |
 
 
 def planned_bytes(df: DataFrame) -> int | None:
-    """What Spark's plan says that a frame reads; None when it does not know (it then says a number beyond any store)."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size if size < 1 << 60 else None
+    """The bytes of the files and tables that a frame reads. None where that does not bound what it gives:
+    a source of unknown size, or a plan that may multiply rows, such as a join."""
+    total, plans = 0, [df._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() in MULTIPLYING and not (plan.nodeName() == "Join" and plan.joinType().toString() in KEEPING):
+            return None
+        children = plan.children()
+        if children.isEmpty():
+            size = int(plan.stats().sizeInBytes())
+            if size >= 1 << 60:  # what Spark says when it does not know
+                return None
+            total += size
+        plans += [children.apply(i) for i in range(children.size())]
+    return total
 
 
 def rank_by_key(

@@ -42,6 +42,14 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders right below ``path``."""
+    fs, p = _filesystem(spark, path)
+    if not fs.exists(p):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(p) if status.isDirectory()]
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as file scans name it, with one slash after the scheme."""
     fs, p = _filesystem(spark, path)
@@ -66,11 +74,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def _versions(self) -> list[int]:
-        fs, p = _filesystem(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(p)]
-        return sorted(int(n[2:]) for n in names if re.fullmatch(r"v=\d+", n))
+        return sorted(int(n[2:]) for n in folders(self.spark, self.path) if re.fullmatch(r"v=\d+", n))
 
     def _version_path(self, version: int) -> str:
         return join_path(self.path, f"v={version}")

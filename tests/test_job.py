@@ -8,6 +8,7 @@ from ferrylane import schemas as S
 from ferrylane import storage
 from ferrylane.job import LAND_ONLY, Settings, TableRun, run_estate, run_table
 from ferrylane.operators import merge
+from ferrylane.operators.landing import LandingArea
 from ferrylane.operators.ledger import Ledger
 from ferrylane.plans.planner import build_plan, find_table
 from ferrylane.session import local_frame, scratch_path
@@ -404,16 +405,114 @@ def test_a_keyed_load_writes_rows_to_landing_and_target_after_ranking(estate, sp
     assert spark.read.parquet(path).count() == 1500  # the second run's batches replaced the first's
 
 
-def test_incremental_runs_rank_and_land_nothing(estate, spark, plan, sf_dir, monkeypatch):
-    from ferrylane import job
+def landed(e, spark, name="orders"):
+    return {r["batch_index"]: r["n"] for r in spark.read.parquet(e.settings.landing_path(e.row(name))).groupBy("batch_index").agg(F.count("*").alias("n")).collect()}
+
+
+def manifest(e, spark, name="orders"):
+    return {r["batch_index"]: (r["rows"], r["run_id"]) for r in LandingArea(spark, e.settings.landing_path(e.row(name))).manifest().collect()}
 
-    e = Estate(spark, plan.withColumn("load_mode", F.lit("incremental")), sf_dir)
-    monkeypatch.setattr(job, "rank_by_key", lambda *a, **k: pytest.fail("ranked"))
-    assert e.run("orders")["rows_processed"] == 1500 and e.run("orders")["rows_processed"] == 1500
-    assert e.target("orders").row_count() == 1500 and not storage.exists(spark, e.settings.landing_path(e.row("orders")))
+
+def test_an_incremental_run_lands_what_the_target_lacks(spark, plan, sf_dir, read):
+    e = Estate(spark, plan.withColumn("load_mode", F.lit("incremental")), sf_dir, batch_size=400)
+    assert e.run("orders", source=FrameSource({"orders": read("orders").where("o_orderkey % 2 = 0")}))["rows_processed"] == 750
+    assert landed(e, spark) == {0: 400, 1: 350}
+    assert e.run("orders", run_id="second")["rows_processed"] == 1500 and e.target("orders").row_count() == 1500
+    assert landed(e, spark) == {0: 400, 1: 350} and manifest(e, spark) == {0: (400, "second"), 1: (350, "second")}
+    delta = spark.read.parquet(e.settings.landing_path(e.row("orders")))
+    assert delta.where("o_orderkey % 2 = 0").isEmpty()
+    assert e.run("orders")["rows_processed"] == 1500 and landed_files(e, spark) == 0
     assert e.statuses()[-1][0] == "COMPLETED" and e.statuses()[-1][2] == '{"o_orderkey":1499}'
 
 
+def landed_files(e, spark):
+    return sum(name.startswith("batch_index=") for name in storage.folders(spark, e.settings.landing_path(e.row("orders"))))
+
+
+@pytest.mark.parametrize("broken_at", [1, 2, 4])
+def test_a_first_incremental_load_resumes_where_it_broke(spark, plan, sf_dir, read, breaking, broken_at):
+    e = Estate(spark, plan.withColumn("load_mode", F.lit("incremental")), sf_dir, batch_size=400, batches_per_commit=1)
+    mend = breaking(broken_at)
+    with pytest.raises(OSError):
+        e.run("orders")
+    done = 400 * (broken_at - 1)
+    assert e.target("orders").row_count() == done and e.statuses()[-1][:2] == ("FAILED", broken_at - 2)
+    mend()
+    assert e.run("orders")["rows_processed"] == 1500 - done and same_rows(e.target("orders").read().select("o_orderkey"), read("orders").select("o_orderkey"))
+    assert landed(e, spark) == {0: 400, 1: 400, 2: 400, 3: 300} and e.statuses()[-1][:2] == ("COMPLETED", 3)
+
+
+@pytest.mark.parametrize("stage", ["load", LAND_ONLY])
+@pytest.mark.parametrize("name, size, total", [("orders", 300, 1500), ("lineitem", 1000, 6000)])
+def test_a_resumed_run_keeps_the_batches_that_landed(estate, spark, breaking, stage, name, size, total):
+    e = estate(batch_size=size, batches_per_commit=1)
+    mend = breaking(3)
+    with pytest.raises(OSError):
+        e.run(name, run_id="first")
+    mend()
+    e.run(name, run_id="second", stage=stage)
+    batches = -(-total // size)
+    assert landed(e, spark, name) == dict.fromkeys(range(batches), size)
+    assert manifest(e, spark, name) == {i: (size, "first" if i < 2 else "second") for i in range(batches)}
+
+
+def test_batches_of_another_size_are_removed_on_resume(estate, spark, breaking):
+    e = estate(batch_size=100, batches_per_commit=1)
+    mend = breaking(3)
+    with pytest.raises(OSError):
+        e.run("orders")
+    mend()
+    e.settings = Settings(e.settings.root, batch_size=1000)
+    e.run("orders")
+    assert landed(e, spark) == {0: 100, 1: 100, 2: 1000, 3: 300} and e.target("orders").row_count() == 1500
+
+
+def test_a_landing_only_run_starts_over_where_landed_batches_are_gone(estate, spark, breaking):
+    e = estate(batch_size=300, batches_per_commit=1)
+    mend = breaking(3)
+    with pytest.raises(OSError):
+        e.run("orders")
+    mend()
+    storage.delete(spark, e.settings.landing_path(e.row("orders")))
+    assert e.run("orders", stage=LAND_ONLY)["batches_processed"] == 5 and landed(e, spark) == dict.fromkeys(range(5), 300)
+    assert e.run("orders")["rows_processed"] == 900  # the load still resumes after its own checkpoint
+    assert e.target("orders").row_count() == 1500
+
+
+def test_a_landed_batch_that_vanished_fails_the_resumed_run(estate, spark, breaking):
+    from ferrylane.operators.landing import LandingMismatch
+
+    e = estate(batch_size=300, batches_per_commit=1)
+    mend = breaking(3)
+    with pytest.raises(OSError):
+        e.run("orders")
+    mend()
+    storage.delete(spark, f"{e.settings.landing_path(e.row('orders'))}/batch_index=1")
+    with pytest.raises(LandingMismatch, match="batch 1 missing"):
+        e.run("orders")
+
+
+def test_a_fresh_run_leaves_nothing_of_the_last_one(estate, spark, read):
+    e = estate(batch_size=100)
+    e.run("orders", stage=LAND_ONLY)
+    few = FrameSource({"orders": read("orders").where("o_orderkey < 250")})
+    e.run("orders", source=few, stage=LAND_ONLY, run_id="few")
+    assert landed(e, spark) == {0: 100, 1: 100, 2: 50} and set(manifest(e, spark)) == {0, 1, 2}
+    e.run("orders", source=FrameSource({"orders": read("orders").limit(0)}), stage=LAND_ONLY)
+    assert landed_files(e, spark) == 0 and manifest(e, spark) == {}
+
+
+def test_a_joined_source_is_measured_before_it_is_cut(estate, spark, read, monkeypatch):
+    from ferrylane import job
+
+    ranges, real = [], job.rank_by_key
+    monkeypatch.setattr(job, "rank_by_key", lambda *a, **k: ranges.append(k["ranges"]) or real(*a, **k))
+    customers = read("customer").select(F.col("c_custkey").alias("o_custkey"))
+    e = estate(batch_size=500)
+    assert e.run("orders", source=FrameSource({"orders": read("orders").join(customers, "o_custkey")}))["rows_processed"] == 1500
+    assert ranges == [1] and not storage.exists(spark, e.settings.work_path("unranked", e.row("orders")))
+
+
 def regional(plan, *names):
     slug = F.regexp_replace(F.lower("region"), " ", "_")
     own = plan.where("name = 'orders'").withColumn("region", F.explode(F.array(*map(F.lit, names))))

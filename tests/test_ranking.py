@@ -67,6 +67,14 @@ def test_ranges_follow_the_input(size, ranges):
     assert ranges_for(size, range_bytes=100) == ranges
 
 
+def test_only_what_bounds_a_frame_is_taken_for_its_size(spark, read):
+    orders, items = read("orders"), read("lineitem")
+    joined = items.join(orders, items["l_orderkey"] == orders["o_orderkey"])
+    assert planned_bytes(joined) is None and planned_bytes(orders.select(F.explode(F.array(F.lit(1), F.lit(2))))) is None
+    assert planned_bytes(orders.join(items, items["l_orderkey"] == orders["o_orderkey"], "left_semi")) == planned_bytes(orders) + planned_bytes(items)
+    assert planned_bytes(orders.unionAll(orders)) == 2 * planned_bytes(orders)
+
+
 def test_ranked_slices_are_as_many_as_ranges(spark, read):
     orders = read("orders")
     assert 0 < planned_bytes(orders) < 1 << 30
