@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrylane.llm import (
-    chat, collisions, exact_dedup, minhash, mixing, pieces, secrets, spelling, token_counts, token_files, toxicity, vector_index)
+    chat, collisions, collocations, exact_dedup, minhash, mixing, pieces, secrets, spelling, token_counts, token_files, toxicity, vector_index)
 from ferrylane.session import scratch_path
 
 TOKEN_LIMIT = 512
@@ -67,6 +67,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_index.linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row whose id is divisible by ``QUERY_EVERY`` is a query, every row a candidate."""
     return collisions.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0, NEAREST)
@@ -79,9 +83,10 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_minhash_near_dedup, op2_chat_formatting, op3_exact_dedup, op4_sentencepiece, op5_secret_scan, op6_token_counts, op7_toxicity,
     op8_source_mixing, op9_token_files,
-    op10_embedding_near_dedup, op12_nearest_vectors, op13_spelling_variants)}
+    op10_embedding_near_dedup, op11_collocations, op12_nearest_vectors, op13_spelling_variants)}
 SQL = {
     "op2_chat_formatting": chat.CHAT_SQL,
     "op3_exact_dedup": exact_dedup.EQUAL_TEXTS_SQL,
     "op8_source_mixing": mixing.MIX_SQL,
+    "op11_collocations": collocations.COLLOCATION_SQL,
 }

@@ -19,7 +19,7 @@ def test_query_matches_its_sql(llm, name):
 
 def test_everything_is_registered():
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_of_the_pipeline(llm):
