@@ -38,10 +38,11 @@ LEVELS = (5, 4, 1, 14, 15, 9, 3, 2, 8, 12, 7, 13, 0, 6, 11, 10)
 SUBTREE_WORDS, BLOCK_WORDS = 16_384, 65_536
 #: Distinct words that a task holds before it hands on what it has counted.
 HELD_WORDS = 200_000
-#: Below so many pairs a search compares counts directly instead of going down further.
-SMALL = 4096
+#: Down to so many pairs queries go down together, then pair by pair; letters of pairs that are verified in one go.
+SMALL, HELD_LETTERS = 1 << 14, 1 << 21
 
-_RUN = re.compile("[a-zÀ-ÿ]+")
+# Shorter runs make no word. A match starts where its run does, since no part of a longer run is left over.
+_RUN = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LETTERS},}}")
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
 
 
@@ -150,72 +151,74 @@ class Subtree:
 
     def __init__(self, words: list[str]):
         _, counts = vectors(words)
-        order = np.lexsort(counts.T[::-1])
-        self.words = [words[i] for i in order]
-        self.order = order
-        self.counts = counts[order]
-        self.letters = code_points(self.words)
+        self.order = np.lexsort(counts.T[::-1])
+        self.counts = np.ascontiguousarray(counts[self.order].T)
+        self.letters = code_points(words)[self.order]
 
     def near(self, queries: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (member, query) that differ by one letter, for queries as long as the members or one letter shorter."""
-        found_m, found_q = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         if queries:
-            _, counts = vectors(queries)
-            letters, same = code_points(queries), len(queries[0]) == self.letters.shape[1]
+            counts, letters = np.ascontiguousarray(vectors(queries)[1].T), code_points(queries)
             # Spent: 1 the surplus, 2 the deficit. A longer member leaves no deficit to spend; among equals it is the member's
             # first differing count that is higher, so the surplus comes first.
-            stack = [(0, 0, len(self.words), np.arange(len(queries)), np.full(len(queries), 0 if same else 2))]
+            spent = np.full(len(queries), 0 if letters.shape[1] == self.letters.shape[1] else 2)
+            stack, waiting = [(0, 0, len(self.order), np.arange(len(queries)), spent)], 0
+            held: list[tuple[np.ndarray, np.ndarray]] = []
             while stack:
                 level, low, high, q, spent = stack.pop()
                 if level == GROUPS or (high - low) * len(q) <= SMALL:
-                    m, k = self._reached(level, low, high, q, spent, counts, same)
-                    m, k = self._verified(m, k, letters, queries, same)
-                    found_m.append(m)
-                    found_q.append(k)
+                    held.append(self._reached(level, low, high, q, spent, counts))
+                    waiting += len(held[-1][0])
+                    if waiting * letters.shape[1] > HELD_LETTERS:
+                        found, held, waiting = [*found, self._verified(held, letters, counts)], [], 0
                     continue
-                column, wanted = self.counts[low:high, level], counts[q, level]
+                column, wanted = self.counts[level, low:high], counts[level, q]
                 starts = np.append(np.flatnonzero(np.diff(column, prepend=column[0] - 1)), len(column))
                 for start, end in zip(starts[:-1], starts[1:]):
-                    more = column[start] - wanted
-                    into = (more == 0) | ((more == 1) & (spent & 1 == 0)) | ((more == -1) & (spent == 1))
-                    if into.any():
-                        then = spent[into] | np.where(more[into] == 1, 1, 0) | np.where(more[into] == -1, 2, 0)
+                    into, then = _spend(column[start] - wanted, spent)
+                    if len(into):
                         stack.append((level + 1, low + start, low + end, q[into], then))
-        m = np.concatenate(found_m)
-        return self.order[m], np.concatenate(found_q)
-
-    def _reached(self, level, low, high, q, spent, counts, same):
-        """Members and queries whose remaining counts the remaining budget covers."""
-        m, k = (a.ravel() for a in np.meshgrid(np.arange(low, high), np.arange(len(q)), indexing="ij"))
-        if level < GROUPS:
-            more = self.counts[m, level:] - counts[q[k], level:]
-            up, down = np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1)
-            fits = (up + (spent[k] & 1) <= 1) & (down + (spent[k] >> 1) <= 1)
-            if same:
-                first = np.argmax(more != 0, axis=1)
-                fits &= (spent[k] & 1 == 1) | (more[np.arange(len(m)), first] >= 0)
-            m, k = m[fits], k[fits]
-        return m, q[k]
-
-    def _verified(self, m, q, letters, queries, same):
-        kept_m, kept_q, width = [], [], self.letters.shape[1]
-        for s in range(0, len(m), max(1, (1 << 21) // width)):
-            i, j = m[s:s + max(1, (1 << 21) // width)], q[s:s + max(1, (1 << 21) // width)]
-            a, b = self.letters[i], letters[j]
-            if same:
-                near = (a != b).sum(axis=1) == 1
-                # Equal vectors: the pair is met from both sides.
-                for x in np.flatnonzero(near):
-                    if (self.counts[i[x]] == vectors([queries[j[x]]])[1][0]).all() and self.words[i[x]] < queries[j[x]]:
-                        near[x] = False
-            else:
-                ahead = np.logical_and.accumulate(a[:, :-1] == b, axis=1).sum(axis=1)
-                behind = np.logical_and.accumulate((a[:, 1:] == b)[:, ::-1], axis=1).sum(axis=1)
-                near = ahead + behind >= width - 1
-            kept_m.append(i[near])
-            kept_q.append(j[near])
-        empty = np.zeros(0, np.int64)
-        return np.concatenate([empty, *kept_m]), np.concatenate([empty, *kept_q])
+            found.append(self._verified(held, letters, counts))
+        m, q = (np.concatenate(side) for side in zip(*found))
+        return self.order[m], q
+
+    def _reached(self, level: int, low: int, high: int, q: np.ndarray, spent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The way down for so few pairs that each is followed by itself."""
+        m, k = np.repeat(np.arange(low, high), len(q)), np.tile(np.arange(len(q)), high - low)
+        q, spent = q[k], spent[k]
+        for deeper in range(level, GROUPS):
+            into, spent = _spend(self.counts[deeper, m] - counts[deeper, q], spent)
+            m, q = m[into], q[into]
+        return m, q
+
+    def _verified(self, held: list[tuple[np.ndarray, np.ndarray]], letters: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that one letter tells apart. Pairs of equal vectors are met from both sides and kept at the query that sorts first."""
+        kept, width = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], self.letters.shape[1]
+        for m, q in held:
+            size = max(1, HELD_LETTERS // width)
+            for s in range(0, len(m), size):
+                i, j = m[s:s + size], q[s:s + size]
+                a, b = self.letters[i], letters[j]
+                if a.shape == b.shape:
+                    differ = a != b
+                    near = np.flatnonzero(differ.sum(axis=1) == 1)
+                    at = differ[near].argmax(axis=1)
+                    after = a[near, at] > b[near, at]
+                    near = near[after | (self.counts[:, i[near]] != counts[:, j[near]]).any(axis=0)]
+                else:
+                    ahead = np.logical_and.accumulate(a[:, :-1] == b, axis=1).sum(axis=1)
+                    behind = np.logical_and.accumulate((a[:, 1:] == b)[:, ::-1], axis=1).sum(axis=1)
+                    near = np.flatnonzero(ahead + behind >= width - 1)
+                kept.append((i[near], j[near]))
+        return tuple(np.concatenate(side) for side in zip(*kept))
+
+
+def _spend(more: np.ndarray, spent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ways can be afforded, of those that lead to ``more`` letters of a group, and what is spent then."""
+    into = np.flatnonzero((more == 0) | ((more == 1) & (spent & 1 == 0)) | ((more == -1) & (spent == 1)))
+    more, spent = more[into], spent[into]
+    return into, spent + np.where(more == 1, 1, 0) + np.where(more == -1, 2, 0)
 
 
 _PAIRS = "word string, n long, other string, other_n long"

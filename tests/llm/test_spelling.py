@@ -60,8 +60,8 @@ def got(df):
 
 @pytest.mark.parametrize("small_blocks", [False, True])
 def test_variants_equal_all_pairs(llm, monkeypatch, small_blocks):
-    if small_blocks:  # deep keys, cut subtrees, the search going down to the leaves
-        for name, value in (("SUBTREE_WORDS", 2), ("BLOCK_WORDS", 3), ("SMALL", 0)):
+    if small_blocks:  # deep keys, cut subtrees
+        for name, value in (("SUBTREE_WORDS", 2), ("BLOCK_WORDS", 3)):
             monkeypatch.setattr(spelling, name, value)
     counts = chained(1, 40 if small_blocks else 250)
     want = brute(counts)
@@ -82,7 +82,10 @@ def test_words_of_texts(llm, messy, nothing):
     assert {r[0] for r in got(spelling.spelling_variants(messy))} == set(brute_words([(r.doc_id, r.text) for r in messy.collect()]))
 
 
-def test_every_pair_is_met_once():
+@pytest.mark.parametrize("small, held", [(0, 1), (20, 100), (1 << 14, 1 << 21)])
+def test_every_pair_is_met_once(monkeypatch, small, held):
+    monkeypatch.setattr(spelling, "SMALL", small)
+    monkeypatch.setattr(spelling, "HELD_LETTERS", held)
     counts = list(chained(5, 300))
     by_length = {}
     for w in counts:
