@@ -38,14 +38,25 @@ def uniform(seed: int, *parts: Column) -> Column:
 def poisson_steps(rate: Column) -> Column:
     """The Poisson distribution function at 0, 1, 2, ... as far as doubles tell it from 1."""
     longest = F.ceil(rate + 10 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct(F.lit(0.0).alias("log_factorial"), F.lit(0.0).alias("below"), F.array().cast("array<double>").alias("steps"))
+    # Growing an array copies it, so it is grown in parts: about the square root of its length, of that length each.
+    part = F.ceil(F.sqrt(longest.cast("double"))).cast("int")
+    none = F.array().cast("array<double>")
+
+    def start(steps: Column, log_factorial: Column = F.lit(0.0), below: Column = F.lit(0.0)) -> Column:
+        return F.struct(log_factorial.alias("log_factorial"), below.alias("below"), steps.alias("steps"))
 
     def step(state: Column, k: Column) -> Column:
         log_factorial = state.log_factorial + F.when(k > 0, F.log(k.cast("double"))).otherwise(0.0)
         below = state.below + F.exp(k * F.log(rate) - rate - log_factorial)
-        return F.struct(log_factorial.alias("log_factorial"), below.alias("below"), F.concat(state.steps, F.array(below)).alias("steps"))
+        return start(F.concat(state.steps, F.array(below)), log_factorial, below)
+
+    def steps_of_part(state: Column, first: Column) -> Column:
+        numbers = F.sequence(first, F.least(first + part - 1, longest))
+        return F.aggregate(numbers, start(none, state.log_factorial, state.below), step,
+                           lambda done: start(F.concat(state.steps, F.array(done.steps)), done.log_factorial, done.below))
 
-    return F.aggregate(F.sequence(F.lit(0), longest), start, step, lambda state: state.steps)
+    parts = start(F.array().cast("array<array<double>>"))
+    return F.aggregate(F.sequence(F.lit(0), longest, part), parts, steps_of_part, lambda state: F.flatten(state.steps))
 
 
 def repetition_rates(docs: DataFrame, weights: DataFrame | None = None, total: int | None = None,
@@ -80,11 +91,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, total: int | None = N
     copy, shuffle_key = free_name(docs, "copy"), free_name(docs, "shuffle_key")
     rates = repetition_rates(docs, weights, total, temperature, source).where(F.col("rate") > 0)
     # Written, so that the planner knows its size: it is broadcast only below the session's limit.
-    steps = ws.save(rates.select(F.col("source").alias("_mix_source"), poisson_steps(F.col("rate")).alias("_mix_steps")), "steps")
+    of, steps_of, u, n = (free_name(docs, name) for name in ("mix_source", "mix_steps", "mix_u", "mix_n"))
+    steps = ws.save(rates.select(F.col("source").alias(of), poisson_steps(F.col("rate")).alias(steps_of)), "steps")
     drawn = uniform(seed, *[F.col(c) for c in identity])
-    rows = docs.join(steps, F.col(source).eqNullSafe(F.col("_mix_source"))).withColumn("_mix_u", drawn)
-    rows = rows.withColumn("_mix_n", F.size(F.filter("_mix_steps", lambda s: s <= F.col("_mix_u")))).where(F.col("_mix_n") > 0)
-    copies = rows.select(*[F.col(c) for c in docs.columns], F.explode(F.sequence(F.lit(0), F.col("_mix_n") - 1)).alias(copy))
+    rows = docs.join(steps, F.col(source).eqNullSafe(F.col(of))).withColumn(u, drawn)
+    rows = rows.withColumn(n, F.size(F.filter(steps_of, lambda s: s <= F.col(u)))).where(F.col(n) > 0)
+    copies = rows.select(*[F.col(c) for c in docs.columns], F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(copy))
     keyed = copies.withColumn(shuffle_key, keyed_hash(seed + 1, *[F.col(c) for c in identity], F.col(copy)))
     return keyed.repartition(F.col(shuffle_key)).sortWithinPartitions(shuffle_key)
 

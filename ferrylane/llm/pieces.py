@@ -336,8 +336,15 @@ def decoded(model_path: str, spark):
     return F.pandas_udf(run, "string")
 
 
-def cut(docs: DataFrame, model_path: str, rate: float, seed: int) -> DataFrame:
-    """Per row: doc_id, its pieces, their number, and whether they decode to its text."""
-    with_ids = with_pieces(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), model_path, rate, seed)
+def cut(docs: DataFrame, model_path: str, rate: float, seed: int, copies_differ: bool = False) -> DataFrame:
+    """Per row: doc_id, its pieces, their number, and whether they decode to its text.
+
+    With ``copies_differ`` rows that share an id are cut apart: merges are skipped by the id and the row's place in its
+    table, which should be a written one, so that a task that is repeated finds the same places.
+    """
+    read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    if copies_differ:
+        read = read.withColumn("row_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id().cast("string")))
+    with_ids = with_pieces(read, model_path, rate, seed, key="row_key" if copies_differ else "doc_id")
     back: Column = decoded(model_path, docs.sparkSession)("pieces")
     return with_ids.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), (back == F.col("text")).alias("lossless"))

@@ -2,10 +2,12 @@
 
 One Aho-Corasick pass over a text finds where a secret could start; only there is an expression tried,
 anchored. Kinds that carry a check of their own (GitHub and npm tokens: CRC-32 in base 62; JSON web
-tokens: a header that decodes; private keys: the length that their DER header gives) count only if it holds.
+tokens: a header that decodes; private keys: the length that their DER header gives, the lengths of all fields and the
+two equal check numbers of an OpenSSH key, whole cipher blocks under the header lines of an encrypted one) count only if it holds.
 Hex runs start with no keyword; one linear expression finds them.
 
-Nulls and empty texts have no spans. Texts are scanned whole. Repeated rows are scanned each.
+Nulls and empty texts have no spans. Texts are scanned whole, in time that grows with their length whatever they hold: an
+expression that fails is not tried again within the characters that made it fail. Repeated rows are scanned each.
 """
 
 from __future__ import annotations
@@ -38,8 +40,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")
 GITHUB = re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-PRIVATE_KEY = re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END ([A-Z]+ )?PRIVATE KEY-----", re.ASCII)
+JWT = re.compile(r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++")
+PRIVATE_KEY = re.compile(
+    r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----\s*((?:[A-Za-z][A-Za-z-]*+:[^\n]*+\n)*+)([A-Za-z0-9+/=\s]++)-----END ([A-Z]+ )?PRIVATE KEY-----", re.ASCII)
+#: A try that failed fails as well if it starts later within these characters.
+_RUNS = {"jwt": re.compile(r"[A-Za-z0-9_-]+")}
+_DEK = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*((?:[0-9A-Fa-f]{2})+)\s*$", re.MULTILINE)
 
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -73,12 +79,49 @@ def has_jwt_header(token: str) -> bool:
     return isinstance(decoded, dict) and "alg" in decoded
 
 
-def has_der_length(block: re.Match) -> bool:
-    """Whether the decoded key is one DER sequence of exactly the length that its header states."""
+def is_private_key(block: re.Match) -> bool:
+    """Whether the lengths embedded in the decoded key hold."""
     try:
-        der = base64.b64decode("".join(block[2].split()), validate=True)
+        key = base64.b64decode("".join(block[3].split()), validate=True)
     except (binascii.Error, ValueError):
         return False
+    if key.startswith(_OPENSSH):
+        return has_openssh_fields(key)
+    if "ENCRYPTED" in block[2]:
+        # What the header lines encrypt has no length of its own but whole blocks, of the size of the start vector.
+        vector = _DEK.search(block[2])
+        return bool(vector and key) and len(key) % (len(vector[1]) // 2) == 0
+    return has_der_length(key)
+
+
+_OPENSSH = b"openssh-key-v1\0"
+
+
+def has_openssh_fields(key: bytes) -> bool:
+    """Whether the key is just its fields: cipher, function, options, a count, as many public keys, and the private part.
+    That starts with one number twice, unless it is encrypted."""
+    fields, at = [], len(_OPENSSH)
+
+    def field() -> bytes | None:
+        nonlocal at
+        size = int.from_bytes(key[at:at + 4], "big")
+        value, at = key[at + 4:at + 4 + size], at + 4 + size
+        return value if at <= len(key) else None
+
+    for _ in range(3):
+        fields.append(field())
+    count, at = int.from_bytes(key[at:at + 4], "big"), at + 4
+    while count and fields[-1] is not None:
+        fields.append(field())
+        count -= 1
+    private = field() if fields[-1] is not None else None
+    if private is None or at != len(key) or len(fields) < 4:
+        return False
+    return fields[0] != b"none" or len(private) >= 8 and private[:4] == private[4:8]
+
+
+def has_der_length(der: bytes) -> bool:
+    """Whether the key is one DER sequence of exactly the length that its header states."""
     if len(der) < 2 or der[0] != 0x30:
         return False
     if der[1] < 0x80:
@@ -94,7 +137,7 @@ _ANCHORED = {
     "github": (GITHUB, lambda m: has_crc62(m[0])),
     "npm": (NPM, lambda m: has_crc62(m[0])),
     "jwt": (JWT, lambda m: has_jwt_header(m[0])),
-    "private_key": (PRIVATE_KEY, has_der_length),
+    "private_key": (PRIVATE_KEY, is_private_key),
 }
 _KEYWORDS = {
     "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"),
@@ -128,10 +171,13 @@ def spans_of(text: str) -> list[Span]:
             continue
         expression, passes = _ANCHORED[kind]
         match = expression.match(text, start)
-        if match:
+        if match and passes(match):
+            found.append(Span(start, kind, match.end()))
+            free[kind] = match.end()
+        elif kind in _RUNS:
+            free[kind] = _RUNS[kind].match(text, start).end()
+        elif match:
             free[kind] = match.end()
-            if passes(match):
-                found.append(Span(start, kind, match.end()))
     return sorted(found, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 

@@ -5,7 +5,8 @@ that of the normalised text. Null counts as empty; nothing else is folded, since
 Reading tolerates keys that were stored twice, as two runs at once may do.
 
 Copies are dropped within each task before texts are dealt by content, so a hot text is moved once per task; counts
-are joined back on digests alone. Empty tables give empty results and leave the cache as it is.
+are joined back on digests alone. Empty tables give empty results and leave the cache as it is. Texts are encoded whole,
+however long, each by one call of the library or word by word. Other columns are not looked at; rows count one by one.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from ferrylane.storage import exists
 
 #: Words that a worker remembers the counts of; past it, it starts anew.
 REMEMBERED_WORDS = 400_000
+#: Up to so many missing digests may be held in hash tables, all partitions' together; beyond, the planner picks a join that spills.
+HASHED_ROWS = 4_000_000
 _CACHE = "version string, content binary, n_tokens long"
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 
@@ -147,9 +150,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, doc_id:
     stored = spark.read.schema(_CACHE).parquet(cache_path) if exists(spark, cache_path) else spark.createDataFrame([], _CACHE)
     contents = ws.save(keyed.select("content").distinct(), "contents")
     missing = ws.save(contents.join(stored.where(F.col("version") == version), "content", "left_anti"), "missing")
-    if not missing.isEmpty():
+    n_missing = missing.count()
+    if n_missing:
         once = read.select(content_of().alias("content"), "text").mapInArrow(_first_of_each, "content binary, text string")
-        lacking = once.join(missing.hint("shuffle_hash"), "content", "left_semi")
+        lacking = once.join(missing.hint("shuffle_hash") if n_missing <= HASHED_ROWS else missing, "content", "left_semi")
         lacking.mapInArrow(_encode(shared, version), _CACHE).write.mode("append").parquet(cache_path)
         stored = spark.read.schema(_CACHE).parquet(cache_path)
     counts = ws.save(cached_counts(stored.join(contents, "content", "left_semi"), version), "counts")

@@ -5,9 +5,11 @@ in it and their beginnings; the document's is the noisy-or of its sentences', 1
 document labels through that product, so blame falls on the sentences that explain the labels, and those are what
 ``locate`` reports.
 
-Which features there are is counted over all labelled training rows: those whose presence goes with the label beyond
-``MIN_ASSOCIATION`` (chi square) and multiplies its odds by ``MIN_ODDS_RATIO``, whatever share of the labels is toxic, at most
-``MAX_FEATURES``. The weights are fitted on a sample of at most ``SAMPLE_ROWS`` documents of each label, drawn by hash and weighed back to their share; the sample holds feature numbers, not texts.
+Which features there are is counted over all labelled training rows: all those whose presence goes with the label beyond
+``MIN_ASSOCIATION`` (chi square) and multiplies its odds by ``MIN_ODDS_RATIO``, whatever share of the labels is toxic. Words are told
+apart by 2 ** ``BUCKET_BITS`` buckets, so a rare word may share its bucket with others. The weights are fitted on a sample, drawn by
+hash and weighed back to its share: of each label at most ``SAMPLE_ROWS`` documents that hold at most ``SAMPLE_HITS`` feature
+numbers between them, whatever their texts' length. It holds feature numbers, not texts.
 
 Null and empty texts, and texts without words, have no sentences and the score 0. Long texts are scored whole. With no
 labels, or labels all alike, every sentence gets the same low or high probability. Null labels are left out; of labels that
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +36,7 @@ BUCKET_BITS = 18
 PREFIX_BYTES = (3, 4, 5, 6, 7, 8)
 MIN_ASSOCIATION = 20.0
 MIN_ODDS_RATIO = 2.0
-MAX_FEATURES = 4096
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS, SAMPLE_HITS = 10_000, 4_000_000
 STEPS = 300
 #: What a label takes in memory, and how much of them may be broadcast.
 BYTES_PER_LABEL, MAX_BROADCAST_BYTES = 32, 64 << 20
@@ -144,7 +145,7 @@ def _features(ws: Workspace, labelled: DataFrame) -> tuple[np.ndarray, dict[int,
     chi = n * F.pow(F.col("t") * n - F.col("k") * p, 2) / covered
     with_clean = F.col("k") - F.col("t")
     lifted = F.col("t") * (n - p - with_clean) >= MIN_ODDS_RATIO * with_clean * (p - F.col("t"))
-    best = counts.where((F.col("bucket") >= 0) & (covered > 0) & (chi >= MIN_ASSOCIATION) & lifted).orderBy(chi.desc(), "bucket").limit(MAX_FEATURES)
+    best = counts.where((F.col("bucket") >= 0) & (covered > 0) & (chi >= MIN_ASSOCIATION) & lifted)
     found = np.array(sorted(row.bucket for row in best.select("bucket").collect()), dtype=np.int64)
     return found, {0: n_texts - n_toxic, 1: n_toxic}
 
@@ -226,7 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     features, totals = _features(ws, _labelled(read, known))
     drawn = [known.where(F.col("toxic") == label).orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE_ROWS) for label in (0, 1)]
     rows = _labelled(read, ws.save(drawn[0].unionByName(drawn[1]), "sample"))
-    sample = rows.select("text", "toxic").mapInArrow(_sampled(features), _SAMPLE).toPandas()
+    sample = _bounded(ws, rows.select("text", "toxic").mapInArrow(_sampled(features), _SAMPLE)).toPandas()
     sampled = sample.toxic.value_counts().to_dict()
     weights, bias = _fit(sample, len(features), {k: totals[k] / n for k, n in sampled.items()})
     spread = np.zeros(1 << BUCKET_BITS)
@@ -234,6 +235,15 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return Model(spread, bias)
 
 
+def _bounded(ws: Workspace, sample: DataFrame) -> DataFrame:
+    """Of each label as many rows, in the order of a hash, as hold no more than ``SAMPLE_HITS`` features between them."""
+    hits = F.size("feature")
+    # Some ten thousand rows of each label at most, so that one task can order each.
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("feature", "sentence"), hits).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ws.save(sample.withColumn("so_far", F.sum(hits).over(order)), "hits")
+    return summed.where(F.col("so_far") <= SAMPLE_HITS).drop("so_far")
+
+
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and toxic of the documents that have a label (columns label_id, toxic).
 
