@@ -31,8 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_into_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document, and whether they decode to its text."""
-    return pieces.cut(docs, public_tokenizers.path("piece_bpe_32k.model"), MERGE_DROPOUT, MERGE_SEED)
+    """Piece ids of every document, and whether they decode to its text. Copies of one document are cut each in its own way."""
+    return pieces.cut(docs, public_tokenizers.path("piece_bpe_32k.model"), MERGE_DROPOUT, MERGE_SEED, copies_differ=True)
 
 
 STAGES = [
