@@ -6,8 +6,9 @@ import logging
 import math
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import BoundedSemaphore
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -53,7 +54,7 @@ class Settings:
     def control_path(self, slug: str | None) -> str:
         return join_path(self.root, "control", f"{self.control}_{slug}" if slug else self.control)
 
-    def target_path(self, table: Row) -> str:
+    def target_path(self, table: Row | dict[str, Any]) -> str:
         return join_path(self.root, "data", table["dataset"], path_segment(table["name"]))
 
     def landing_path(self, table: Row) -> str:
@@ -92,6 +93,8 @@ class TableRun:
     progress: Progress = field(default_factory=Progress)
     #: Rows that an incremental run looked at, and the last of their keys.
     seen: tuple[int, str | None] = (0, None)
+    #: The smallest and largest leading key among them.
+    key_range: tuple[Any, Any] | None = None
 
     def __post_init__(self) -> None:
         self.schema_name, self.table_name = self.table["schema"], self.table["name"]
@@ -177,8 +180,17 @@ class TableRun:
         )
         if self.table["synthetic_key"]:
             self._forget_row_numbers()
+        else:
+            self._index_target()
         return S.SUCCESS
 
+    def _index_target(self) -> None:
+        """Note the key ranges of the files written, so that later runs over few keys open few of them. Without it they open all."""
+        try:
+            self.target.index_files(self.keys[0])
+        except Exception as error:
+            log.warning("the files of %s were not indexed: %s", self.table_name, error)
+
     def _extract(self, resumed: bool) -> tuple[DataFrame, int, Ranked | None]:
         """Ranked rows in plan types, how many, and the scratch copy to drop once they have landed."""
         with self._stage(S.STAGE_EXTRACTION) as done:
@@ -199,8 +211,12 @@ class TableRun:
                 # Range partitioning samples its input first, which would read the source twice.
                 rows, ranged = self._kept("raw", rows), False
             if self.is_incremental:
-                last = K.key_to_json(F.max(F.struct(*K.columns(self.keys))))
-                self.seen = rows.agg(F.count(F.lit(1)), last).first()
+                key = F.struct(*K.columns(self.keys))
+                total, first, last = rows.agg(F.count(F.lit(1)), K.key_to_json(F.min(key)), K.key_to_json(F.max(key))).first()
+                self.seen, self.key_range = (total, last), None
+                if total:
+                    low, high = (K.key_from_json(text, K.key_schema(self.types, self.keys)) for text in (first, last))
+                    self.key_range = merge.key_bounds(low, high, self.keys)
                 lacking = self._lacking(rows)
                 rows, ranged = lacking, ranged and lacking is rows
             size = None if ranged else planned_bytes(rows)
@@ -222,7 +238,9 @@ class TableRun:
 
         Keys alone are compared, so a re-check of a large table for a few new rows moves keys and those rows.
         """
-        found = merge.new_rows(rows, self.target.read(rows.schema), self.keys, unique=True, scratch=self.settings.work_path("keys", self.table))
+        target = merge.read_for(self.target, rows.schema, self.keys, self.key_range)
+        found = merge.new_rows(
+            rows, target, self.keys, unique=True, key_range=self.key_range, scratch=self.settings.work_path("keys", self.table))
         if found is not rows:
             found = self._kept("lacking", found)
         self._discard("keys")
@@ -379,6 +397,10 @@ def run_table(
     return TableRun(spark, settings, table, source, run_id or str(uuid.uuid4()), stage, force).run()
 
 
+#: What the reports need of a table.
+_REPORTED = ("region", "region_slug", "schema", "name", "dataset")
+
+
 def run_estate(
     spark: SparkSession,
     settings: Settings,
@@ -392,11 +414,11 @@ def run_estate(
 
     ``source`` is one source, or one for each region; a region without one fails, with all its
     tables. A table that fails does not stop the others. Returns one row per table
-    (region, schema, name, status, batches, rows, error) and the reports.
+    (region, schema, name, status, batches, rows, error) and the reports. The plan is read a
+    partition at a time, no faster than tables are copied: what stays of a table is its name and outcome.
     """
     wanted = plan if load_mode is None else plan.where(F.col("load_mode") == load_mode)
     require_distinct_datasets(wanted)
-    tables = wanted.orderBy("region", "schema", "name").collect()
     batch = str(uuid.uuid4())
 
     def copy(table: Row) -> dict[str, Any]:
@@ -413,8 +435,15 @@ def run_estate(
             log.warning("table %s.%s failed: %s", table["schema"], table["name"], error)
             return {**who, "status": S.FAILED, "error_message": str(error)}
 
+    copied: list[tuple[dict[str, Any], Future]] = []
+    waiting = BoundedSemaphore(2 * settings.parallel_tables)
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
-        results = list(pool.map(inheritable_thread_target(spark)(copy), tables))
+        for table in wanted.orderBy("region", "schema", "name").toLocalIterator():
+            waiting.acquire()
+            future = pool.submit(inheritable_thread_target(spark)(copy), table)
+            future.add_done_callback(lambda _: waiting.release())
+            copied.append(({name: table[name] for name in _REPORTED}, future))
+    tables, results = [who for who, _ in copied], [future.result() for _, future in copied]
     columns = ("region string, schema string, name string, status string, "
                "batches_processed bigint, rows_processed bigint, error_message string")
     return local_frame(spark, results, columns), write_reports(spark, settings, tables)
@@ -447,7 +476,7 @@ def run_regions(
     return results, reports, errors
 
 
-def write_reports(spark: SparkSession, settings: Settings, tables: Sequence[Row]) -> list[VersionedTable]:
+def write_reports(spark: SparkSession, settings: Settings, tables: Sequence[Row | dict[str, Any]]) -> list[VersionedTable]:
     """One status report per region. A report that fails only warns."""
     written = []
     for slug in sorted({t["region_slug"] for t in tables}, key=str):
@@ -457,6 +486,8 @@ def write_reports(spark: SparkSession, settings: Settings, tables: Sequence[Row]
             ledger = Ledger(spark, settings.control_path(slug))
             rows = report.status_report(ledger.audit(), report.live_counts(spark, paths), slug)
             written.append(report.write_report(rows, ledger.root))
+            for name in ("checkpoint", "audit", "log", "raw_events"):
+                ledger.compact(name)
         except Exception as error:
             log.warning("report of region %s failed: %s", slug, error)
     return written

@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -115,11 +116,27 @@ class EventBuffer:
         self.rows.append({**self._who, "stage": stage, "status": status, **empty, "extra_json": "{}", **values})
 
 
+#: How many small files a control table may have before they are folded, and how many folds before those are put together.
+LOOSE_FILES, MOST_PARTS = 500, 8
+#: Each control table's columns, its file format, and what its rows are dated by.
+_TABLES = {
+    "checkpoint": (S.CHECKPOINT, "parquet", "updated_at"),
+    "audit": (S.AUDIT, "parquet", "coalesce(started_at, finished_at)"),
+    "log": (S.LOG, "parquet", "coalesce(started_at, finished_at)"),
+    "raw_events": (S.LOG, "json", "coalesce(started_at, finished_at)"),
+}
+
+
 class Ledger:
     """The control tables of one region, append-only under ``root``.
 
     Every run appends to a folder of its own under its table's: Spark appends to one
     folder must not overlap, and a table finds its history without reading others'.
+
+    ``compact`` folds those small files into parts by day, sorted by table. A numbered pointer file says which parts there
+    are and which small files they hold; readers take the newest pointer and leave those files out. So a compaction that
+    dies at any step changes nothing or is done, and since the files that one fold took go with the next, a reader that began
+    before it finds them still. One compaction at a time, please.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -136,21 +153,98 @@ class Ledger:
         table = self._table_path(name, row["schema_name"], row["table_name"])
         return storage.join_path(table, f"run={storage.path_segment(row['run_id'])}")
 
-    def _read(self, path: str, schema: str) -> DataFrame:
+    def _pointers(self, name: str) -> list[str]:
+        return sorted(f for f in storage.files(self.spark, storage.join_path(self.path(name), "_parts")) if f.endswith(".json"))
+
+    def _pointer(self, name: str) -> dict[str, list[str]]:
+        """The parts of a control table, and the small files that they hold already."""
+        found = self._pointers(name)
+        if not found:
+            return {"parts": [], "folded": []}
+        return json.loads(storage.read_text(self.spark, storage.join_path(self.path(name), "_parts", found[-1])))
+
+    def _small_rows(self, name: str, path: str, folded: Sequence[str]) -> DataFrame | None:
+        schema, kind, _ = _TABLES[name]
         if not storage.exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path).select(*column_names(schema))
+            return None
+        rows = self.spark.read.schema(schema).format(kind).load(path)
+        if folded:
+            file = F.regexp_replace(F.col("_metadata.file_path"), "^([A-Za-z0-9+.-]+):/+", "$1:/")
+            known = local_frame(self.spark, [{"folded_file": storage.qualified(self.spark, f)} for f in folded], "folded_file string")
+            rows = rows.withColumn("in_file", file).join(F.broadcast(known), F.col("in_file") == F.col("folded_file"), "left_anti")
+        return rows.select(*column_names(schema))
+
+    def _part_rows(self, name: str, parts: Sequence[str]) -> DataFrame:
+        """The rows of parts, with the column ``day`` that they are stored by."""
+        schema, kind, _ = _TABLES[name]
+        below = [storage.join_path(self.path(name), "_parts", part) for part in parts]
+        return reduce(DataFrame.unionByName, [self.spark.read.schema(f"{schema}, day date").format(kind).load(path) for path in below])
+
+    def read(self, name: str, schema_name: str | None = None, table_name: str | None = None, since: dt.date | None = None) -> DataFrame:
+        """A control table: all of it, one table's rows, or those dated ``since`` or later. Parts prune by both."""
+        schema, _, dated = _TABLES[name]
+        pointer = self._pointer(name)
+        path = self.path(name) if table_name is None else self._table_path(name, schema_name, table_name)
+        small = self._small_rows(name, path, pointer["folded"])
+        parts = self._part_rows(name, pointer["parts"]) if pointer["parts"] else None
+        if since is not None:
+            small = None if small is None else small.where(F.to_date(F.expr(dated)) >= F.lit(since))
+            parts = None if parts is None else parts.where(F.col("day") >= F.lit(since))
+        if table_name is not None and parts is not None:
+            parts = parts.where(F.col("schema_name").eqNullSafe(F.lit(schema_name)) & (F.col("table_name") == table_name))
+        there = [rows.select(*column_names(schema)) for rows in (small, parts) if rows is not None]
+        return reduce(DataFrame.unionByName, there) if there else self.spark.createDataFrame([], schema)
 
     def checkpoints(self, schema_name: str | None = None, table_name: str | None = None) -> DataFrame:
         """Every table's checkpoints, or one table's."""
-        path = self.path("checkpoint") if table_name is None else self._table_path("checkpoint", schema_name, table_name)
-        return self._read(path, S.CHECKPOINT)
+        return self.read("checkpoint", schema_name, table_name)
 
     def audit(self) -> DataFrame:
-        return self._read(self.path("audit"), S.AUDIT)
+        return self.read("audit")
 
     def events(self) -> DataFrame:
-        return self._read(self.path("log"), S.LOG)
+        return self.read("log")
+
+    def raw_events(self) -> DataFrame:
+        """The events as they were written in JSON."""
+        return self.read("raw_events")
+
+    def compact(self, name: str, loose_files: int = LOOSE_FILES) -> bool:
+        """Fold a control table's small files once it has ``loose_files`` of them; False when it does not.
+
+        A fold writes those rows only; every ``MOST_PARTS`` folds the parts become one.
+        """
+        schema, kind, dated = _TABLES[name]
+        root, pointer = self.path(name), self._pointer(name)
+        below = storage.join_path(root, "_parts")
+        # What the last fold took has had readers of the pointer before it; they are gone by now.
+        storage.delete_files(self.spark, pointer["folded"], root)
+        loose = storage.files_below(self.spark, root)
+        if len(loose) < max(1, loose_files):
+            return False
+        listed = self.spark.read.schema(f"{schema}, of string, run string").option("basePath", root).format(kind).load(loose)
+        day = F.coalesce(F.to_date(F.expr(dated)), F.to_date(F.lit("1970-01-01"))).alias("day")
+        rows, parts = listed.select(*column_names(schema), day), list(pointer["parts"])
+        if len(parts) >= MOST_PARTS:
+            rows, parts = rows.unionByName(self._part_rows(name, parts).select(*column_names(schema), "day")), []
+        number = 1 + max((int(f.split(".")[0]) for f in self._pointers(name)), default=0)
+        part = f"{number:08d}"
+        dealt = rows.repartition("day").sortWithinPartitions("day", "schema_name", "table_name")
+        dealt.write.mode("overwrite").partitionBy("day").format(kind).save(storage.join_path(below, part))
+        folded = {"parts": [*parts, part], "folded": loose}
+        storage.write_text(self.spark, storage.join_path(below, f"{part}.json"), json.dumps(folded))
+        self._drop_unused(name, below)
+        return True
+
+    def _drop_unused(self, name: str, below: str) -> None:
+        """Keep what the last two pointers name: a reader may still go by the last but one."""
+        pointers = self._pointers(name)
+        for old in pointers[:-2]:
+            storage.delete(self.spark, storage.join_path(below, old))
+        used = {p for f in pointers[-2:] for p in json.loads(storage.read_text(self.spark, storage.join_path(below, f)))["parts"]}
+        for folder in storage.folders(self.spark, below):
+            if folder not in used:
+                storage.delete(self.spark, storage.join_path(below, folder))
 
     def commit(
         self, run_id: str, schema_name: str, table_name: str, batch_index: int, last_pk_json: str | None, status: str

@@ -102,6 +102,14 @@ def union_new_rows(staging: DataFrame, target: DataFrame, keys: Sequence[str], *
     return target.unionByName(new_rows(staging, target, keys, **options))
 
 
+def read_for(table: VersionedTable, schema: T.StructType, keys: Sequence[str], key_range: tuple[Any, Any] | None) -> DataFrame:
+    """The target as far as keys of the range need it: files whose own range lies elsewhere are not opened."""
+    if key_range is None or any(bound is None for bound in key_range):
+        return table.read(schema)
+    low, high = (typed_literal(bound, schema[keys[0]].dataType) for bound in key_range)
+    return table.read_within(schema, keys[0], low, high)
+
+
 def merge_into(table: VersionedTable, staging: DataFrame, keys: Sequence[str], **options: Any) -> int:
     """Append the new rows to the table and return how many there were.
 
@@ -110,7 +118,7 @@ def merge_into(table: VersionedTable, staging: DataFrame, keys: Sequence[str], *
     if not keys:
         raise ValueError(f"{table.path} has no key to merge on")
     inserted = Observation()
-    target, scratch = table.read(staging.schema), scratch_path(table.spark, "keys")
+    target, scratch = read_for(table, staging.schema, keys, options.get("key_range")), scratch_path(table.spark, "keys")
     rows = new_rows(staging, target, keys, scratch=scratch, **options)
     table.append(rows.observe(inserted, F.count(F.lit(1)).alias("rows")))
     storage.delete(table.spark, scratch)
@@ -118,14 +126,10 @@ def merge_into(table: VersionedTable, staging: DataFrame, keys: Sequence[str], *
 
 
 def drop_target_column(table: VersionedTable, column: str) -> bool:
-    """Publish a version of the table without ``column``; False when it was not there.
-
-    Files written before the column came back lack it, so all footers are looked at.
-    """
-    current = table.spark.read.option("mergeSchema", True).parquet(table.current_path())
-    if column not in current.columns:
+    """Drop ``column`` from what the table shows, without writing a data file; False when it was not there."""
+    if not table.has_column(column):
         return False
-    table.replace(current.drop(column))
+    table.hide_column(column)
     return True
 
 

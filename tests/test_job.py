@@ -271,6 +271,33 @@ def test_an_estate_carries_on_past_a_failing_table(estate, spark, plan):
         "orders": "SKIPPED", "lineitem": "SKIPPED", "conversations": "SKIPPED", "customer": "SUCCESS"}
 
 
+def test_the_plan_of_an_estate_is_streamed(estate, spark, plan, monkeypatch):
+    """No more of it is read ahead than a few tables for each that is copied."""
+    from ferrylane import job
+
+    read, done, ahead = [], [], []
+    many = plan.where("name = 'customer'").crossJoin(spark.range(40)).withColumn("name", F.format_string("t%02d", "id")).repartition(8)
+    real = type(many).toLocalIterator
+
+    def counted(self, *args):
+        for row in real(self, *args):
+            read.append(row["name"])
+            yield row
+
+    def run(spark, settings, table, *_):
+        ahead.append(len(read) - len(done))
+        done.append(table["name"])
+        return {"status": "SUCCESS", "batches_processed": 0, "rows_processed": 0}
+
+    monkeypatch.setattr(type(many), "toLocalIterator", counted)
+    monkeypatch.setattr(job, "run_table", run)
+    monkeypatch.setattr(job, "write_reports", lambda *_: [])
+    e = estate(parallel_tables=2)
+    results, _ = run_estate(spark, e.settings, many.withColumn("dataset", F.col("name")), e.source)
+    assert sorted(done) == [f"t{i:02d}" for i in range(40)] and results.where("status = 'SUCCESS'").count() == 40
+    assert max(ahead) <= 6
+
+
 def test_regions_run_together_equal_regions_run_apart(spark, plan, sf_dir, read):
     regional = plan.where("name in ('orders', 'customer')").withColumn("region", F.explode(F.array(F.lit("East US"), F.lit("UK South"))))
     slug = F.regexp_replace(F.lower("region"), " ", "_")
@@ -425,6 +452,15 @@ def test_an_incremental_run_lands_what_the_target_lacks(spark, plan, sf_dir, rea
     assert e.statuses()[-1][0] == "COMPLETED" and e.statuses()[-1][2] == '{"o_orderkey":1499}'
 
 
+def test_an_incremental_run_over_few_keys_opens_few_target_files(spark, plan, sf_dir, read, monkeypatch):
+    e, opened, real = Estate(spark, plan.withColumn("load_mode", F.lit("incremental")), sf_dir, batch_size=100, batches_per_commit=1), [], merge.new_rows
+    e.run("orders")
+    monkeypatch.setattr(merge, "new_rows", lambda rows, target, *a, **k: opened.append(len(target.inputFiles())) or real(rows, target, *a, **k))
+    e.run("orders", source=FrameSource({"orders": read("orders").where("o_orderkey BETWEEN 1450 AND 1460")}))
+    assert len(e.target("orders").read().inputFiles()) >= 15 and opened and max(opened) <= 2
+    assert e.target("orders").row_count() == 1500
+
+
 def landed_files(e, spark):
     return sum(name.startswith("batch_index=") for name in storage.folders(spark, e.settings.landing_path(e.row("orders"))))
 

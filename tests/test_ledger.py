@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrylane import schemas as S
+from ferrylane import storage
 from ferrylane.operators import ledger as L
 from ferrylane.operators import report
 from ferrylane.session import local_frame, scratch_path
@@ -96,6 +97,75 @@ def test_events_pair_up_and_are_kept_twice(spark, book):
     assert raw.count() == 2 and [r[0] for r in raw.select("run_id").distinct().collect()] == ["r:1"]
 
 
+def filled(book, runs, first=0):
+    for i in range(first, first + runs):
+        table = f"t {i % 3}"
+        book.commit(f"r:{i}", "dbo" if i % 2 else None, table, i, f'{{"id":{i}}}', S.COMPLETED)
+        book.append_audit(run_id=f"r:{i}", table_name=table, schema_name="dbo", load_mode="full", outcome="SUCCESS", batches_processed=1,
+                          rows_processed=i, resumed_from_batch=0, started_at=at(i), finished_at=at(i + 1))
+
+
+def contents(book):
+    return {name: sorted(map(repr, book.read(name).collect())) for name in ("checkpoint", "audit", "log", "raw_events")}
+
+
+def small_files(book, name):
+    return storage.files_below(book.spark, book.path(name))
+
+
+def test_compaction_folds_small_files_and_loses_no_row(spark, book):
+    events = L.EventBuffer("r:1", "dbo", "t 1")
+    events.start(S.STAGE_LOAD)
+    events.end(S.STAGE_LOAD, rows_processed=5)
+    book.append_events(events)
+    filled(book, 4)
+    before = contents(book)
+    assert not book.compact("audit", loose_files=50)
+    assert all(book.compact(name, loose_files=1) for name in before)
+    assert contents(book) == before and sum(map(len, before.values())) == 4 + 4 + 2 + 2
+    filled(book, 2, first=4)
+    after = contents(book)
+    assert len(after["audit"]) == len(after["checkpoint"]) == 6
+    assert book.compact("audit", loose_files=2) and contents(book) == after
+    assert len(small_files(book, "audit")) == 2  # those of the fold before are gone, those of this one go with the next
+    assert not book.compact("audit", loose_files=1) and small_files(book, "audit") == [] and contents(book) == after
+
+
+def test_compacted_rows_are_found_by_table_and_by_day(spark, book, plan_of):
+    filled(book, 4)
+    book.compact("checkpoint", 1)
+    filled(book, 1, first=7)
+    assert [r["last_batch_index"] for r in book.checkpoints("dbo", "t 1").orderBy("last_batch_index").collect()] == [1, 7]
+    assert [r["last_batch_index"] for r in book.checkpoints(None, "t 2").collect()] == [2]
+    text = plan_of(book.read("checkpoint", "dbo", "t 1", since=dt.date(2026, 1, 1)))
+    assert "PartitionFilters: [isnotnull(day" in text and "EqualTo(table_name,t 1)" in text
+    assert book.read("checkpoint", since=dt.date(2100, 1, 1)).isEmpty()
+
+
+def test_many_runs_leave_few_files(spark, book, monkeypatch):
+    monkeypatch.setattr(L, "MOST_PARTS", 2)
+    for round_ in range(5):
+        filled(book, 3, first=3 * round_)
+        assert book.compact("audit", loose_files=3)
+    assert book.audit().count() == 15 and len(small_files(book, "audit")) == 3
+    parts = storage.folders(spark, f"{book.path('audit')}/_parts")
+    assert len(parts) <= 4 and len(book._pointers("audit")) == 2
+
+
+@pytest.mark.parametrize("step", ["write_text", "delete_files"])
+def test_a_compaction_that_dies_changes_nothing(spark, book, monkeypatch, step):
+    filled(book, 2)
+    book.compact("audit", 1)
+    filled(book, 2, first=2)
+    before = contents(book)
+    monkeypatch.setattr(storage, step, lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError, match="killed"):
+        book.compact("audit", 1)
+    assert contents(book) == before
+    monkeypatch.undo()
+    assert book.compact("audit", 1) and contents(book) == before
+
+
 def stored(spark, rows, name="table"):
     path = f"{scratch_path(spark, 'counted')}/{name}"
     spark.range(rows).repartition(2).write.parquet(path)

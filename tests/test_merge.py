@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ferrylane import storage
 from ferrylane.operators import landing
 from ferrylane.operators.merge import drop_target_column, merge_into, new_rows, with_target_column
 from ferrylane.session import scratch_path
@@ -100,6 +101,74 @@ def test_synthetic_column_comes_back_as_null_and_goes_again(spark):
     assert not drop_target_column(table, "id")
 
 
+def data_files(table):
+    return sorted(storage.files(table.spark, table.current_path()))
+
+
+def test_dropping_and_adding_a_column_writes_no_data_file(spark):
+    table = VersionedTable(spark, scratch_path(spark, "t"))
+    table.replace(spark.createDataFrame([("a", 1, 10), ("b", 2, 20)], "v string, ID bigint, `x.y` int"))
+    for n in range(2, 4):
+        before = data_files(table)
+        assert drop_target_column(table, "ID") and not drop_target_column(table, "ID")
+        assert table.read().columns == ["v", "x.y"] and data_files(table) == before
+        assert {r[1] for r in with_target_column(table, "ID").select("v", "ID").collect()} == {None}
+        assert data_files(table) == before
+        table.append(spark.createDataFrame([(f"c{n}", n, 30)], "v string, ID bigint, `x.y` int"))
+        # The values of the column that was dropped do not come back with the new one.
+        assert rows(table.read("v string, ID bigint").where("ID IS NOT NULL")) == [(f"c{n}", n)]
+        assert len(data_files(table)) > len(before)
+    assert table.read("v string").count() == 4 and table.row_count() == 4
+    kept = table.read("v string, ID bigint, `x.y` int")
+    table.replace(kept)
+    assert rows(table.read()) == rows(kept) and table.read().columns == ["v", "ID", "x.y"]
+
+
+def test_keys_are_matched_under_the_name_that_is_shown(spark):
+    table = VersionedTable(spark, scratch_path(spark, "t"))
+    table.replace(spark.createDataFrame([(1, "old")], "id bigint, v string"))
+    drop_target_column(table, "id")
+    fresh = spark.createDataFrame([(1, "new"), (2, "new")], "id bigint, v string")
+    assert merge_into(table, fresh, ["id"], unique=True) == 2 and merge_into(table, fresh, ["id"], unique=True) == 0
+    assert rows(table.read("id bigint, v string")) == [(1, "new"), (2, "new"), (None, "old")]
+
+
+def ranged_table(spark):
+    table = VersionedTable(spark, scratch_path(spark, "t"))
+    table.replace(spark.range(0).select("id", F.lit("x").alias("v")))
+    for first in range(0, 50, 10):
+        table.append(spark.range(first, first + 10, numPartitions=1).select("id", F.lit("x").alias("v")))
+    return table
+
+
+def opened(table, low, high):
+    return len(table.read_within(table.read().schema, "id", F.lit(low), F.lit(high)).inputFiles())
+
+
+def test_files_of_other_key_ranges_are_not_opened(spark):
+    table = ranged_table(spark)
+    assert opened(table, 12, 13) == len(data_files(table)) - data_files(table).count("_SUCCESS")
+    assert table.index_files("id") >= 5 and table.index_files("id") == 0
+    assert [opened(table, *r) for r in ((12, 13), (19, 20), (0, 49), (-5, -1), (99, 100))] == [1, 2, 5, 0, 0]
+    table.append(spark.createDataFrame([(12, "late"), (None, "late")], "id bigint, v string").coalesce(1))
+    assert opened(table, 12, 13) == 2 and opened(table, 30, 31) == 2  # the new file is not noted yet
+    assert table.index_files("id", at_least=5) == 0 and table.index_files("id") == 1 and opened(table, 30, 31) == 1
+    fresh = spark.createDataFrame([(n, "new") for n in (11, 12, 49, 50)], "id bigint, v string")
+    assert merge_into(table, fresh, ["id"], unique=True, key_range=(11, 50)) == 1
+    assert table.read().where("id IN (11, 12, 49, 50)").count() == 5
+
+
+def test_a_column_that_came_back_has_ranges_of_its_own(spark):
+    table = ranged_table(spark)
+    table.index_files("id")
+    drop_target_column(table, "id")
+    table.append(spark.createDataFrame([(12, "new")], "id bigint, v string").coalesce(1))
+    fresh = spark.createDataFrame([(12, "newer"), (13, "newer")], "id bigint, v string")
+    assert merge_into(table, fresh, ["id"], unique=True, key_range=(12, 13)) == 1
+    table.index_files("id")
+    assert merge_into(table, fresh, ["id"], unique=True, key_range=(12, 13)) == 0
+
+
 def test_a_rewrite_that_dies_leaves_the_old_version(spark, target):
     before = rows(target.read())
     broken = target.read().select(F.raise_error(F.lit("lost")).cast("bigint").alias("a"), "b", "v")
