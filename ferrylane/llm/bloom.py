@@ -13,8 +13,9 @@ from ferrylane.llm.common import Batches, free_name
 
 SEGMENT_BITS = 1 << 16
 FAN_IN = 64
-#: Rows whose bits a task gathers before it hands them on.
-CHUNK_ROWS = 1 << 18
+#: Rows whose bits a task gathers before it hands them on: so many, or a row for so many bits of the filter, so that what it hands
+#: on (two bitmaps for each segment met) is not many times larger than the rows.
+CHUNK_ROWS, BITS_PER_CHUNK_ROW = 1 << 18, 1 << 6
 #: The most that is gathered and broadcast: 32 MB. A fuller filter lets more rows through and loses none.
 MAX_BITS = 1 << 28
 
@@ -62,7 +63,7 @@ def _partial_bitmaps(bits: int):
         for batch in batches:
             if batch.num_rows:
                 chunk.append(positions(batch.column(0), bits))
-            if sum(map(len, chunk)) >= CHUNK_ROWS:
+            if sum(map(len, chunk)) >= max(CHUNK_ROWS, bits // BITS_PER_CHUNK_ROW):
                 yield emit(chunk)
                 chunk = []
         if chunk:
@@ -90,7 +91,7 @@ def filter_of(digests: DataFrame, bits: int, which: str = "seen") -> bytes:
     parts = digests.mapInArrow(_partial_bitmaps(bits), _BITMAPS)
     left = digests.rdd.getNumPartitions()
     while True:
-        # What meets in one group is FAN_IN tasks' bitmaps (and a task has one for each CHUNK_ROWS rows).
+        # What meets in one group is FAN_IN tasks' bitmaps (and a task has one for each chunk of its rows).
         parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("long")).groupBy("segment", "part").applyInArrow(_merge, _BITMAPS)
         left = -(-left // FAN_IN)
         if left <= 1:

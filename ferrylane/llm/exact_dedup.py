@@ -5,8 +5,10 @@ SHA-256 of its text, and keeps the bits that more than one row has set. The seco
 row with a bit of its own has no equal and passes straight through; the rest are grouped by digest.
 
 The filter has ``bits_per_row`` bits a row and at most ``max_bits``: a fixed bound on what is gathered and
-broadcast. Beyond it the filter fills up, more rows are taken for possible repeats and shuffled, and the result
-is the same. Hot groups are pre-aggregated.
+broadcast. More rows than that are split by ranges of their digests' hash, with a filter for each range, one after the other
+over the written digests, so that filters never fill up. ``deduplicate`` then carries the digests that did repeat past the
+texts as one more filter; should there be more of them than it has room for, more texts are shuffled, and the result is the
+same. Hot groups are pre-aggregated. Texts are hashed whole, however long.
 
 A null text counts as empty; empty texts equal each other. Of equal texts the row with the largest doc_id
 stays (a null doc_id is the smallest). Rows that repeat text and doc_id count as rows of the group; ``deduplicate``
@@ -16,8 +18,11 @@ leaves one of them. Empty tables give empty results; other columns pass through,
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,12 +59,22 @@ def _flag(at: int, bits: int, shared):
     return batch_map(flags)
 
 
+def _ranges(keyed: DataFrame, bits_per_row: int, max_bits: int) -> Iterator[tuple[DataFrame, int, Broadcast]]:
+    """The rows of ``keyed`` (with a digest) in as many parts as filters need, each with its filter of repeated bits."""
+    rows = keyed.count()
+    parts = max(1, -(-rows * bits_per_row // max_bits))
+    bits = filter_bits(-(-rows // parts), bits_per_row, max_bits)
+    for part in range(parts):
+        own = keyed if parts == 1 else keyed.where(F.pmod(F.xxhash64("digest"), F.lit(parts)) == part)
+        yield own, bits, keyed.sparkSession.sparkContext.broadcast(filter_of(own.select("digest"), bits, "repeated"))
+
+
 def _possible_repeats(ws: Workspace, keyed: DataFrame, bits_per_row: int, max_bits: int) -> DataFrame:
     """``keyed`` (digest last) with the column ``maybe``."""
-    bits = filter_bits(keyed.count(), bits_per_row, max_bits)
-    shared = ws.spark.sparkContext.broadcast(filter_of(keyed.select("digest"), bits, "repeated"))
     schema = T.StructType([*keyed.schema.fields, T.StructField("maybe", T.BooleanType())])
-    return ws.save(keyed.mapInArrow(_flag(len(keyed.columns) - 1, bits, shared), schema), "flagged")
+    flagged = [ws.save(own.mapInArrow(_flag(len(keyed.columns) - 1, bits, shared), schema), "flagged")
+               for own, bits, shared in _ranges(keyed, bits_per_row, max_bits)]
+    return reduce(DataFrame.unionByName, flagged)
 
 
 def equal_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits_per_row: int = 16, max_bits: int = 1 << 28) -> DataFrame:
@@ -82,14 +97,18 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
     ws = Workspace(docs.sparkSession, "exact-dedup")
     columns, digest = docs.columns, free_name(docs, "digest")
     digests = ws.save(with_digest(docs, text, "digest", [doc_id]), "digests")
-    bits = filter_bits(digests.count(), bits_per_row, max_bits)
-    shared = ws.spark.sparkContext.broadcast(filter_of(digests.select("digest"), bits, "repeated"))
-    # The losers: digests that do repeat, and the row of each that stays.
-    schema = T.StructType([*digests.schema.fields, T.StructField("maybe", T.BooleanType())])
-    maybe = digests.mapInArrow(_flag(1, bits, shared), schema).where("maybe")
-    groups = maybe.groupBy("digest").agg(F.max(doc_id).alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = ws.save(groups.select(F.col("digest").alias(digest), F.col("keep_id").alias(free_name(docs, "keep_id"))), "groups")
-    keep_id = groups.columns[1]
+    # Digests that do repeat, and the row of each that stays.
+    schema, keep_id, found, filters = T.StructType([*digests.schema.fields, T.StructField("maybe", T.BooleanType())]), free_name(docs, "keep_id"), [], []
+    for own, bits, shared in _ranges(digests, bits_per_row, max_bits):
+        maybe = own.mapInArrow(_flag(1, bits, shared), schema).where("maybe")
+        groups = maybe.groupBy("digest").agg(F.max(doc_id).alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        found.append(ws.save(groups.select(F.col("digest").alias(digest), F.col("keep_id").alias(keep_id)), "groups"))
+        filters.append((bits, shared))
+    groups = reduce(DataFrame.unionByName, found)
+    bits, shared = filters[0]
+    if len(filters) > 1:
+        bits = filter_bits(groups.count(), bits_per_row, max_bits)
+        shared = ws.spark.sparkContext.broadcast(filter_of(groups.select(digest), bits))
 
     flagged = _carry(docs, text, digest, bits, shared)
     alone = flagged.where(F.col(digest).isNull()).select(*columns)

@@ -120,6 +120,19 @@ def test_components_of_chains_stars_and_cycles(llm):
     assert components(Workspace(llm, "t"), llm.createDataFrame([], "a long, b long")).isEmpty()
 
 
+def test_filters_do_not_fill_up(llm):
+    """Rows that one filter would have no room for: hardly any but the repeats are taken for repeats."""
+    texts = [(i, f"text {i}") for i in range(20_000)] + [(20_000 + i, f"TEXT {i}") for i in range(100)]
+    docs = llm.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    ws = Workspace(llm, "t")
+    keyed = ws.save(exact_dedup.with_digest(docs, "text", "digest", ["doc_id"]), "digests")
+    flagged = exact_dedup._possible_repeats(ws, keyed, 16, 1 << 16)
+    assert flagged.count() == 20_100 and 200 <= flagged.where("maybe").count() < 1200
+    kept = exact_dedup.deduplicate(docs, max_bits=1 << 16)
+    assert kept.count() == 20_000 and {r.doc_id for r in kept.where("doc_id < 100").collect()} == set()
+    assert exact_dedup.equal_texts(docs, max_bits=1 << 16).where("NOT kept").count() == 100
+
+
 @pytest.mark.parametrize("max_bits", [1 << 16, 1 << 28])
 def test_equal_texts_of_messy_rows(messy, rows_of, max_bits):
     texts = [(r.doc_id, folded(r.text)) for r in messy.collect()]
