@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrylane.llm.common import Batches, Workspace, text_of
+from ferrylane.llm.common import Batches, Workspace, ranges_of, text_of
 
 TURNS_PER_PART = 64
 #: The rolling hash of turns h1, h2, ... is the sum of h(i) * RADIX ** i, modulo a Mersenne prime.
@@ -99,7 +99,8 @@ def with_prefixes(ws: Workspace, turns: DataFrame) -> DataFrame:
     read = turns.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), text_of("role").alias("role"), text_of().alias("text")).distinct()
     order = ["conv_id", "turn", "role", "text"]
-    dealt = ws.save(read, "turns").repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "role", "text")
+    saved = ws.save(read, "turns")
+    dealt = saved.repartitionByRange(*ranges_of(saved), *order).sortWithinPartitions(*order).select("conv_id", "role", "text")
     scanned = ws.save(dealt.mapInArrow(_scan, _SCANNED), "scanned")
     whole = _whole(_before(scanned))("part", "opening", "place", "sum")
     return ws.save(scanned.select("conv_id", whole.alias("w"), "role", "text").select("conv_id", "w.position", "w.prefix", "role", "text"), "prefixes")

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferrylane.operators.ranking import planned_bytes, ranges_for
 from ferrylane.session import configure, scratch_path
 from ferrylane.storage import delete, join_path
 
@@ -64,6 +65,13 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def ranges_of(df: DataFrame, range_bytes: int = 64 << 20) -> list[int]:
+    """To give to ``repartitionByRange`` first: how many ranges of ``range_bytes`` the files read need, where that is more
+    than the session's shuffle partitions; nothing else, so that the planner may put small ranges together."""
+    wanted = ranges_for(planned_bytes(df), range_bytes) or 0
+    return [wanted] if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

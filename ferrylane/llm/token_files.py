@@ -8,7 +8,7 @@ A pack, little-endian: ``TIDS``, version (1 byte), id bits (1 byte), number of d
 all that follows; per document a flag (1 byte: it has a doc_id), doc_id (8), number of ids (4); per block the number of ids,
 of 16-bit words, and the CRC-32 of its ids as unsigned 32-bit integers (4 each); then the blocks' words.
 
-A null text counts as empty and has just the end id. Rows without a doc_id come first; rows of one doc_id in the order of a
+Texts are encoded whole: a task holds one pack of ids and the longest text. A null text counts as empty and has just the end id. Rows without a doc_id come first; rows of one doc_id in the order of a
 hash of their text, so that they can lie on several partitions. Other columns are ignored. Empty tables give empty files.
 """
 
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrylane.llm.common import Batches, prepare, text_of
+from ferrylane.llm.common import Batches, prepare, ranges_of, text_of
 from ferrylane.llm.range_coder import BLOCK_IDS, decode_blocks, encode_blocks
 
 PACK_IDS = 16 * BLOCK_IDS
@@ -220,7 +220,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
 
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     keyed = read.withColumn("tie", F.xxhash64("text"))
-    dealt = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    dealt = keyed.repartitionByRange(*ranges_of(docs), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     dealt.mapInArrow(_packer(encoder, end_id), _FILES).write.parquet(path)
 
 

@@ -1,5 +1,6 @@
 """Pieces, token counts and token files, against the libraries and as round trips."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -47,6 +48,52 @@ def test_both_agendas_agree(model, monkeypatch, rate):
     assert [a.tolist() for a in side] == [b.tolist() for b in heap]
 
 
+def merged_one_by_one(model, text, key, rate, seed):
+    """Merge-dropout by its definition: of all neighbours that may merge and are not skipped the best, the leftmost of equals; over and over."""
+    def scramble(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % 2**64
+        return x ^ x >> 31
+
+    digest = lambda t: int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "big")
+    row = digest(f"{digest(str(seed))}:{key}")
+
+    def skipped(start, middle, end):
+        place = (start * 0x9E3779B97F4A7C15 + middle * 0xC2B2AE3D27D4EB4F + end * 0x165667B19E3779F9) % 2**64
+        return scramble(row ^ scramble(place)) < min(int(rate * 2**64), 2**64 - 1)
+
+    sp = model.library
+    known = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
+    symbols = [(i, i + 1, "▁" if c == " " else None if c == "▁" or c not in known else c, c) for i, c in enumerate(" " + text if text else "")]
+    while True:
+        best = None
+        for i, (a, b) in enumerate(zip(symbols, symbols[1:])):
+            if a[2] and b[2] and a[2] + b[2] in known and not skipped(a[0], a[1], b[1]):
+                offer = (-sp.get_score(known[a[2] + b[2]]), i)
+                best = offer if best is None else min(best, offer)
+        if best is None:
+            break
+        a, b = symbols[best[1]:best[1] + 2]
+        symbols[best[1]:best[1] + 2] = [(a[0], b[1], a[2] + b[2], None)]
+    out = []
+    for _, _, name, char in symbols:
+        out += [known[name]] if name else [sp.piece_to_id(f"<0x{x:02X}>") for x in char.encode()]
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(text=TEXTS, rate=st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]), seed=st.integers(0, 3), key=st.sampled_from([0, -7, "a:1", None]))
+def test_dropout_is_what_merging_one_by_one_gives(model, text, rate, seed, key):
+    got = pieces.encode(model, [text], [key], pieces.Dropout(rate, seed))
+    assert got[0].tolist() == merged_one_by_one(model, text, key, rate, seed)
+
+
+def test_long_stretches_are_merged_one_by_one_as_well(model):
+    for text in ("internationalisation" * 8, "na" * 70, "the quick  brown fox " * 6):
+        got = pieces.encode(model, [text], [5], pieces.Dropout(0.2, 1))
+        assert got[0].tolist() == merged_one_by_one(model, text, 5, 0.2, 1)
+
+
 def test_dropout_varies_with_row_and_seed(model):
     text = "internationalisation considerations"
     cut = {tuple(pieces.encode(model, [text], [row], pieces.Dropout(0.3, seed))[0]) for row in range(8) for seed in range(3)}
