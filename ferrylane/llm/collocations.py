@@ -320,7 +320,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     ws = Workspace(docs.sparkSession, "collocations")
     read = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), text_of(text).alias("text"))
     made = ws.save(read.mapInArrow(_count_words, _MADE), "words")
-    totals = made.where(f"kind = {_TOTAL}").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = ws.save(made.where(f"kind = {_TOTAL}").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     automata, range_bits = None, {}
     for n in range(1, MOST_WORDS + 1):
         frequent = Frequent(ws, made.where(f"kind = {_HASH}").select("hash", "n"), least, f"frequent-{n}")
@@ -328,11 +328,15 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
             break
         range_bits[n] = frequent.range_bits
         source = read if n <= 2 else made.where(f"kind = {_STRETCH}").select("lang", "text")
-        made = ws.save(source.mapInArrow(_mine(n, frequent.shared, frequent.bits, frequent.range_bits, 1 < n < MOST_WORDS), _MADE), f"mined-{n}")
-        own = made.where(f"kind = {_AUTOMATON}").select(F.lit(n).alias("size"), "lang", "prefix", "shard", *_AUTOMATON_FIELDS)
+        mined = ws.save(source.mapInArrow(_mine(n, frequent.shared, frequent.bits, frequent.range_bits, 1 < n < MOST_WORDS), _MADE), f"mined-{n}")
+        own = mined.where(f"kind = {_AUTOMATON}").select(F.lit(n).alias("size"), "lang", "prefix", "shard", *_AUTOMATON_FIELDS)
+        own = ws.save(own, f"automata-{n}")
         automata = own if automata is None else automata.unionByName(own)
+        ws.drop(made)  # its hashes and stretches have been used
+        made = mined
+    ws.drop(made)
     if automata is None:
-        return ws.spark.createDataFrame([], "lang string, rank int, phrase string, a long, l long, r long, n long, score long")
+        return ws.spark.createDataFrame([], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
     automata = _united(ws, automata, least)
     phrases = ws.save(automata.mapInArrow(_spell_out, "size int, lang string, phrase string, a long").where("size > 1"), "phrases")
     # No phrase occurs more often than its parts, so one that is covered at all is covered by one of one word more.
@@ -370,7 +374,7 @@ def _best(scored: DataFrame, shown: int) -> DataFrame:
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
     few = scored.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= shown)
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= shown)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 COLLOCATION_SQL = f"""
@@ -393,6 +397,6 @@ cuts AS (
     WHERE k < c.size AND x.lang = c.lang AND x.words = c.words[1:k] AND y.lang = c.lang AND y.words = c.words[k + 1:c.size] AND t.lang = c.lang),
 weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
 named AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score FROM weakest)
-SELECT lang, cast(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS int) AS rank, phrase, a, l, r, n, score
+SELECT lang, cast(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS bigint) AS rank, phrase, a, l, r, n, score
 FROM named QUALIFY rank <= {SHOWN}
 """
