@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK_IDS = 2048
-ORDER1_BITS, ORDER2_BITS = 10, 10
+BLOCK_IDS = 4096
+ORDER1_BITS, ORDER2_BITS = 11, 11
 #: What an occurrence adds to the count of its neighbourhood.
 INCREMENT = 24
 #: Steps between two sums over all neighbourhoods.
