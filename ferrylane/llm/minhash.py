@@ -18,7 +18,7 @@ same set are one class, and only the class's smallest doc_id goes on. Then:
 * The rest is confirmed on the full sets, the likeliest pair of each text first; what has become one component by
   then needs no further pair.
 
-Texts without words have no shingles and no links, null texts and empty ones among them. Rows without a doc_id are returned with
+Texts are read whole, however long, in some 60 bytes of memory for each byte of the longest text. Texts without words have no shingles and no links, null texts and empty ones among them. Rows without a doc_id are returned with
 no component and as kept. Rows that share a doc_id are one node. Empty tables give empty results.
 """
 

@@ -6,8 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WORDS_PER_SHINGLE = 5
+AT_ONCE = 1 << 18
 
 
 def _random_words(seed: int, n: int) -> np.ndarray:
@@ -64,8 +66,18 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """For each text its distinct shingle hashes, ascending.
 
-    A text of fewer words than a shingle has one, the whole of it; a text without words has none.
+    A text of fewer words than a shingle has one, the whole of it; a text without words has none. Texts are worked on
+    ``AT_ONCE`` bytes at a time, or one by one if they are longer, since that takes some 60 bytes for each of theirs.
     """
+    if not len(texts):
+        return
+    share = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
+    for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+        yield from _shingle_sets(texts.slice(start, end - start))
+
+
+def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     words, before = word_hashes(*text_bytes(texts))
     n = max(0, len(words) - WORDS_PER_SHINGLE + 1)
     rolled = np.zeros(n, dtype=np.uint64)
