@@ -225,3 +225,21 @@ def test_stream_merges_what_has_landed_since(spark):
     land(0, [1, 2])
     land(1, [2, 3])
     assert rows(table.read()) == [(1, "batch 0"), (2, "batch 0"), (3, "batch 1")]
+
+
+def test_the_file_index_is_read_once_however_many_files_there_are(spark, monkeypatch):
+    table, read = ranged_table(spark), []
+    table.index_files("id")
+    monkeypatch.setattr(VersionedTable, "_indexed", lambda self, index, real=VersionedTable._indexed: read.append(index) or real(self, index))
+    assert table.index_files("id") == 0 and len(read) == 1
+
+
+def test_a_micro_batch_of_many_small_files_becomes_one_file(spark):
+    rows_in = spark.range(40).select("id", F.col("id").cast("string").alias("v"), (F.col("id") % 8).alias("batch_index"))
+    path, table = scratch_path(spark, "landing"), VersionedTable(spark, scratch_path(spark, "t"))
+    landing.land(rows_in, path)
+    table.create(rows_in.drop("batch_index").schema)
+    before = len(data_files(table))
+    sync_stream(spark, path, rows_in.drop("batch_index").schema, ["id"], table, scratch_path(spark, "stream"), max_files=1000).awaitTermination()
+    assert len(data_files(table)) == before + 1
+    assert sorted(map(tuple, table.read().collect())) == [(n, str(n)) for n in range(40)]
