@@ -73,3 +73,12 @@ def test_transfer_verdict(spark, states, codes, verdict):
 
 def test_counting_batches_reads_no_columns(spark, path, plan_of):
     assert "ReadSchema: struct<>" in plan_of(landing.batch_counts(spark.read.parquet(path).where(F.col("batch_index") > 0)))
+
+
+def test_reading_some_batches_lists_their_folders_only(spark, path):
+    schema = spark.createDataFrame([], "id bigint, v string").schema
+    some = landing.read_landed(spark, path, schema, range(1, 3))
+    assert rows(some) == [(3, "c", 1), (4, "d", 2)] and some.schema["batch_index"].dataType.simpleString() == "bigint"
+    assert not any("batch_index=0" in f for f in some.inputFiles())
+    with pytest.raises(Exception, match="batch_index=3"):
+        landing.read_landed(spark, path, schema, range(2, 4)).count()

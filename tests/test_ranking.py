@@ -138,3 +138,8 @@ def test_resume_point(spark, status, index, pk, expected):
     latest = spark.createDataFrame([(status, index, pk)], "status string, last_batch_index bigint, last_pk_json string")
     row = with_resume_point(latest).first()
     assert (row["resume_after_json"], row["next_batch_index"], row["is_resumed"]) == expected
+
+
+@pytest.mark.parametrize("size, ranges", [(1, 1), (16 << 20, 1), (17 << 20, 2), (130 << 20, 8), (12 << 30, 96)])
+def test_ranges_give_all_cores_work(size, ranges):
+    assert ranges_for(size, cores=8) == ranges
