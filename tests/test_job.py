@@ -3,11 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks.merges import catalog_of
+from checks.merges import catalog_of, resumed_table_run
 from ferrylane import schemas as S
 from ferrylane import storage
 from ferrylane.job import LAND_ONLY, Settings, TableRun, run_estate, run_table
-from ferrylane.operators import merge
+from ferrylane.operators import landing, merge
 from ferrylane.operators.landing import LandingArea
 from ferrylane.operators.ledger import Ledger
 from ferrylane.plans.planner import build_plan, find_table
@@ -623,3 +623,27 @@ def test_stream_batches_find_keys_of_any_type(spark, kind, value):
     target.replace(rows.where("v < 30"))
     assert sync_batch(target, rows.where("v between 10 and 19"), ["k"]) == 0
     assert sync_batch(target, rows, ["k"]) == 10 and sync_batch(target, rows, ["k"]) == 0
+
+
+def test_a_run_reads_each_landed_folder_once_to_merge_it(estate, monkeypatch):
+    listed, real = [], landing.read_landed
+
+    def spy(*args):
+        found = real(*args)
+        listed.append({f.split("batch_index=")[1].split("/")[0] for f in found.inputFiles()})
+        return found
+
+    monkeypatch.setattr(landing, "read_landed", spy)
+    e = estate(batch_size=200, max_commits=4)
+    assert e.run("orders")["batches_processed"] == 8
+    everything = {str(n) for n in range(8)}
+    assert listed == [everything, {"0", "1"}, {"2", "3"}, {"4", "5"}, {"6", "7"}]
+    assert e.target("orders").read().count() == 1500
+
+
+def test_resumed_table_run_commits_a_thousand_orders_at_a_time(spark, tmp_path):
+    one = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").limit(1).drop("o_orderkey")
+    orders = spark.range(6000).withColumnRenamed("id", "o_orderkey").crossJoin(F.broadcast(one))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    seen = {tuple(r) for r in resumed_table_run(spark, str(tmp_path)).collect()}
+    assert seen == {("FAILED", 2, 2000, 0, 2000), ("RESUMED_SUCCESS", 4, 4000, 2, 6000)}
