@@ -12,8 +12,11 @@ same set are one class, and only the class's smallest doc_id goes on. Then:
   texts that share little else drop out here.
 * Overlaps. The pairs of a short list are all compared. A long list names leaders, in growing numbers from round to
   round; a leader is compared with all members outside its component and has then done with the list. Lists within
-  one component are done. So large groups of copies cost a pair for each copy and leader, not one for each two copies,
-  and no pair that could join two components is left out.
+  one component are done, so the members of a list's largest component lead no more: of two components that could be
+  joined one has another leader. So large groups of copies cost a comparison for each copy and leader, not one for each
+  two copies, and no pair that could join two components is left out.
+* Each text has ``PARITY_WORDS`` words of bits, each the parity of the shingles that fall to it. Two texts differ in at
+  least as many shingles as in bits; a pair that differs in more bits than similar texts may in shingles is never named.
 * The similarity of a pair is estimated from the sketch of its union; clearly lower ones go.
 * The rest is confirmed on the full sets, the likeliest pair of each text first; what has become one component by
   then needs no further pair.
@@ -44,6 +47,9 @@ SIMILARITY = 75
 SHORT_LIST = 8
 #: How many times more leaders a long list names in each round.
 LEADER_GROWTH = 64
+#: 64-bit words of shingle parities for each text.
+PARITY_WORDS = 8
+PARITIES = "struct<" + ", ".join(f"w{i}: bigint" for i in range(PARITY_WORDS)) + ">"
 
 
 def least_shared(k: int) -> int:
@@ -69,8 +75,19 @@ def _sketches(k: int):
     return batch_map(sketch)
 
 
+def _parities(sets: list[np.ndarray]) -> pa.Array:
+    """For each set the bits that an odd number of its values fall to."""
+    bits = 64 * PARITY_WORDS
+    odd = np.zeros((len(sets), bits), dtype=np.uint8)
+    for row, values in zip(odd, sets, strict=True):
+        row[:] = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    words = np.packbits(odd, axis=1).view(np.int64)
+    return pa.StructArray.from_arrays([pa.array(words[:, i]) for i in range(PARITY_WORDS)], names=[f"w{i}" for i in range(PARITY_WORDS)])
+
+
 def _full_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1))))], names=["doc_id", "shingles"])
+    sets = list(shingle_sets(batch.column(1)))
+    return pa.RecordBatch.from_arrays([batch.column(0), _lists(sets), _parities(sets)], names=["doc_id", "shingles", "parities"])
 
 
 def _frequencies(postings: DataFrame) -> DataFrame:
@@ -107,6 +124,12 @@ def _similar(intersection: Column, union: Column) -> Column:
     return 100 * intersection >= SIMILARITY * union
 
 
+def _may_be_similar(remaining: Column, n: Column, parities: str, other_parities: str) -> Column:
+    """Whether two sets of ``n`` values between them may be similar, sharing at most ``remaining``."""
+    differing = sum((F.bit_count(F.col(f"{parities}.w{i}").bitwiseXOR(F.col(f"{other_parities}.w{i}"))) for i in range(PARITY_WORDS)), F.lit(0))
+    return (remaining * (100 + SIMILARITY) >= n * SIMILARITY) & (differing * (100 + SIMILARITY) <= n * (100 - SIMILARITY))
+
+
 def _likely(pairs: DataFrame, sketches: DataFrame, k: int) -> DataFrame:
     """The pairs a, b whose union's sketch doesn't speak against them, with the similarity it gives."""
     left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("left"))
@@ -168,13 +191,25 @@ def _link(ws: Workspace, labels: _Labels, pairs: DataFrame, sets: DataFrame, tex
     labels.connect(_confirmed(pairs, sets))
 
 
+def _open_lists(members: DataFrame) -> DataFrame:
+    """Lists of more than one component: value, in_list (members), largest (the component that has most of them)."""
+    parts = members.groupBy("value", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    lists = parts.groupBy("value").agg(
+        F.sum("n").alias("in_list"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component_id")).alias("l"))
+    return lists.where("parts > 1").select("value", "in_list", F.col("l.component_id").alias("largest"))
+
+
 def _leaders(members: DataFrame, n_leaders: int, turn: int) -> DataFrame:
-    """All members of short lists, and of each long list at most ``n_leaders``: unlinked texts first, then small ids."""
+    """All members of short lists, and of each long list at most ``n_leaders`` from outside its largest component:
+    unlinked texts first, then those with the fewest values before the list's, as texts with few edits have."""
+    members = members.where((F.col("in_list") <= SHORT_LIST) | (F.col("component_id") != F.col("largest")))
     seat = F.when(F.col("in_list") <= SHORT_LIST, F.col("doc_id")).otherwise(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(n_leaders)))
-    rank = F.struct(F.col("component_id") != F.col("doc_id"), "doc_id", "n", "remaining", "component_id")
+    rank = F.struct(
+        F.col("component_id") != F.col("doc_id"), F.col("n") - F.col("remaining"), "doc_id", "n", "remaining", "component_id", "parities")
     return members.withColumn("seat", seat).groupBy("value", "seat").agg(F.min(rank).alias("l")).select(
         "value", F.col("l.doc_id").alias("leader"), F.col("l.n").alias("leader_n"),
-        F.col("l.remaining").alias("leader_remaining"), F.col("l.component_id").alias("leader_component"))
+        F.col("l.remaining").alias("leader_remaining"), F.col("l.component_id").alias("leader_component"),
+        F.col("l.parities").alias("leader_parities"))
 
 
 def _connect_lists(ws: Workspace, postings: DataFrame, sketches: DataFrame, sets: DataFrame, k: int) -> _Labels:
@@ -183,15 +218,13 @@ def _connect_lists(ws: Workspace, postings: DataFrame, sketches: DataFrame, sets
     turn, n_leaders = 0, 1
     while True:
         members = ws.save(postings.join(labels.table, "doc_id"), "members")
-        lists = members.groupBy("value").agg(
-            F.count(F.lit(1)).alias("in_list"), F.min("component_id").alias("lowest"), F.max("component_id").alias("highest"))
-        lists = ws.save(lists.where("lowest <> highest").select("value", "in_list"), "lists")
+        lists = ws.save(_open_lists(members), "lists")
         if lists.isEmpty():
             return labels
-        members = ws.save(members.join(lists, "value"), "open-members")
+        members = ws.save(members.join(lists, "value").join(sets.select("doc_id", "parities"), "doc_id"), "open-members")
         leaders = ws.save(_leaders(members, n_leaders, turn), "leaders")
-        overlap = F.least("remaining", "leader_remaining") * (100 + SIMILARITY)
-        possible = (F.col("component_id") != F.col("leader_component")) & (overlap >= (F.col("n") + F.col("leader_n")) * SIMILARITY)
+        possible = (F.col("component_id") != F.col("leader_component")) & _may_be_similar(
+            F.least("remaining", "leader_remaining"), F.col("n") + F.col("leader_n"), "parities", "leader_parities")
         pairs = members.join(leaders, "value").where(possible).select(
             F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
         likely = ws.save(_likely(pairs, sketches, k), "likely")
@@ -212,7 +245,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = ws.save(classes.select("content", "r.doc_id", F.col("r.n").cast("int").alias("n"), "r.sketch"), "classes")
 
     ids = ws.save(_sketch_lists(classes, ws, k).select("doc_id").distinct(), "listed")
-    sets = ws.save(with_ids(read, ids).mapInArrow(batch_map(_full_sets), "doc_id long, shingles array<long>"), "sets")
+    sets = ws.save(with_ids(read, ids).mapInArrow(batch_map(_full_sets), f"doc_id long, shingles array<long>, parities {PARITIES}"), "sets")
     listed = ws.save(_set_lists(sets, ws), "postings")
     sketches = ws.save(classes.join(ids, "doc_id", "left_semi").select("doc_id", "sketch"), "listed-sketches")
     labels = _connect_lists(ws, listed, sketches, sets, k)

@@ -171,3 +171,40 @@ def test_id_filters(messy, llm, rows_of):
     lack = [r[0] for r in rows_of(bloom.without_ids(messy, ids), "doc_id")]
     assert sorted(have) == [1, 1, 9, 9] and len(have) + len(lack) == messy.count() and None in lack
     assert bloom.with_ids(messy, ids).columns == messy.columns
+
+
+def near_copies(n, seed=7):
+    """Copies of one text of 70 words, with one word to six replaced."""
+    rng, base, texts = random.Random(seed), [f"b{i}" for i in range(70)], {}
+    for i in range(n):
+        copy = list(base)
+        for place in rng.sample(range(70), rng.choice([1, 2, 3, 6])):
+            copy[place] = f"new{i}x{place}"
+        texts[i] = " ".join(copy)
+    return texts
+
+
+def test_the_parities_of_similar_texts_never_speak_against_them(llm):
+    texts = near_copies(40) | {100 + i: " ".join(f"w{j % (i + 2)}" for j in range(30 * i)) for i in range(8)}
+    sets, links = similar(texts)
+    ids = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()))], names=["doc_id", "text"])
+    found = llm.createDataFrame(pa.Table.from_batches([minhash._full_sets(ids)])).selectExpr("doc_id", "size(shingles) AS n", "parities")
+    assert {r.doc_id: r.n for r in found.collect()} == {i: len(s) for i, s in sets.items()}
+    left, right = found.toDF("a", "n_a", "left"), found.toDF("b", "n_b", "right")
+    both = left.join(right, F.col("a") < F.col("b"))
+    n = F.col("n_a") + F.col("n_b")
+    passed = {(r.a, r.b) for r in both.where(minhash._may_be_similar(n, n, "left", "right")).collect()}
+    assert set(links) <= passed
+    assert len(passed) < both.count() / 2
+
+
+def test_a_group_s_largest_component_leads_no_more(llm):
+    rows = [(1, d, 30, 29 if d == 18 else 25, 20, 0 if d < 15 else d, 0) for d in range(20)]
+    members = llm.createDataFrame(rows, "value long, doc_id long, n int, remaining int, in_list int, component_id long, largest long")
+    members = members.withColumn("parities", F.lit(None).cast("struct<" + ", ".join(f"w{i}: bigint" for i in range(8)) + ">"))
+    leaders = minhash._leaders(members, 4096, 1)
+    assert {r.leader for r in leaders.collect()} == set(range(15, 20))
+    first = minhash._leaders(members, 1, 0)
+    assert [r.leader for r in first.collect()] == [18]
+    lists = minhash._open_lists(members.select("value", "doc_id", "component_id")).collect()
+    assert [tuple(r) for r in lists] == [(1, 20, 0)]
