@@ -139,6 +139,23 @@ def test_ids_by_word_are_the_library_s(tokenizer, texts):
     assert [ids.tolist() for ids in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_only_odd_words_pass_the_whole_library(path_of):
+    class Counting:
+        asked: list[str] = []
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.asked += texts
+            return library.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    library = Tokenizer.from_file(path_of("word_bpe_49k.json"))
+    with open(path_of("word_bpe_49k.json"), "rb") as file:
+        encoder = token_files.WordEncoder(file.read())
+    encoder.tokenizer = Counting()
+    texts = ["The cat, the CAT'S 12 na\u00efve Stra\u00dfe; \u00c4rger!'s", "", " the\tcat<|endoftext|> \u0130x e\u0301 the"]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(Counting.asked) == sorted(["cat<|endoftext|>", "\u0130x", "e\u0301"])
+
+
 def test_which_tokenizers_may_be_cut(path_of):
     read = {n: open(path_of(f"{n}_bpe_{k}k.json"), "rb").read() for n, k in (("byte", 50), ("word", 49))}
     assert token_counts.splits_at_spaces(read["byte"]) and not token_counts.splits_at_spaces(read["word"])
@@ -186,6 +203,14 @@ def test_predictable_ids_take_little_room():
         range_coder.encode_blocks([np.array([1])], 30)
 
 
+def test_ids_that_nothing_predicts_come_back():
+    rng = np.random.default_rng(2)
+    blocks = [rng.integers(0, 2**24, n) for n in (0, 700, 1, 4096, 129, 4000)]
+    words = range_coder.encode_blocks(blocks, 24)
+    assert max(map(len, words)) > 4096 * 5 // 4
+    assert all((a == b).all() for a, b in zip(blocks, range_coder.decode_blocks(words, [len(b) for b in blocks], 24), strict=True))
+
+
 def test_damage_is_noticed():
     pack = token_files.write_packs([[(5, np.arange(9000)), (None, np.array([], dtype=np.int64))]], 16)[0]
     assert [(i, ids.tolist()) for i, ids in token_files.read_packs([pack])[0]] == [(5, list(range(9000))), (None, [])]
