@@ -647,3 +647,27 @@ def test_resumed_table_run_commits_a_thousand_orders_at_a_time(spark, tmp_path):
     orders.write.parquet(f"{tmp_path}/orders.parquet")
     seen = {tuple(r) for r in resumed_table_run(spark, str(tmp_path)).collect()}
     assert seen == {("FAILED", 2, 2000, 0, 2000), ("RESUMED_SUCCESS", 4, 4000, 2, 6000)}
+
+
+def test_a_run_looks_at_the_targets_keys_once_not_once_per_commit(estate, monkeypatch):
+    looked, real = [], merge.new_rows
+    monkeypatch.setattr(merge, "new_rows", lambda *args, **options: looked.append(1) or real(*args, **options))
+    e = estate(batch_size=100, batches_per_commit=1)
+    assert e.run("orders")["batches_processed"] == 15 and not looked
+    assert e.target("orders").row_count() == 1500 and len(e.statuses()) == 16
+    assert e.run("orders", force=True)["rows_processed"] == 1500 and len(looked) == 15
+    assert e.target("orders").row_count() == 1500
+
+
+def test_commits_that_the_target_may_know_keys_of_are_compared(estate, read, spark, monkeypatch):
+    """Keys of the target in the range of one commit, and a key that closes one batch and opens the next."""
+    compared, real = [], merge.new_rows
+    monkeypatch.setattr(merge, "new_rows", lambda *args, **options: compared.append(1) or real(*args, **options))
+    one = read("orders").limit(1)
+    keyed = lambda *keys: spark.createDataFrame([(k,) for k in keys], "k long").crossJoin(F.broadcast(one)).withColumn("o_orderkey", F.col("k")).drop("k")
+    e = estate(batch_size=2, batches_per_commit=1)
+    e.run("orders", source=FrameSource({"orders": keyed(5, 5, 6)}))
+    assert len(compared) == 0 and e.target("orders").row_count() == 3  # each key in one batch: no comparison
+    e.run("orders", force=True, source=FrameSource({"orders": keyed(1, 2, 3, 6, 7, 8, 9, 9, 9, 10)}))
+    assert len(compared) == 2  # the batches 3, 6 and 9, 10, which comes after 9, 9
+    assert sorted(r[0] for r in e.target("orders").read().select("o_orderkey").collect()) == [1, 2, 3, 5, 5, 6, 7, 8, 9, 9, 10]
