@@ -243,3 +243,22 @@ def test_a_micro_batch_of_many_small_files_becomes_one_file(spark):
     sync_stream(spark, path, rows_in.drop("batch_index").schema, ["id"], table, scratch_path(spark, "stream"), max_files=1000).awaitTermination()
     assert len(data_files(table)) == before + 1
     assert sorted(map(tuple, table.read().collect())) == [(n, str(n)) for n in range(40)]
+
+
+def test_a_listing_takes_few_calls_however_many_files_there_are(spark, tmp_path, monkeypatch):
+    from py4j.clientserver import ClientServerConnection
+
+    from ferrylane import storage
+
+    calls, real = [], ClientServerConnection.send_command
+    monkeypatch.setattr(ClientServerConnection, "send_command", lambda self, command: calls.append(1) or real(self, command))
+    names = [f"part-{i:03d} (a; isDirectory=true; b)=ü.parquet" for i in range(200)]
+    for name in names:
+        (tmp_path / name).write_text("")
+    (tmp_path / "v=1").mkdir()
+    assert sorted(storage.files(spark, str(tmp_path))) == names and storage.folders(spark, str(tmp_path)) == ["v=1"]
+    assert len(calls) < 200
+    (tmp_path / "two\nlines").write_text("")
+    assert sorted(storage.files(spark, str(tmp_path))) == [*names, "two\nlines"] and storage.files(spark, f"{tmp_path}/none") == []
+    (tmp_path / "none yet").mkdir()
+    assert storage.files(spark, f"{tmp_path}/none yet") == []
